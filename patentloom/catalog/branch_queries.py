@@ -53,7 +53,7 @@ GENDER = f"""
 register(
     "gender_trends_monthly",
     lambda t: zoneless(
-        branches.gender_trends(t.filtered_patents, t.inventor_info), "timestamp"
+        branches.gender_trends(t.stored_filtered_patents, t.inventor_info), "timestamp"
     ),
     GENDER,
 )
@@ -61,7 +61,7 @@ register(
     "gender_trends_months_with_men",
     lambda t: zoneless(
         branches.gender_trends(
-            t.filtered_patents, t.inventor_info, only_buckets_with_men=True
+            t.stored_filtered_patents, t.inventor_info, only_buckets_with_men=True
         ),
         "timestamp",
     ),
@@ -70,7 +70,7 @@ register(
 register(
     "geo_distribution_monthly",
     lambda t: zoneless(
-        branches.geo_distribution(t.filtered_patents, t.inventor_info), "timestamp"
+        branches.geo_distribution(t.stored_filtered_patents, t.inventor_info), "timestamp"
     ),
     f"""SELECT CAST({MONTH} AS TIMESTAMP) AS timestamp, {MONTH} AS year, p.branch,
                'US-' || disambig_state AS state,
@@ -81,7 +81,7 @@ register(
 register(
     "geo_distribution_total",
     lambda t: rounded(
-        branches.geo_total(t.filtered_patents, t.inventor_info), "latitude", "longitude"
+        branches.geo_total(t.stored_filtered_patents, t.inventor_info), "latitude", "longitude"
     ),
     f"""SELECT p.branch, 'US-' || disambig_state AS state,
                round(avg(CAST(latitude AS DOUBLE)), 6) AS latitude,
@@ -93,7 +93,7 @@ register(
 register(
     "branch_trend_wide",
     lambda t: rounded(
-        branches.yearly_overview(t.filtered_patents, t.inventor_info), "avg_claims"
+        branches.yearly_overview(t.stored_filtered_patents, t.inventor_info), "avg_claims"
     ),
     f"""WITH granted AS (
             SELECT CAST(date_trunc('year', patent_date) AS DATE) AS year, branch,
@@ -122,7 +122,7 @@ register(
 )
 register(
     "top_inventors_by_branch",
-    lambda t: players.top_inventors(t.filtered_patents, t.inventor_info),
+    lambda t: players.top_inventors(t.stored_filtered_patents, t.inventor_info),
     f"""WITH counts AS (
             SELECT p.branch, inventor_id, disambig_inventor_name_first AS first_name,
                    disambig_inventor_name_last AS last_name, gender_code,
@@ -147,7 +147,7 @@ INITCAP = (
 )
 register(
     "top_applicants_by_branch",
-    lambda t: players.top_applicants(t.filtered_patents, t.applicant_info),
+    lambda t: players.top_applicants(t.stored_filtered_patents, t.applicant_info),
     f"""WITH counts AS (
             SELECT p.branch, {INITCAP} AS organization, count(*) AS n
             FROM {APPLICANTS} WHERE raw_applicant_organization IS NOT NULL GROUP BY 1, 2),

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from patentloom.operators.classify import BRANCH_RULES, LIVE_BRANCH_RULES, filter_patents
 from patentloom.plans import curate
+from patentloom.session import scratch_path
+from patentloom.sinks.files import overwrite_parquet
 
 FIRST_NAMES = ["Ada", "Grace", "Alan", "Edsger", "Barbara", "Donald", "Frances"]
 PERSON_NAMES = ["Mary", "John", "Wei", "Anna", "Omar", "Lena", "Ravi", "Sofia", "Igor"]
@@ -241,6 +243,17 @@ class Tables:
     def filtered_patents(self) -> DataFrame:
         return filter_patents(self.patent_info, self.cpc_info)
 
+    @cached_property
+    def stored_filtered_patents(self) -> DataFrame:
+        """The filtered patents as the reports find them: a table written once.
+
+        Its size is then known when a join is planned, and both sides of a join come
+        straight from a shuffle, which lets adaptive execution split a hot patent.
+        """
+        path = scratch_path(self.spark, "filtered_patents")
+        overwrite_parquet(self.filtered_patents, path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def summaries(self) -> DataFrame:
         return self.driver_table("documents").select(

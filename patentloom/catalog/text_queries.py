@@ -71,7 +71,7 @@ register(
 )
 register(
     "text_for_selected",
-    lambda t: joins.matching(t.summaries, t.filtered_patents, "patent_id"),
+    lambda t: joins.matching(t.summaries, t.stored_filtered_patents, "patent_id"),
     """SELECT * FROM summaries WHERE patent_id IN (SELECT patent_id FROM filtered_patents)""",
 )
 
@@ -225,7 +225,7 @@ register(
     "top_keywords_by_branch",
     lambda t: rounded(
         players.ranked_keywords(
-            t.filtered_patents, keywords.embedding_keywords(t.summaries)
+            t.stored_filtered_patents, keywords.embedding_keywords(t.summaries)
         ).select(
             "branch", F.col("normalized_keyword").alias("keyword"), "keyword_count",
             "total_weight", "rank",

@@ -34,30 +34,29 @@ def frequency_lookup(
     facts: DataFrame,
     lookup: DataFrame,
     key: str,
-    is_hot: F.Column,
+    frequency: str,
     columns: Sequence[str],
-    max_hot: int = 200_000,
+    hot_keys: int = 1_000,
 ) -> DataFrame:
-    """Inner join of ``facts`` with one lookup row per key when a few keys are hot.
+    """Inner join of ``facts`` with one lookup row per key, for keys of uneven weight.
 
-    The lookup rows for which ``is_hot`` holds are broadcast, so facts with a hot key
-    never meet in one task; all other facts are shuffled by key. The caller gives a
-    condition that bounds the hot rows; the bound is checked before the broadcast,
-    and above ``max_hot`` the join falls back to a shuffle that splits skewed keys.
+    ``frequency`` is the number of facts per key. The ``hot_keys`` most frequent keys
+    are broadcast, a size fixed by the limit, and their facts stay where they are. The
+    facts of every other key are shuffled: such a key holds at most one part in
+    ``hot_keys`` of all facts, so no task is left with a large share.
     """
-    hot = lookup.where(is_hot).select(key, *columns)
-    if hot.limit(max_hot + 1).count() > max_hot:
-        return facts.join(lookup.select(key, *columns), key)
-    cold = lookup.where(~is_hot).select(key, *columns)
+    hot = lookup.orderBy(F.desc(frequency), F.asc(key)).limit(hot_keys)
     tagged = facts.join(
         F.broadcast(hot.select(key, *(F.col(c).alias(f"hot_{c}") for c in columns))), key, "left"
     )
-    present = F.col(f"hot_{columns[0]}").isNotNull()
-    on_hot = tagged.where(present).select(
+    is_hot = F.col(f"hot_{columns[0]}").isNotNull()
+    on_hot = tagged.where(is_hot).select(
         *facts.columns, *(F.col(f"hot_{c}").alias(c) for c in columns)
     )
     on_cold = (
-        tagged.where(~present).select(*facts.columns).join(cold, key)
+        tagged.where(~is_hot)
+        .select(*facts.columns)
+        .join(lookup.select(key, *columns), key)
         .select(*facts.columns, *columns)
     )
     return on_hot.unionByName(on_cold)

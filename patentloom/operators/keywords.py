@@ -23,10 +23,21 @@ from patentloom.functions.text import (
 )
 from patentloom.operators.joins import frequency_lookup
 from patentloom.operators.ranking import top_k_per_group
+from patentloom.session import ship_package
 
-# A term is hot when it occurs in this share of all documents. With d distinct terms
-# in an average document there are at most d / HOT_SHARE hot terms.
-HOT_SHARE = 0.01
+# Documents encoded together; bounds the vectors held at a time.
+ENCODED_AT_ONCE = 64
+
+
+def spread(docs: DataFrame) -> DataFrame:
+    """Documents over at least as many partitions as there are cores.
+
+    Long texts are cheap to move and costly to process, so input of only a few splits
+    is spread out first. Input of more splits than cores, hence any large one, is left
+    as it is.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return docs if docs.rdd.getNumPartitions() >= cores else docs.repartition(cores)
 
 
 def term_frequencies(
@@ -34,7 +45,9 @@ def term_frequencies(
     stop_words: list[str] = STOP_WORDS,
 ) -> DataFrame:
     """(id, term, tf) without stop words; a document is combined before the shuffle."""
-    words = docs.select(id_column, F.explode(tokens(F.col(text_column))).alias("term"))
+    words = spread(docs.select(id_column, text_column)).select(
+        id_column, F.explode(tokens(F.col(text_column))).alias("term")
+    )
     return (
         words.where(~F.col("term").isin(stop_words))
         .groupBy(id_column, "term")
@@ -55,14 +68,12 @@ def tfidf_keywords(
     frequent terms are looked up by broadcast instead.
     """
     tf = term_frequencies(docs, id_column, text_column)
-    total = docs.count()
+    total = docs.agg(F.count(F.lit(1))).scalar()
     # Counting over ``tf`` rather than rows keeps both uses of the term table on the
     # same columns, so its shuffle is computed once.
     df = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("doc_freq"))
-    weighted = frequency_lookup(
-        tf, df, "term", F.col("doc_freq") > F.lit(total * HOT_SHARE), ["doc_freq"]
-    )
-    score = F.col("tf") * F.log((F.lit(total) + 1) / (F.col("doc_freq") + 1))
+    weighted = frequency_lookup(tf, df, "term", "doc_freq", ["doc_freq"])
+    score = F.col("tf") * F.log((total + 1) / (F.col("doc_freq") + 1))
     scored = weighted.withColumn("score", F.round(score, 9))
     return top_k_per_group(scored, id_column, [F.desc("score"), F.asc("term")], top_n).select(
         id_column, "rank", F.col("term").alias("keyword"), "tf", "doc_freq", "score"
@@ -97,20 +108,24 @@ class HashEmbedder:
 
     word = re.compile(r"\w\w+")
 
-    def __init__(self) -> None:
-        self._digits = {c: 2 * i - 15 for i, c in enumerate("0123456789abcdef")}
-
-    def _vector(self, word: str) -> list[int]:
-        digest = hashlib.md5(word.encode("utf-8"), usedforsecurity=False).hexdigest()
-        return [self._digits[c] for c in digest]
-
     def encode(self, texts: Sequence[str]) -> np.ndarray:
-        out = np.zeros((len(texts), 32), dtype=np.int64)
-        for row, text in enumerate(texts):
-            counts = Counter(self.word.findall(text))
-            if counts:
-                vectors = np.array([self._vector(w) for w in counts], dtype=np.int64)
-                out[row] = np.array(list(counts.values()), dtype=np.int64) @ vectors
+        bags = [Counter(self.word.findall(text)) for text in texts]
+        place = {w: i for i, w in enumerate(set().union(*bags))}
+        digests = b"".join(
+            hashlib.md5(w.encode("utf-8"), usedforsecurity=False).digest() for w in place
+        )
+        octets = np.frombuffer(digests, dtype=np.uint8).reshape(-1, 16)
+        digits = np.stack([octets >> 4, octets & 15], axis=2).reshape(-1, 32)
+        # Whole numbers far below 2**53: sums and products stay exact in any order.
+        vectors = 2.0 * digits - 15.0
+        words = np.array([place[w] for bag in bags for w in bag], dtype=np.int64)
+        weights = np.array([n for bag in bags for n in bag.values()], dtype=float)
+        sizes = np.array([len(bag) for bag in bags])
+        starts = np.cumsum(sizes) - sizes
+        out = np.zeros((len(texts), 32))
+        if len(words):
+            weighted = vectors[words] * weights[:, np.newaxis]
+            out[sizes > 0] = np.add.reduceat(weighted, starts[sizes > 0])
         return out
 
 
@@ -126,34 +141,42 @@ def embedding_keywords(
 
     ``make_embedder`` builds an object with ``encode(texts) -> matrix`` (the interface
     of sentence-embedding models) once per task. Documents stay where they are read:
-    there is no shuffle, and the candidates of a batch are encoded in one call.
+    large inputs are not shuffled, and words shared by documents of a batch are encoded once.
     """
+    ship_package(docs.sparkSession)
     stop = frozenset(stop_words)
     word = HashEmbedder.word
 
+    def best_words(texts: Sequence[str | None], embedder) -> Iterator[list[dict]]:
+        kept = [[w for w in word.findall((t or "").lower()) if w not in stop] for t in texts]
+        vocabulary = sorted(set().union(*kept))
+        place = {w: i for i, w in enumerate(vocabulary)}
+        vectors = np.asarray(embedder.encode(vocabulary))
+        lengths = np.sqrt((vectors * vectors).sum(axis=1))
+        for words, doc in zip(kept, embedder.encode([" ".join(k) for k in kept]), strict=True):
+            rows = np.array(sorted({place[w] for w in words}), dtype=np.int64)
+            norms = lengths[rows] * np.sqrt((doc * doc).sum())
+            scores = np.divide(
+                vectors[rows] @ doc, norms, out=np.zeros(len(rows)), where=norms != 0
+            )
+            best = np.argsort(-scores, kind="stable")[:top_n]
+            yield [
+                {"_1": vocabulary[rows[i]], "_2": round(float(scores[i]), 4)} for i in best
+            ]
+
     def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         embedder = make_embedder()
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch[id_column], batch[text_column], strict=True):
-                kept = [w for w in word.findall((text or "").lower()) if w not in stop]
-                candidates = sorted(set(kept))
-                if not candidates:
-                    rows.append((doc_id, []))
-                    continue
-                matrix = np.asarray(embedder.encode([*candidates, " ".join(kept)]))
-                words, doc = matrix[:-1], matrix[-1]
-                norms = np.sqrt((words * words).sum(axis=1)) * np.sqrt((doc * doc).sum())
-                scores = np.divide(
-                    words @ doc, norms, out=np.zeros(len(candidates)), where=norms != 0
-                )
-                best = np.argsort(-scores, kind="stable")[:top_n]
-                rows.append(
-                    (doc_id, [{"_1": candidates[i], "_2": round(float(scores[i]), 4)} for i in best])
+            for start in range(0, len(batch), ENCODED_AT_ONCE):
+                part = batch.iloc[start : start + ENCODED_AT_ONCE]
+                yield pd.DataFrame(
+                    {
+                        id_column: part[id_column],
+                        "keywords": list(best_words(part[text_column], embedder)),
+                    }
                 )
-            yield pd.DataFrame(rows, columns=[id_column, "keywords"])
 
-    return docs.select(id_column, text_column).mapInPandas(
+    return spread(docs.select(id_column, text_column)).mapInPandas(
         rank, f"{id_column} string, keywords array<struct<_1: string, _2: double>>"
     )
 
