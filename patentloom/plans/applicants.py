@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from patentloom.operators.joins import frequency_lookup
 from patentloom.operators.quality import require, require_text
 from patentloom.operators.ranking import top_k
 
@@ -79,11 +80,10 @@ def last_names_by_org(applicants: DataFrame, chunk_size: int = 100_000) -> DataF
     so no task or row has to hold all of it and no name is lost.
     """
     pairs = require(applicants, ORG).select(ORG, LAST).distinct()
-    chunks = pairs.groupBy(ORG).agg(
-        F.greatest(F.ceil(F.count(LAST) / chunk_size), F.lit(1)).alias("chunks")
-    )
-    placed = pairs.join(chunks, ORG).withColumn(
-        "chunk", F.pmod(F.xxhash64(LAST), F.col("chunks")).cast("int")
+    sizes = pairs.groupBy(ORG).agg(F.count(F.lit(1)).alias("names"))
+    chunks = F.ceil(F.col("names") / chunk_size)
+    placed = frequency_lookup(pairs, sizes, ORG, "names", ["names"]).withColumn(
+        "chunk", F.pmod(F.xxhash64(LAST), chunks).cast("int")
     )
     return placed.groupBy(ORG, "chunk").agg(
         F.sort_array(F.collect_list(LAST)).alias("unique_applicants")
@@ -133,11 +133,14 @@ def patents_by_year(applicants: DataFrame, patents: DataFrame) -> DataFrame:
 def _details(applicants: DataFrame, condition: Column) -> DataFrame:
     """Applicant rows of the patents whose applicant count meets ``condition``.
 
-    Counting and joining back, rather than a window over the patent, combines rows
-    before the shuffle and lets adaptive execution split a patent with very many.
+    Counting and looking the count up, rather than a window over the patent, combines
+    rows before the shuffle and keeps a patent with very many applicants spread out.
     """
-    chosen = per_patent(applicants).where(condition)
-    return applicants.select("patent_id", TYPE, ORG).join(chosen, "patent_id")
+    rows = applicants.select("patent_id", TYPE, ORG)
+    count = "collaboration_count"
+    return frequency_lookup(rows, per_patent(applicants), "patent_id", count, [count]).where(
+        condition
+    )
 
 
 def single_details(applicants: DataFrame) -> DataFrame:
