@@ -150,10 +150,18 @@ def embedding_keywords(
     def best_words(texts: Sequence[str | None], embedder) -> Iterator[list[dict]]:
         kept = [[w for w in word.findall((t or "").lower()) if w not in stop] for t in texts]
         vocabulary = sorted(set().union(*kept))
+        if not vocabulary:
+            yield from ([] for _ in texts)
+            return
         place = {w: i for i, w in enumerate(vocabulary)}
         vectors = np.asarray(embedder.encode(vocabulary))
         lengths = np.sqrt((vectors * vectors).sum(axis=1))
-        for words, doc in zip(kept, embedder.encode([" ".join(k) for k in kept]), strict=True):
+        doc_vectors = iter(np.asarray(embedder.encode([" ".join(k) for k in kept if k])))
+        for words in kept:
+            if not words:
+                yield []
+                continue
+            doc = next(doc_vectors)
             rows = np.array(sorted({place[w] for w in words}), dtype=np.int64)
             norms = lengths[rows] * np.sqrt((doc * doc).sum())
             scores = np.divide(
