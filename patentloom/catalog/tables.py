@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from patentloom.operators.classify import BRANCH_RULES, LIVE_BRANCH_RULES, filter_patents
 from patentloom.plans import curate
-from patentloom.session import scratch_path
-from patentloom.sinks.files import overwrite_parquet
+from patentloom.sinks.files import written
+from patentloom.sources.tabular import spread
 
 FIRST_NAMES = ["Ada", "Grace", "Alan", "Edsger", "Barbara", "Donald", "Frances"]
 PERSON_NAMES = ["Mary", "John", "Wei", "Anna", "Omar", "Lena", "Ravi", "Sofia", "Igor"]
@@ -250,14 +250,14 @@ class Tables:
         Its size is then known when a join is planned, and both sides of a join come
         straight from a shuffle, which lets adaptive execution split a hot patent.
         """
-        path = scratch_path(self.spark, "filtered_patents")
-        overwrite_parquet(self.filtered_patents, path)
-        return self.spark.read.parquet(path)
+        return written(self.filtered_patents, "filtered_patents")
 
     @cached_property
     def summaries(self) -> DataFrame:
-        return self.driver_table("documents").select(
-            text("doc_id").alias("patent_id"), F.col("text").alias("summary_text")
+        return spread(
+            self.driver_table("documents").select(
+                text("doc_id").alias("patent_id"), F.col("text").alias("summary_text")
+            )
         )
 
     @cached_property

@@ -29,25 +29,12 @@ from patentloom.session import ship_package
 ENCODED_AT_ONCE = 64
 
 
-def spread(docs: DataFrame) -> DataFrame:
-    """Documents over at least as many partitions as there are cores.
-
-    Long texts are cheap to move and costly to process, so input of only a few splits
-    is spread out first. Input of more splits than cores, hence any large one, is left
-    as it is.
-    """
-    cores = docs.sparkSession.sparkContext.defaultParallelism
-    return docs if docs.rdd.getNumPartitions() >= cores else docs.repartition(cores)
-
-
 def term_frequencies(
     docs: DataFrame, id_column: str = "patent_id", text_column: str = "summary_text",
     stop_words: list[str] = STOP_WORDS,
 ) -> DataFrame:
     """(id, term, tf) without stop words; a document is combined before the shuffle."""
-    words = spread(docs.select(id_column, text_column)).select(
-        id_column, F.explode(tokens(F.col(text_column))).alias("term")
-    )
+    words = docs.select(id_column, F.explode(tokens(F.col(text_column))).alias("term"))
     return (
         words.where(~F.col("term").isin(stop_words))
         .groupBy(id_column, "term")
@@ -141,7 +128,7 @@ def embedding_keywords(
 
     ``make_embedder`` builds an object with ``encode(texts) -> matrix`` (the interface
     of sentence-embedding models) once per task. Documents stay where they are read:
-    large inputs are not shuffled, and words shared by documents of a batch are encoded once.
+    there is no shuffle, and words shared by documents of a batch are encoded once.
     """
     ship_package(docs.sparkSession)
     stop = frozenset(stop_words)
@@ -184,7 +171,7 @@ def embedding_keywords(
                     }
                 )
 
-    return spread(docs.select(id_column, text_column)).mapInPandas(
+    return docs.select(id_column, text_column).mapInPandas(
         rank, f"{id_column} string, keywords array<struct<_1: string, _2: double>>"
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from patentloom.functions.text import stripped
+from patentloom.sinks.files import written
 from patentloom.sources.text import LINE_ORDER
 
 
@@ -26,17 +27,19 @@ def stitch_lines(
     A line starting with a quote opens a record, later lines continue it across part
     boundaries. Numbering is done in two levels so that no task sees more than one
     split: openings are counted per split, a running total over the (few) splits
-    gives each its first number, and lines are numbered inside their split.
+    gives each its first number, and lines are numbered inside their split. Both
+    levels must see the same splits, which two scans need not agree on while a
+    cluster grows or shrinks, so the lines are written out first.
     """
-    opens = F.col("value").startswith('"')
+    lines = written(lines.withColumn("opens", F.col("value").startswith('"')), "lines")
     split = ["file", "block"]
-    per_split = lines.groupBy(*split).agg(F.count_if(opens).alias("openings"))
+    per_split = lines.groupBy(*split).agg(F.count_if("opens").alias("openings"))
     before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_split.select(
         *split, F.coalesce(F.sum("openings").over(before), F.lit(0)).alias("offset")
     )
     inside = Window.partitionBy(*split).orderBy("line")
-    numbered = lines.withColumn("opened", F.count_if(opens).over(inside)).join(offsets, split)
+    numbered = lines.withColumn("opened", F.count_if("opens").over(inside)).join(offsets, split)
     records = (
         numbered.withColumn("record", F.col("offset") + F.col("opened"))
         .where(F.col("record") > 0)

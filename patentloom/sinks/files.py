@@ -8,11 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from patentloom.session import scratch_path
+
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` after a round trip through the shared folder: computed once, read as
+    often as needed, and not lost with an executor."""
+    path = scratch_path(df.sparkSession, name)
+    overwrite_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def new_parquet(df: DataFrame, path: str) -> None:
     """Write once; an existing path is an error."""
     df.write.mode("errorifexists").parquet(path)
