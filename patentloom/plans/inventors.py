@@ -19,18 +19,26 @@ def named(inventors: DataFrame) -> DataFrame:
     return require(inventors, FIRST, LAST)
 
 
-def _distinct_count(inventors: DataFrame, counted: str, name: str, *keys: str) -> DataFrame:
-    """Distinct ``counted`` per key. Values are deduplicated in a shuffle by key and
-    value, so a frequent key is spread over tasks before it is counted."""
-    return named(inventors).groupBy(*keys).agg(F.count_distinct(counted).alias(name))
+def _distinct_count(
+    inventors: DataFrame, counted: str, name: str, *keys: str, approximate: bool = False
+) -> DataFrame:
+    """Distinct ``counted`` per key. Exact counts deduplicate in a shuffle by key and
+    value, so a frequent key is spread over tasks before it is counted; approximate
+    ones shuffle a fixed-size sketch per key and task instead."""
+    count = F.approx_count_distinct if approximate else F.count_distinct
+    return named(inventors).groupBy(*keys).agg(count(counted).alias(name))
 
 
-def _patents(inventors: DataFrame, *keys: str, name: str = "patent_count") -> DataFrame:
-    return _distinct_count(inventors, "patent_id", name, *keys)
+def _patents(
+    inventors: DataFrame, *keys: str, name: str = "patent_count", approximate: bool = False
+) -> DataFrame:
+    return _distinct_count(inventors, "patent_id", name, *keys, approximate=approximate)
 
 
-def _people(inventors: DataFrame, *keys: str, name: str = "num_inventors") -> DataFrame:
-    return _distinct_count(inventors, "inventor_id", name, *keys)
+def _people(
+    inventors: DataFrame, *keys: str, name: str = "num_inventors", approximate: bool = False
+) -> DataFrame:
+    return _distinct_count(inventors, "inventor_id", name, *keys, approximate=approximate)
 
 
 def _dated(inventors: DataFrame, patents: DataFrame) -> DataFrame:
@@ -49,20 +57,20 @@ def top_by_patents(inventors: DataFrame, k: int = 20) -> DataFrame:
     )
 
 
-def by_country(inventors: DataFrame) -> DataFrame:
-    return _people(inventors, COUNTRY)
+def by_country(inventors: DataFrame, approximate: bool = False) -> DataFrame:
+    return _people(inventors, COUNTRY, approximate=approximate)
 
 
-def by_state(inventors: DataFrame) -> DataFrame:
-    return _people(inventors, STATE)
+def by_state(inventors: DataFrame, approximate: bool = False) -> DataFrame:
+    return _people(inventors, STATE, approximate=approximate)
 
 
-def by_gender(inventors: DataFrame) -> DataFrame:
-    return _people(inventors, "gender_code")
+def by_gender(inventors: DataFrame, approximate: bool = False) -> DataFrame:
+    return _people(inventors, "gender_code", approximate=approximate)
 
 
-def by_location(inventors: DataFrame) -> DataFrame:
-    return _people(inventors, CITY, STATE, COUNTRY)
+def by_location(inventors: DataFrame, approximate: bool = False) -> DataFrame:
+    return _people(inventors, CITY, STATE, COUNTRY, approximate=approximate)
 
 
 def patents_per_inventor(inventors: DataFrame) -> DataFrame:
@@ -75,20 +83,20 @@ def avg_patents_per_inventor(inventors: DataFrame) -> DataFrame:
     )
 
 
-def patents_by_city(inventors: DataFrame) -> DataFrame:
-    return _patents(inventors, CITY)
+def patents_by_city(inventors: DataFrame, approximate: bool = False) -> DataFrame:
+    return _patents(inventors, CITY, approximate=approximate)
 
 
-def patents_by_state(inventors: DataFrame) -> DataFrame:
-    return _patents(inventors, STATE)
+def patents_by_state(inventors: DataFrame, approximate: bool = False) -> DataFrame:
+    return _patents(inventors, STATE, approximate=approximate)
 
 
-def patents_by_country(inventors: DataFrame) -> DataFrame:
-    return _patents(inventors, COUNTRY)
+def patents_by_country(inventors: DataFrame, approximate: bool = False) -> DataFrame:
+    return _patents(inventors, COUNTRY, approximate=approximate)
 
 
-def patents_by_gender(inventors: DataFrame) -> DataFrame:
-    return _patents(inventors, "gender_code")
+def patents_by_gender(inventors: DataFrame, approximate: bool = False) -> DataFrame:
+    return _patents(inventors, "gender_code", approximate=approximate)
 
 
 def in_many_countries(inventors: DataFrame) -> DataFrame:

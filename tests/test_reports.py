@@ -68,6 +68,14 @@ def test_geo_distribution_counts_distinct_and_drops_unknown_states(filtered, peo
     ]
     bare = branches.geo_distribution(filtered, people, prefix="")
     assert {r.state for r in bare.collect()} == {"BW", "CA", "NY"}
+    # A sketch is exact on so few values.
+    sketched = branches.geo_distribution(filtered, people, approximate=True)
+    assert sorted(sketched.collect()) == sorted(got.collect())
+    exact, approximate = (
+        {tuple(r) for r in inventors.by_country(people, approximate=a).collect()}
+        for a in (False, True)
+    )
+    assert exact == approximate == {("US", 3), ("DE", 1)}
 
 
 def test_yearly_overview_covers_years_of_either_kind(filtered, people):
