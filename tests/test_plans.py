@@ -46,11 +46,15 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path, plan_of):
 
 
 def test_terms_are_shuffled_once(spark, plan_of, without_broadcast):
-    docs = spark.range(100).select(
-        F.col("id").cast("string").alias("patent_id"), F.lit("cell beam lens").alias("summary_text")
+    # More terms than are looked up as hot ones, so that both sides have rows.
+    docs = spark.range(1500).select(
+        F.col("id").cast("string").alias("patent_id"),
+        F.concat(F.lit("cell w"), F.col("id").cast("string")).alias("summary_text"),
     )
     df = tfidf_keywords(docs)
-    df.collect()
-    plan = plan_of(df)
-    # The terms are used three times: to find hot terms, and on either side of them.
-    assert len(re.findall(r"ReusedExchange \[patent_id#\d+, term#\d+, count", plan)) == 2
+    assert len(df.collect()) == 3000
+    final = plan_of(df).rsplit("== Initial Plan ==", 1)[0]
+    use = r"hashpartitioning\(patent_id#\d+, term#\d+, \d+\), ENSURE"
+    reused = r"ReusedExchange \[patent_id#\d+, term#\d+, count#\d+L\], Exchange " + use
+    assert len(re.findall(reused, final)) == 2
+    assert len(re.findall(use, final)) - 2 == 1
