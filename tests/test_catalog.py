@@ -1,6 +1,7 @@
 """Every registered query against its SQL on the smallest tables."""
 
 import os
+import re
 
 import pytest
 
@@ -8,6 +9,8 @@ import __spark_entry__ as entry
 import check
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+# They call the embedding model.
+WITH_PYTHON = {"embedding_keywords", "top_keywords_by_branch"}
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
@@ -21,12 +24,19 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", QUERIES)
-def test_matches_sql(spark, con, name):
+def test_matches_sql_with_a_sound_plan(spark, con, plan_of, name):
+    built = []
+
+    def query(spark, sf_dir):
+        built.append(QUERIES[name](spark, sf_dir))
+        return built[0]
+
     # A few reports have no rows on tables this small; check.py wants rows at sf0.01.
-    problem = check.compare(
-        spark, con, SF_DIR, name, QUERIES[name], ORACLE[name], may_be_empty=True
-    )
+    problem = check.compare(spark, con, SF_DIR, name, query, ORACLE[name], may_be_empty=True)
     assert problem == ""
+    plan = plan_of(built[0])
+    assert not re.search("CartesianProduct|NestedLoopJoin|BatchEvalPython|ArrowEvalPython", plan)
+    assert ("MapInPandas" in plan) == (name in WITH_PYTHON)
 
 
 def test_entry(spark):

@@ -1,20 +1,16 @@
-"""Physical plans of the registered queries and of the scans behind them."""
+"""Physical plans: pushdown, pruning and reuse."""
 
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from patentloom.catalog.tables import Tables
 from patentloom.operators.classify import filter_patents
 from patentloom.operators.keywords import tfidf_keywords
 from patentloom.plans import branches
 
 SF_DIR = "/root/testdata/sf0.001"
-BATCH = [n for n in entry.queries() if not n.startswith("stream_") and n != "history_plus_stream"]
-# They call the embedding model.
-WITH_PYTHON = {"embedding_keywords", "top_keywords_by_branch"}
 
 
 @pytest.fixture
@@ -27,13 +23,6 @@ def without_broadcast(spark):
     spark.conf.set(key, before)
 
 
-@pytest.mark.parametrize("name", BATCH)
-def test_no_pair_comparison_and_no_row_python(spark, plan_of, without_broadcast, name):
-    plan = plan_of(entry.queries()[name](spark, SF_DIR))
-    assert not re.search("CartesianProduct|NestedLoopJoin|BatchEvalPython|ArrowEvalPython", plan)
-    assert ("MapInPandas" in plan) == (name in WITH_PYTHON)
-
-
 def test_filters_and_columns_reach_the_scan(spark, tmp_path, plan_of):
     t = Tables(spark, SF_DIR)
     for name, df in {"p": t.patent_info, "c": t.cpc_info}.items():
