@@ -7,11 +7,12 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from patentloom.catalog import all_oracle_sql, all_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # They call the embedding model.
 WITH_PYTHON = {"embedding_keywords", "top_keywords_by_branch"}
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = all_queries(), all_oracle_sql()
 
 
 @pytest.fixture(scope="module")
