@@ -7,13 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patentloom.llm import url_reputation
+from patentloom.llm import benchmark_scan, url_reputation
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = benchmark_scan.scan(docs, read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page; a labelled page of low quality is a bad outcome."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -29,10 +42,41 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op10_url_filters": op10_url_filters,
 }
 
 SQL: dict[str, str] = {
+    "op7_benchmark_decontamination": r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(w[i:i + least(10, len(w)) - 1],
+    ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM item_words
+    WHERE len(w) > 0)
+), doc_windows AS (
+  SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+    FROM doc_words, (SELECT DISTINCT k FROM item_windows))
+), hits AS (
+  SELECT doc_id, i, k, item_id FROM doc_windows JOIN item_windows USING (k, s)
+), hit_words AS (
+  SELECT doc_id, count(DISTINCT j) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + k)) AS j FROM hits) GROUP BY doc_id
+), hit_items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit,
+  coalesce(t.n, 0)::BIGINT AS n_items, sha256(coalesce(t.ids, '')) AS items_sha256,
+  coalesce(h.n, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items t USING (doc_id)
+""",
     "op10_url_filters": r"""
 WITH cut AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3)
