@@ -7,13 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patentloom.llm import benchmark_scan, url_reputation
+from patentloom.llm import automaton_dedup, benchmark_scan, suffix_dedup, url_reputation
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = automaton_dedup.remove_repeated_words(read(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )
+
+
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeated_bytes(read(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = benchmark_scan.scan(docs, read(spark, sf_dir, "benchmark"))
@@ -42,6 +56,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_substring_dedup": op4_substring_dedup,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op10_url_filters": op10_url_filters,
 }
