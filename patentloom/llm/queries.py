@@ -4,16 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patentloom.llm import automaton_dedup, benchmark_scan, suffix_dedup, url_reputation
+from patentloom.llm import (
+    automaton_dedup,
+    benchmark_scan,
+    suffix_dedup,
+    toxicity,
+    url_reputation,
+)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Learnt from labelled rows that are not held out (crc32 of the id mod 3 is not 1)."""
+    labels = read(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    return toxicity.train(docs, labels)
+
+
+def held_out(doc_id: Column) -> Column:
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = automaton_dedup.remove_repeated_words(read(spark, sf_dir, "documents"))
     return out.select(
@@ -56,6 +80,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
