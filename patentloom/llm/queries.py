@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from patentloom.llm import (
     automaton_dedup,
     benchmark_scan,
+    embedding_dedup,
     suffix_dedup,
     toxicity,
     url_reputation,
@@ -45,6 +46,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeated_bytes(read(spark, sf_dir, "documents"))
     return out.select(
@@ -82,12 +87,30 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op10_url_filters": op10_url_filters,
 }
 
 SQL: dict[str, str] = {
+    "op5_embedding_near_dedup": """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x)
+    OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.93
+), reached(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), component AS (
+  SELECT a AS vec_id, least(a, min(b)) AS component_id FROM reached GROUP BY a
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
+  coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN component USING (vec_id)
+""",
     "op7_benchmark_decontamination": r"""
 WITH doc_words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
