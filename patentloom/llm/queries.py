@@ -11,6 +11,7 @@ from patentloom.llm import (
     automaton_dedup,
     benchmark_scan,
     embedding_dedup,
+    line_dedup,
     suffix_dedup,
     toxicity,
     url_reputation,
@@ -70,6 +71,12 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.dedup_lines(docs)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page; a labelled page of low quality is a bad outcome."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -90,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_line_dedup": op8_line_dedup,
     "op10_url_filters": op10_url_filters,
 }
 
