@@ -131,7 +131,7 @@ def remove_repeated_bytes(
     text: str = "text",
     width: int = 50,
     gram: int = 19,
-    bucket_bytes: int = 2 << 20,
+    bucket_bytes: int = 1 << 20,
 ) -> DataFrame:
     """Columns doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and kept (binary).
 

@@ -16,7 +16,7 @@ Windows are judged on the input, so the result does not depend on the order of w
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,6 +46,8 @@ MASK = np.dtype([("at", "<i4"), ("mask", "<u8")])
 
 ALONE, LATER, ASKED = 0, 1, 2
 CODES, MASKS = 1, 2
+#: Tokens that a part compares at once: bounds memory, not what is compared.
+SLICE = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -87,7 +89,8 @@ def contexts_of(texts: Texts, spec: Windows) -> Contexts:
         none = np.zeros(0, np.int64)
         return Contexts(none.astype(U64), none.astype(U64), none, none, none, tokens, starts)
     prefix = prefix_hashes(tokens.astype(U64) + U64(1))
-    grams = (prefix[spec.gram :] - prefix[: -spec.gram]) * powers(INVERSE, n + 1 - spec.gram)
+    grams = prefix[spec.gram :] - prefix[: -spec.gram]
+    grams *= powers(INVERSE, len(grams))
     grams = mix(grams)
     keys = (grams & HIGH) | np.arange(len(grams), dtype=U64)
     anchor = (sliding_min(keys, width - spec.gram + 1) & LOW).astype(np.int64)
@@ -221,6 +224,15 @@ def _bodies(spec: Windows, parts: int):
     return run
 
 
+def _slices(anchors: np.ndarray, ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of whole anchor groups with about ``most`` tokens each."""
+    heads = np.flatnonzero(np.append(True, anchors[1:] != anchors[:-1]))
+    size = np.append(0, ends)[heads]
+    first = np.flatnonzero(np.diff(size // most, prepend=-1))
+    cuts = [*heads[first].tolist(), len(anchors)]
+    yield from zip(cuts, cuts[1:], strict=False)
+
+
 def _compare(spec: Windows):
     def run(table: pa.Table) -> pa.Table:
         buckets, records_of, tokens = table["bucket"].to_pylist(), [], []
@@ -231,12 +243,15 @@ def _compare(spec: Windows):
         records, tokens = np.concatenate(records_of), np.concatenate(tokens)
         start = np.append(0, np.cumsum(records["len"]))
         order = np.lexsort((records["pos"], records["doc"], records["a"]))
-        lengths = records["len"][order].astype(np.int64)
-        shift = np.repeat(start[:-1][order] - np.append(0, np.cumsum(lengths))[:-1], lengths)
+        ends = np.cumsum(records["len"][order].astype(np.int64))
         marks = np.zeros(len(records), MASK)
         marks["at"] = records["at"]
-        ordered = tokens[np.arange(len(shift)) + shift]
-        marks["mask"][order] = spec.solve(records[order], ordered)
+        for a, b in _slices(records["a"][order], ends, SLICE):
+            own = order[a:b]
+            lengths = records["len"][own].astype(np.int64)
+            shift = start[own] - np.append(0, np.cumsum(lengths))[:-1]
+            place = np.arange(lengths.sum()) + np.repeat(shift, lengths)
+            marks["mask"][own] = spec.solve(records[own], tokens[place])
         part = table["part"][0].as_py()
         sizes, rows, at = [len(r) for r in records_of], [], 0
         for bucket, n in zip(buckets, sizes, strict=True):
