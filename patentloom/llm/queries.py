@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from patentloom.llm import (
     benchmark_scan,
     embedding_dedup,
     line_dedup,
+    sentencepiece_lattice,
     suffix_dedup,
     toxicity,
     url_reputation,
@@ -22,6 +24,24 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Model file of the public tokenizer that encodes the corpus.
+TOKENIZER = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded again."""
+    pieces = sentencepiece_lattice.load(TOKENIZER)
+    encoded = sentencepiece_lattice.encode(read(spark, sf_dir, "documents"), pieces)
+    decoded = sentencepiece_lattice.decode(encoded, pieces)
+    return decoded.select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
     """Learnt from labelled rows that are not held out (crc32 of the id mod 3 is not 1)."""
     labels = read(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
@@ -92,6 +112,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_toxicity": op2_toxicity,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
