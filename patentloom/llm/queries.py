@@ -13,6 +13,7 @@ from patentloom.llm import (
     benchmark_scan,
     embedding_dedup,
     line_dedup,
+    quality,
     sentencepiece_lattice,
     suffix_dedup,
     toxicity,
@@ -97,6 +98,15 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents; the site of a document is that of the page with its number."""
+    return quality.score(
+        read(spark, sf_dir, "documents"),
+        read(spark, sf_dir, "labels"),
+        quality.sites_of(read(spark, sf_dir, "pages")),
+    )
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page; a labelled page of low quality is a bad outcome."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -119,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_line_dedup": op8_line_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_url_filters": op10_url_filters,
 }
 

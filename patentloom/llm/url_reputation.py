@@ -86,7 +86,7 @@ def _level(counts: DataFrame, key: str, up: str | None) -> DataFrame:
     return counts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
 
-def _strength(level: DataFrame, p: float, settings: Reputation) -> float:
+def prior_strength(level: DataFrame, p: float, settings: Reputation) -> float:
     """Pseudo-counts of the prior from the spread of the rates (one row to the driver)."""
     got = level.agg(
         F.count("*").alias("k"),
@@ -124,7 +124,7 @@ def host_reputation(outcomes: DataFrame, settings: Reputation) -> tuple[list[Dat
     tables, above = [], None
     for key, up in (("suffix", None), ("domain", "suffix"), ("host", "domain")):
         level = _level(counts, key, up)
-        k = _strength(level, p, settings)
+        k = prior_strength(level, p, settings)
         prior = F.lit(p)
         if above is not None:
             level = level.join(above.select(F.col("key").alias("up"), "mean"), "up", "left")
