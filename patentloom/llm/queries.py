@@ -13,6 +13,7 @@ from patentloom.llm import (
     benchmark_scan,
     embedding_dedup,
     line_dedup,
+    ngram_join,
     quality,
     sentencepiece_lattice,
     suffix_dedup,
@@ -61,6 +62,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(read(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = automaton_dedup.remove_repeated_words(read(spark, sf_dir, "documents"))
     return out.select(
@@ -124,6 +129,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_toxicity": op2_toxicity,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
