@@ -20,7 +20,6 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -169,7 +168,7 @@ BINS, LOW, HIGH = 2000, -10.0, 10.0
 def _fitter(sent, settings: Settings):
     """Per training document its segment scores, and the scores of ordinary words by bin."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = np.zeros(BINS, np.int64)
         for batch in batches:
             for part in _slices(batch, "text"):
@@ -266,13 +265,14 @@ def train(
     rows = rows.join(F.broadcast(sample), "id").select("text", "toxic")
     counted = rows.mapInArrow(_counter(settings), "kind int, at long, toxic long, other long")
     table = counted.groupBy("kind", "at").agg(F.sum("toxic").alias("t"), F.sum("other").alias("o"))
-    got = table.toPandas()
+    got = table.toArrow()
+    kinds, at, t, o = (got[c].to_numpy() for c in ("kind", "at", "t", "o"))
     sizes = (1 << settings.word_bits, 1 << settings.head_bits)
     counts = []
     for kind, size in enumerate(sizes):
-        own = got[got["kind"] == kind]
+        own = kinds == kind
         pair = np.zeros((2, size))
-        pair[0][own["at"]], pair[1][own["at"]] = own["t"], own["o"]
+        pair[0][at[own]], pair[1][at[own]] = t[own], o[own]
         counts.append(pair)
     toxic, other = counts[0].sum(1)
     if not toxic or not other:
@@ -284,18 +284,19 @@ def train(
     sent = spark.sparkContext.broadcast(model)
     fit = rows.mapInArrow(
         _fitter(sent, settings), "bin int, toxic int, n long, best array<double>"
-    ).toPandas()
-    of_words, of_docs = fit[fit["bin"] >= 0].groupby("bin")["n"].sum(), fit[fit["bin"] < 0]
-    middle = LOW + (of_words.index.to_numpy() + 0.5) * (HIGH - LOW) / BINS
-    model.scale = _scale(middle, of_words.to_numpy().astype(float))
-    plain = of_docs[of_docs["toxic"] == 0]
-    tops = np.array([b[0] if len(b) else 0.0 for b in plain["best"]])
-    model.k = float(1 / max(np.mean(plain["n"] * np.exp(-model.scale * tops)), 1e-300))
+    ).toArrow()
+    place, toxic, n = (fit[c].to_numpy() for c in ("bin", "toxic", "n"))
+    middle = LOW + (place[place >= 0] + 0.5) * (HIGH - LOW) / BINS
+    model.scale = _scale(middle, n[place >= 0].astype(float))
+    docs_at = np.flatnonzero(place < 0)
+    best = fit["best"].take(pa.array(docs_at)).to_pylist()
+    toxic, n = toxic[docs_at], n[docs_at]
+    tops = np.array([b[0] if b else 0.0 for b in best])[toxic == 0]
+    model.k = float(1 / max(np.mean(n[toxic == 0] * np.exp(-model.scale * tops)), 1e-300))
     gathered = np.array([
-        evidence(n, b, model, settings.level)
-        for n, b in zip(of_docs["n"], of_docs["best"], strict=True)
+        evidence(int(size), b, model, settings.level) for size, b in zip(n, best, strict=True)
     ])
-    model.intercept, model.slope = _logistic(_damped(gathered), of_docs["toxic"].to_numpy(float))
+    model.intercept, model.slope = _logistic(_damped(gathered), toxic.astype(float))
     return model
 
 
