@@ -33,15 +33,15 @@ LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 @dataclass(frozen=True)
 class Forest:
-    """``sample``: most vectors a tree is fitted on; ``leaf``: vectors per leaf aimed at;
+    """``sample``: most vectors a tree is fitted on; ``leaf``: vectors of a label per leaf aimed at;
     ``spill``: half-width of the overlap in standard deviations of the projection;
     ``block``: vectors compared at once."""
 
     threshold: float = 0.93
-    trees: int = 6
+    trees: int = 4
     sample: int = 20_000
-    leaf: int = 1_000
-    spill: float = 0.35
+    leaf: int = 500
+    spill: float = 0.25
     least_sample: int = 32
     block: int = 1_024
     seed: int = 7
@@ -163,7 +163,9 @@ def usable(vector: Column) -> Column:
 def class_links(classes: DataFrame, forest: Forest) -> DataFrame:
     """Links (a < b) between classes with columns label, rep and vector."""
     spark = classes.sparkSession
-    count = classes.count()
+    stats = classes.agg(
+        F.count("*").alias("n"), F.approx_count_distinct("label").alias("labels")
+    ).first()
     sample = (
         classes.select("vector").orderBy(F.xxhash64("rep")).limit(forest.sample).collect()
     )
@@ -173,8 +175,9 @@ def class_links(classes: DataFrame, forest: Forest) -> DataFrame:
     trees = {}
     for size, rows in by_size.items():
         unit = _unit(np.array(rows, np.float64))
-        each = count / len(sample)
-        trees[size] = [grow(unit, each, t, forest) for t in range(forest.trees)]
+        each = stats["n"] / len(sample) / max(stats["labels"], 1)
+        grown = [grow(unit, each, t, forest) for t in range(forest.trees)]
+        trees[size] = grown if any(t.splits for t in grown) else grown[:1]
     sent = spark.sparkContext.broadcast(trees)
     planted = classes.select("label", "rep", "vector").mapInArrow(_planter(sent, forest), LEAVES)
     keys = ("tree", "leaf", "size", "label")
