@@ -126,7 +126,7 @@ def score(
         .select("good", *MEASURES)
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(settings.max_labels)
-        .toPandas()
+        .toArrow()
     )
     counts = (
         rows.where("good IS NOT NULL")
@@ -140,8 +140,8 @@ def score(
     base = (ok + 1.0) / (n + 2.0)
     weights, intercept = np.zeros(len(MEASURES)), float(np.log(base / (1 - base)))
     if 0 < ok < n:
-        x = sample[list(MEASURES)].to_numpy(float)
-        weights, intercept = _logistic(x, sample["good"].to_numpy(float), settings.ridge)
+        x = np.column_stack([sample[m].to_numpy() for m in MEASURES])
+        weights, intercept = _logistic(x, sample["good"].to_numpy().astype(float), settings.ridge)
     k_host = prior_strength(hosts, base, settings.reputation)
     k_path = prior_strength(counts, base, settings.reputation)
     own_n = F.when(F.col("good").isNull(), 0).otherwise(1)
