@@ -49,13 +49,9 @@ register(
 )
 register(
     "unique_applicants_by_org",
-    lambda t: joined(applicants.last_names_by_org(t.applicant_info), "unique_applicants"),
-    """SELECT raw_applicant_organization, 0 AS chunk,
-              coalesce(string_agg(raw_applicant_name_last, '|'
-                                  ORDER BY raw_applicant_name_last), '') AS unique_applicants
-       FROM (SELECT DISTINCT raw_applicant_organization, raw_applicant_name_last
-             FROM applicant_info WHERE raw_applicant_organization IS NOT NULL)
-       GROUP BY 1""",
+    lambda t: applicants.last_names_by_org(t.applicant_info),
+    """SELECT DISTINCT raw_applicant_organization, raw_applicant_name_last
+       FROM applicant_info WHERE raw_applicant_organization IS NOT NULL""",
 )
 register(
     "single_applicant_patents",

@@ -14,22 +14,30 @@ from patentloom.sinks.keyed import KeyedTable
 from patentloom.sources import streams
 from patentloom.streaming import simple, trends
 
-# Several files in several micro-batches, so that every bucket is updated repeatedly.
-FILES = 4
-FILES_PER_BATCH = 2
+# Many files in two micro-batches, so that every bucket is updated again and, whatever the
+# order of the records, none is behind the watermark.
+RECORDS_PER_FILE = 500
 
 
 def delivered(df: DataFrame) -> str:
     """``df`` as JSON files of a stream input folder."""
     path = scratch_path(df.sparkSession, "stream")
-    df.repartition(FILES).write.json(path)
+    df.write.option("maxRecordsPerFile", RECORDS_PER_FILE).json(path)
     return path
 
 
-def patent_stream(t: Tables, patents: DataFrame | None = None) -> DataFrame:
+def half(t: Tables, path: str) -> int:
+    """Files per micro-batch for two batches."""
+    return max(1, -(-len(t.spark.read.text(path).inputFiles()) // 2))
+
+
+def patent_stream(
+    t: Tables, patents: DataFrame | None = None, from_date: str | None = None
+) -> DataFrame:
     path = delivered(t.live_patents if patents is None else patents)
     return trends.prepared(
-        streams.json_stream(t.spark, path, files_per_trigger=FILES_PER_BATCH)
+        streams.json_stream(t.spark, path, files_per_trigger=half(t, path)),
+        from_date=from_date,
     )
 
 
@@ -56,8 +64,11 @@ def trend(name: str, build: Callable[[DataFrame], DataFrame], output_mode: str =
     return query
 
 
-def history_plus_stream(t: Tables) -> DataFrame:
-    """Months before August from a batch, the others from the stream, in one table."""
+def history_plus_stream(t: Tables, overlap: bool = False) -> DataFrame:
+    """Months before August from a batch, the others from the stream, in one table.
+
+    With ``overlap`` the stream delivers all records again, those of closed months too.
+    """
     patents = t.live_patents.where(F.col("branch").isNotNull())
     table = trends.trend_tables(t.spark, scratch_path(t.spark, "tables"))["patent_trends"]
     past = F.col("patent_date") < "2024-08-01"
@@ -71,7 +82,9 @@ def history_plus_stream(t: Tables) -> DataFrame:
             )
         )
     )
-    merged = run(trends.patent_trends(patent_stream(t, patents.where(~past))), table)
+    live = patents if overlap else patents.where(~past)
+    cutoff = "2024-08-01" if overlap else None
+    merged = run(trends.patent_trends(patent_stream(t, live, cutoff)), table)
     return rounded(zoneless(merged, "timestamp"), "avg_claims")
 
 
@@ -94,6 +107,9 @@ register(
     PATENT_TRENDS,
 )
 register("history_plus_stream", history_plus_stream, PATENT_TRENDS)
+register(
+    "history_plus_stream_overlap", lambda t: history_plus_stream(t, True), PATENT_TRENDS
+)
 register(
     "stream_gender_trends",
     trend("gender_trends", trends.gender_trends),
@@ -113,11 +129,9 @@ register(
 
 
 def stream_category_agg(t: Tables) -> DataFrame:
+    path = delivered(t.category_prices)
     records = streams.json_stream(
-        t.spark,
-        delivered(t.category_prices),
-        "id int, category string, price double",
-        files_per_trigger=FILES_PER_BATCH,
+        t.spark, path, "id int, category string, price double", files_per_trigger=half(t, path)
     )
     table = KeyedTable(t.spark, scratch_path(t.spark, "tables"), ["category"], "avg_price")
     return rounded(run(simple.category_prices(records), table), "avg_price")
@@ -134,8 +148,10 @@ register(
 
 def stream_word_count(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "stream")
-    t.driver_table("conversations").select("text").repartition(FILES).write.text(path)
-    lines = streams.text_stream(t.spark, path, FILES_PER_BATCH)
+    t.driver_table("conversations").select("text").write.option(
+        "maxRecordsPerFile", RECORDS_PER_FILE
+    ).text(path)
+    lines = streams.text_stream(t.spark, path, half(t, path))
     table = KeyedTable(t.spark, scratch_path(t.spark, "tables"), ["word"], "count")
     return run(simple.word_counts(lines), table, "complete")
 
@@ -152,7 +168,7 @@ register(
 
 def stream_parse_json(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "stream")
-    t.facts.repartition(FILES).write.text(path)
+    t.facts.write.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
     out = scratch_path(t.spark, "facts")
     query = (
         simple.parsed_facts(streams.text_stream(t.spark, path))

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from patentloom.operators.classify import BRANCH_RULES, LIVE_BRANCH_RULES, filter_patents
 from patentloom.plans import curate
 from patentloom.sinks.files import written
-from patentloom.sources.tabular import spread
+
+#: Fixed value: day before which the reported patents were granted.
+GRANTED_BEFORE = "2024-08-01"
 
 FIRST_NAMES = ["Ada", "Grace", "Alan", "Edsger", "Barbara", "Donald", "Frances"]
 PERSON_NAMES = ["Mary", "John", "Wei", "Anna", "Omar", "Lena", "Ravi", "Sofia", "Igor"]
@@ -241,7 +243,7 @@ class Tables:
 
     @cached_property
     def filtered_patents(self) -> DataFrame:
-        return filter_patents(self.patent_info, self.cpc_info)
+        return filter_patents(self.patent_info, self.cpc_info, GRANTED_BEFORE)
 
     @cached_property
     def stored_filtered_patents(self) -> DataFrame:
@@ -254,10 +256,8 @@ class Tables:
 
     @cached_property
     def summaries(self) -> DataFrame:
-        return spread(
-            self.driver_table("documents").select(
-                text("doc_id").alias("patent_id"), F.col("text").alias("summary_text")
-            )
+        return self.driver_table("documents").select(
+            text("doc_id").alias("patent_id"), F.col("text").alias("summary_text")
         )
 
     @cached_property

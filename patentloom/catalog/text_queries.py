@@ -1,6 +1,6 @@
 """Registered queries on long text and nested records."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patentloom.catalog.registry import register
@@ -8,7 +8,7 @@ from patentloom.catalog.shaping import rounded
 from patentloom.catalog.tables import Tables
 from patentloom.catalog.views import sql_list
 from patentloom.functions import text as text_functions
-from patentloom.functions.text import IRREGULAR_LEMMAS, NOUN_ENDINGS, STOP_WORDS
+from patentloom.functions.text import IRREGULAR_LEMMAS, NO_PLURALS, STOP_WORDS
 from patentloom.operators import joins, keywords, stitch
 from patentloom.plans import players, records
 from patentloom.session import scratch_path
@@ -16,15 +16,24 @@ from patentloom.sinks import files
 from patentloom.sources import records as record_sources
 from patentloom.sources import text as text_sources
 
-PARTS = 10
+BYTES_PER_PART = 256 << 10
+
+
+def quoted_text(text: Column, number: Column) -> Column:
+    """Texts some of whose lines start with a quote, a doubled or an unclosed one."""
+    return (
+        F.when(number % 5 == 0, F.concat(text, F.lit('\n"word" in quotes')))
+        .when(number % 5 == 1, F.concat(text, F.lit('\n""Smart"" device\nmore text')))
+        .when(number % 5 == 2, F.concat(text, F.lit('\n"never closed\nlast line')))
+        .otherwise(text)
+    )
 
 
 def record_files(t: Tables) -> str:
     """The summaries as bulk text: a record opens with its quoted id."""
     path = scratch_path(t.spark, "text")
-    t.summaries.select(
-        F.concat(F.lit('"'), "patent_id", F.lit('"\t'), "summary_text")
-    ).write.text(path)
+    text = quoted_text(F.col("summary_text"), F.col("patent_id").cast("long"))
+    t.summaries.select(F.concat(F.lit('"'), "patent_id", F.lit('"\t'), text)).write.text(path)
     return path
 
 
@@ -32,16 +41,27 @@ def split_parts(t: Tables) -> str:
     """The bulk text once more as part files, cut without regard to records."""
     path = scratch_path(t.spark, "parts")
     lines = text_sources.read_lines(t.spark, record_files(t))
-    files.write_text_parts(stitch.split_in_order(lines, PARTS), path)
+    parts = stitch.parts_of(lines, BYTES_PER_PART)
+    files.write_text_parts(stitch.split_in_order(lines, parts), path)
     return path
 
 
 def ordered_text_split(t: Tables) -> DataFrame:
-    """Every line with how often it occurs over all parts."""
-    lines = text_sources.read_lines(t.spark, split_parts(t))
-    return lines.groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+    """Per record the digest of its lines in the order of the parts, and their number.
+
+    A line out of place changes the digest of a record, or of two.
+    """
+    records = stitch.stitch_lines(text_sources.read_lines(t.spark, split_parts(t)))
+    return records.select(
+        "patent_id", F.length("summary_text").alias("n_chars"), F.md5("summary_text").alias("digest")
+    )
 
 
+QUOTED = """(SELECT patent_id, summary_text || CASE CAST(patent_id AS BIGINT) % 5
+        WHEN 0 THEN chr(10) || '"word" in quotes'
+        WHEN 1 THEN chr(10) || '""Smart"" device' || chr(10) || 'more text'
+        WHEN 2 THEN chr(10) || '"never closed' || chr(10) || 'last line' ELSE '' END
+        AS summary_text FROM summaries)"""
 STITCHED = r"""
     SELECT patent_id,
            regexp_replace(
@@ -49,15 +69,13 @@ STITCHED = r"""
                    list_transform(string_split(summary_text, chr(10)),
                                   lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), ' '),
                '^\s+|\s+$', '', 'g') AS summary_text
-    FROM summaries"""
+    FROM """ + QUOTED
 register(
     "ordered_text_split",
     ordered_text_split,
-    """SELECT line, count(*) AS n
-       FROM (SELECT unnest(string_split('"' || patent_id || '"' || chr(9) || summary_text,
-                                        chr(10))) AS line
-             FROM summaries)
-       GROUP BY 1""",
+    f"""SELECT patent_id, CAST(length(summary_text) AS INTEGER) AS n_chars,
+               md5(summary_text) AS digest
+        FROM ({STITCHED})""",
 )
 register(
     "stitch_records",
@@ -101,21 +119,26 @@ for name, column, sql in [
             FROM (SELECT patent_id, {sql} AS w FROM summaries)""",
     )
 
-TFIDF = f"""
-    WITH tf AS (
+def tfidf_sql(texts: str) -> str:
+    return f"""
+    WITH texts AS ({texts}),
+    tf AS (
         SELECT patent_id, term, count(*) AS tf
-        FROM (SELECT patent_id, unnest({TOKENS}) AS term FROM summaries)
+        FROM (SELECT patent_id, unnest({TOKENS}) AS term FROM texts)
         WHERE NOT list_contains({sql_list(STOP_WORDS)}, term) GROUP BY 1, 2),
     df AS (SELECT term, count(*) AS doc_freq FROM tf GROUP BY 1),
     scored AS (
         SELECT patent_id, term, tf, doc_freq,
-               round(tf * ln(((SELECT count(*) FROM summaries) + 1) / (doc_freq + 1)), 9)
+               round(tf * ln(((SELECT count(*) FROM texts) + 1) / (doc_freq + 1)), 9)
                    AS score
         FROM tf JOIN df USING (term)),
     ranked AS (
         SELECT *, row_number() OVER (PARTITION BY patent_id ORDER BY score DESC, term) AS rank
         FROM scored)
 """
+
+
+TFIDF = tfidf_sql("SELECT * FROM summaries")
 register(
     "tfidf_keywords",
     lambda t: rounded(keywords.tfidf_keywords(t.summaries), "score"),
@@ -146,97 +169,60 @@ register(
                 FROM ranked WHERE rank <= 20 GROUP BY 1)""",
 )
 
-EMBEDDED = f"""
-    WITH counts AS (
-        SELECT patent_id, term, count(*) AS n
-        FROM (SELECT patent_id,
-                     unnest(regexp_extract_all(lower(summary_text), '[\\p{{L}}\\p{{N}}_]{{2,}}'))
-                         AS term
-              FROM summaries)
-        WHERE NOT list_contains({sql_list(STOP_WORDS)}, term) GROUP BY 1, 2),
-    vectors AS (
-        SELECT term, list_transform(
-                   range(1, 33),
-                   lambda i: 2.0 * strpos('0123456789abcdef', substr(md5(term), i, 1)) - 17.0)
-                   ::DOUBLE[] AS v
-        FROM (SELECT DISTINCT term FROM counts)),
-    parts AS (
-        SELECT patent_id, unnest(range(1, 33)) AS i, unnest(v) * n AS x
-        FROM counts JOIN vectors USING (term)),
-    sums AS (SELECT patent_id, i, sum(x) AS x FROM parts GROUP BY 1, 2),
-    docs AS (SELECT patent_id, list(x ORDER BY i) AS d FROM sums GROUP BY 1),
-    ranked AS (
-        SELECT patent_id, term, score,
-               row_number() OVER (PARTITION BY patent_id ORDER BY score DESC, term) AS rank
-        FROM (SELECT patent_id, term,
-                     CASE WHEN list_inner_product(d, d) = 0 THEN 0
-                          ELSE list_inner_product(v, d)
-                               / (sqrt(list_inner_product(v, v)) * sqrt(list_inner_product(d, d)))
-                     END AS score
-              FROM counts JOIN vectors USING (term) JOIN docs USING (patent_id))),
-    keywords AS (
-        SELECT patent_id, rank, term AS keyword, round(score, 4) AS weight
-        FROM ranked WHERE rank <= 5)
-"""
-
-
-def embedding_keywords(t: Tables) -> DataFrame:
-    found = keywords.embedding_keywords(t.summaries)
-    return found.select("patent_id", F.posexplode("keywords").alias("rank", "entry")).select(
-        "patent_id",
-        (F.col("rank") + 1).alias("rank"),
-        F.col("entry._1").alias("keyword"),
-        F.col("entry._2").alias("weight"),
-    )
-
-
+# The SQL states the lemma rule in its own terms: singulars that occur, first form first.
+LEMMAS = f"""
+    forms AS (
+        SELECT word, rule, form FROM (
+            SELECT word, 1 AS rule, left(word, -3) || 'y' AS form FROM vocabulary
+            WHERE word LIKE '%ies' AND left(right(word, 4), 1) NOT IN ('a', 'e', 'i', 'o', 'u')
+            UNION ALL SELECT word, 2, left(word, -1) FROM vocabulary
+            WHERE word LIKE '%s' AND word NOT LIKE '%ss'
+            UNION ALL SELECT word, 3, left(word, -2) FROM vocabulary
+            WHERE word LIKE '%ses' OR word LIKE '%xes' OR word LIKE '%zes' OR word LIKE '%ches'
+               OR word LIKE '%shes')
+        WHERE length(word) > 3 AND NOT list_contains({sql_list(NO_PLURALS)}, word)),
+    irregular(word, form) AS (VALUES {", ".join(f"('{k}', '{v}')" for k, v in IRREGULAR_LEMMAS.items())}),
+    lemmas AS (
+        SELECT v.word, coalesce(any_value(i.form), arg_min(f.form, f.rule), v.word) AS lemma
+        FROM vocabulary v LEFT JOIN irregular i USING (word)
+        LEFT JOIN (SELECT * FROM forms WHERE form IN (SELECT word FROM vocabulary)) f USING (word)
+        GROUP BY v.word)"""
 register(
-    "embedding_keywords",
-    embedding_keywords,
-    EMBEDDED + "SELECT * REPLACE (CAST(rank AS INTEGER) AS rank) FROM keywords",
+    "lemmatize_keywords",
+    lambda t: keywords.lemmatized(
+        keywords.term_frequencies(t.summaries).select(F.col("term").alias("keyword")).distinct()
+    ),
+    f"""WITH vocabulary AS (
+            SELECT DISTINCT term AS word
+            FROM (SELECT unnest({TOKENS}) AS term FROM summaries)
+            WHERE NOT list_contains({sql_list(STOP_WORDS)}, term)), {LEMMAS}
+        SELECT word AS keyword, lemma AS normalized_keyword FROM lemmas WHERE trim(lemma) <> ''""",
 )
 
 
-def _suffix_case(word: str) -> str:
-    whens = " ".join(
-        f"WHEN regexp_matches({word}, '{ending}') "
-        f"THEN regexp_replace({word}, '{ending}', '{replacement.replace('$', chr(92))}')"
-        for ending, replacement in NOUN_ENDINGS
+def branch_keywords(t: Tables) -> DataFrame:
+    """Top keywords per branch, by tf-idf among the filtered patents."""
+    texts = joins.matching(t.summaries, t.stored_filtered_patents, "patent_id")
+    ranked = players.ranked_keywords(t.stored_filtered_patents, keywords.keyword_table(texts))
+    return ranked.select(
+        "branch", F.col("normalized_keyword").alias("keyword"), "keyword_count",
+        "total_weight", "rank",
     )
-    return f"CASE {whens} ELSE {word} END"
-
-
-def lemma_sql(word: str) -> str:
-    irregular = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in IRREGULAR_LEMMAS.items())
-    return f"coalesce(CASE {word} {irregular} END, {_suffix_case(word)})"
 
 
-register(
-    "lemmatize_keywords",
-    lambda t: keywords.lemmatized(
-        keywords.term_frequencies(t.summaries).select(F.col("term").alias("keyword")).distinct()
-    ),
-    f"""SELECT DISTINCT term AS keyword, {lemma_sql("term")} AS normalized_keyword
-        FROM (SELECT unnest({TOKENS}) AS term FROM summaries)
-        WHERE NOT list_contains({sql_list(STOP_WORDS)}, term)
-          AND trim({lemma_sql("term")}) <> ''""",
-)
 register(
     "top_keywords_by_branch",
-    lambda t: rounded(
-        players.ranked_keywords(
-            t.stored_filtered_patents, keywords.embedding_keywords(t.summaries)
-        ).select(
-            "branch", F.col("normalized_keyword").alias("keyword"), "keyword_count",
-            "total_weight", "rank",
-        ),
-        "total_weight",
-    ),
-    EMBEDDED
-    + f""", counts_by_branch AS (
-            SELECT branch, {lemma_sql("keyword")} AS keyword, count(*) AS n,
-                   CAST(sum(CAST(weight AS DECIMAL(20, 9))) AS DOUBLE) AS weight
-            FROM keywords JOIN filtered_patents USING (patent_id) GROUP BY 1, 2),
+    lambda t: rounded(branch_keywords(t), "total_weight"),
+    tfidf_sql(
+        "SELECT * FROM summaries WHERE patent_id IN (SELECT patent_id FROM filtered_patents)"
+    )
+    + f""", keywords AS (SELECT patent_id, term AS keyword, score FROM ranked WHERE rank <= 20),
+        vocabulary AS (SELECT DISTINCT keyword AS word FROM keywords), {LEMMAS},
+        counts_by_branch AS (
+            SELECT branch, lemma AS keyword, count(*) AS n,
+                   CAST(sum(CAST(score AS DECIMAL(20, 9))) AS DOUBLE) AS weight
+            FROM keywords JOIN lemmas ON word = keyword JOIN filtered_patents USING (patent_id)
+            GROUP BY 1, 2),
         ranked_by_branch AS (
             SELECT *, row_number() OVER (PARTITION BY branch
                                          ORDER BY n * weight DESC, keyword) AS rank
@@ -273,7 +259,7 @@ def flat_parties(df: DataFrame) -> DataFrame:
 def monthly_json(t: Tables) -> DataFrame:
     """Normalised records after writing them by month and reading them back."""
     path = scratch_path(t.spark, "monthly")
-    normal = records.normalize(t.api_records)
+    normal = records.normalize(t.api_records, 2024)
     files.write_monthly_json(normal.drop("month"), path, "patent_date")
     back = t.spark.read.schema(normal.schema).json(path)
     return flat_parties(back)
@@ -302,7 +288,7 @@ NORMAL = f"""
     FROM (SELECT *, {PUBLISHED} AS published FROM events)
     WHERE year(try_cast(published AS DATE)) = 2024"""
 register(
-    "normalize_api_records", lambda t: flat_parties(records.normalize(api_scan(t))), NORMAL
+    "normalize_api_records", lambda t: flat_parties(records.normalize(api_scan(t), 2024)), NORMAL
 )
 register("monthly_json", monthly_json, NORMAL)
 register(
@@ -312,7 +298,7 @@ register(
     ),
     f"""SELECT doc_number, branch, date_published, CAST(rank AS INTEGER) AS rank
         FROM (SELECT *, row_number() OVER (PARTITION BY branch
-                                           ORDER BY date_published DESC NULLS LAST,
+                                           ORDER BY try_cast(date_published AS DATE) DESC NULLS LAST,
                                                     doc_number) AS rank
               FROM (SELECT CAST(event_id AS VARCHAR) AS doc_number, event_type AS branch,
                            {PUBLISHED} AS date_published

@@ -25,17 +25,12 @@ KEYWORD_NOISE = r"""["'\[\]{}().]"""
 REPEATED_COMMAS = r",,+"
 OUTER_COMMAS = r"(^,|,$)"
 
-# Noun endings and what replaces them, tried from top to bottom.
-NOUN_ENDINGS = [
-    ("sses$", "ss"),
-    ("ches$", "ch"),
-    ("shes$", "sh"),
-    ("xes$", "x"),
-    ("zes$", "z"),
-    ("([^aeiou])ies$", "$1y"),
-    ("([^aeious])s$", "$1"),
-    ("([aeo])s$", "$1"),
-]
+# Words that end like a plural and are none.
+NO_PLURALS = """
+analysis apparatus basis bias bus canvas chassis corpus dns electronics focus gas gps genus
+glass lens mathematics mechanics news optics physics process radius robotics series species
+status thesis virus
+""".split()
 
 # Irregular plurals common in technical prose.
 IRREGULAR_LEMMAS = {
@@ -81,11 +76,13 @@ def cleaned_keyword_string(raw: Column) -> Column:
     return F.trim(F.regexp_replace(single, OUTER_COMMAS, ""))
 
 
-def suffix_lemma(word: Column) -> Column:
-    """Singular form by the first matching noun ending, else the word itself."""
-    lemma = word
-    for ending, replacement in reversed(NOUN_ENDINGS):
-        lemma = F.when(
-            word.rlike(ending), F.regexp_replace(word, ending, replacement)
-        ).otherwise(lemma)
-    return lemma
+def singular_forms(word: Column) -> Column:
+    """What a word may be the plural of, likeliest first; empty for most words."""
+    long = F.length(word) > 3
+    return F.array_compact(
+        F.array(
+            F.when(long & word.rlike("[^aeiou]ies$"), F.regexp_replace(word, "ies$", "y")),
+            F.when(long & word.rlike("[^s]s$"), F.regexp_replace(word, "s$", "")),
+            F.when(long & word.rlike("(s|x|z|ch|sh)es$"), F.regexp_replace(word, "es$", "")),
+        )
+    )

@@ -53,7 +53,7 @@ def build_curated(
     spark: SparkSession,
     raw: str,
     out: str,
-    granted_before: str | None = "2024-08-01",
+    granted_before: str | None = None,
     rules: Rules = BRANCH_RULES,
 ) -> list[str]:
     """Write the curated tables and the branch-filtered patents below ``out``."""
@@ -71,9 +71,13 @@ def build_keywords(
     spark: SparkSession,
     text: str,
     curated: str,
-    extract: Callable[[DataFrame], DataFrame] = keywords.embedding_keywords,
+    extract: Callable[[DataFrame], DataFrame] = keywords.keyword_table,
 ) -> None:
-    """Write table ``keywords`` for the filtered patents from the record text files."""
+    """Write table ``keywords`` for the filtered patents from the record text files.
+
+    ``extract`` gives (patent_id, keywords); the default ranks terms by tf-idf. For a
+    language model pass ``embedding_keywords`` with a function that makes the model.
+    """
     wanted = spark.read.parquet(f"{curated}/filtered_patents")
     selected = joins.matching(read_quoted_records(spark, text), wanted, "patent_id")
     files.overwrite_parquet(extract(selected), f"{curated}/keywords")

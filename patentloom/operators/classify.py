@@ -96,7 +96,7 @@ def assign_branch(cpc: DataFrame, rules: Rules = BRANCH_RULES) -> DataFrame:
 def filter_patents(
     patents: DataFrame,
     cpc: DataFrame,
-    granted_before: str | None = "2024-08-01",
+    granted_before: str | None = None,
     rules: Rules = BRANCH_RULES,
 ) -> DataFrame:
     """Patents that fall in a branch, optionally only those granted before a date."""

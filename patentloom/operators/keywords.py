@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-import hashlib
-import re
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patentloom.functions.text import (
     IRREGULAR_LEMMAS,
+    NO_PLURALS,
     STOP_WORDS,
-    suffix_lemma,
+    singular_forms,
     tokens,
     without_stop_words,
 )
@@ -25,6 +21,9 @@ from patentloom.operators.joins import frequency_lookup
 from patentloom.operators.ranking import top_k_per_group
 from patentloom.session import ship_package
 
+# Letters, digits and underscores, two at least.
+WORD = r"(?U)\w\w+"
+
 # Documents encoded together; bounds the vectors held at a time.
 ENCODED_AT_ONCE = 64
 
@@ -76,50 +75,10 @@ def keyword_lists(ranked: DataFrame, id_column: str = "patent_id") -> DataFrame:
     )
 
 
-def hashed_tfidf(
-    docs: DataFrame, text_column: str = "summary_text", num_features: int = 10_000
-) -> DataFrame:
-    """Tf-idf vectors over hashed terms, as an ML pipeline."""
-    stages = [
-        Tokenizer(inputCol=text_column, outputCol="words"),
-        StopWordsRemover(inputCol="words", outputCol="filtered_words"),
-        HashingTF(inputCol="filtered_words", outputCol="raw_features", numFeatures=num_features),
-        IDF(inputCol="raw_features", outputCol="features"),
-    ]
-    return Pipeline(stages=stages).fit(docs).transform(docs)
-
-
-class HashEmbedder:
-    """Deterministic stand-in for a sentence model: a word is a vector of 32 signed
-    odd numbers read off its MD5 digits, a text is the sum over its words."""
-
-    word = re.compile(r"\w\w+")
-
-    def encode(self, texts: Sequence[str]) -> np.ndarray:
-        bags = [Counter(self.word.findall(text)) for text in texts]
-        place = {w: i for i, w in enumerate(set().union(*bags))}
-        digests = b"".join(
-            hashlib.md5(w.encode("utf-8"), usedforsecurity=False).digest() for w in place
-        )
-        octets = np.frombuffer(digests, dtype=np.uint8).reshape(-1, 16)
-        digits = np.stack([octets >> 4, octets & 15], axis=2).reshape(-1, 32)
-        # Whole numbers far below 2**53: sums and products stay exact in any order.
-        vectors = 2.0 * digits - 15.0
-        words = np.array([place[w] for bag in bags for w in bag], dtype=np.int64)
-        weights = np.array([n for bag in bags for n in bag.values()], dtype=float)
-        sizes = np.array([len(bag) for bag in bags])
-        starts = np.cumsum(sizes) - sizes
-        out = np.zeros((len(texts), 32))
-        if len(words):
-            weighted = vectors[words] * weights[:, np.newaxis]
-            out[sizes > 0] = np.add.reduceat(weighted, starts[sizes > 0])
-        return out
-
-
 def embedding_keywords(
     docs: DataFrame,
+    make_embedder: Callable[[], object],
     top_n: int = 5,
-    make_embedder: Callable[[], object] = HashEmbedder,
     id_column: str = "patent_id",
     text_column: str = "summary_text",
     stop_words: Sequence[str] = tuple(STOP_WORDS),
@@ -128,17 +87,22 @@ def embedding_keywords(
 
     ``make_embedder`` builds an object with ``encode(texts) -> matrix`` (the interface
     of sentence-embedding models) once per task. Documents stay where they are read:
-    there is no shuffle, and words shared by documents of a batch are encoded once.
+    there is no shuffle. Words and stop words are handled before Python, which only calls
+    the model; words shared by documents encoded together are encoded once.
     """
     ship_package(docs.sparkSession)
-    stop = frozenset(stop_words)
-    word = HashEmbedder.word
+    words = F.regexp_extract_all(
+        F.lower(F.coalesce(F.col(text_column), F.lit(""))), F.lit(WORD), F.lit(0)
+    )
+    prepared = docs.select(
+        id_column, without_stop_words(words, list(stop_words)).alias("_words")
+    )
 
-    def best_words(texts: Sequence[str | None], embedder) -> Iterator[list[dict]]:
-        kept = [[w for w in word.findall((t or "").lower()) if w not in stop] for t in texts]
+    def best_words(kept: Sequence[Sequence[str]], embedder) -> Iterator[list[dict]]:
+        kept = [list(words) for words in kept]
         vocabulary = sorted(set().union(*kept))
         if not vocabulary:
-            yield from ([] for _ in texts)
+            yield from ([] for _ in kept)
             return
         place = {w: i for i, w in enumerate(vocabulary)}
         vectors = np.asarray(embedder.encode(vocabulary))
@@ -167,19 +131,41 @@ def embedding_keywords(
                 yield pd.DataFrame(
                     {
                         id_column: part[id_column],
-                        "keywords": list(best_words(part[text_column], embedder)),
+                        "keywords": list(best_words(part["_words"], embedder)),
                     }
                 )
 
-    return docs.select(id_column, text_column).mapInPandas(
+    return prepared.mapInPandas(
         rank, f"{id_column} string, keywords array<struct<_1: string, _2: double>>"
     )
 
 
-def lemma(word: Column, irregular: dict[str, str] = IRREGULAR_LEMMAS) -> Column:
-    """Irregular form if known, else the word without its plural ending."""
-    known = F.create_map(*(F.lit(x) for pair in irregular.items() for x in pair))
-    return F.coalesce(F.try_element_at(known, word), suffix_lemma(word))
+def keyword_table(
+    docs: DataFrame, top_n: int = 20, id_column: str = "patent_id",
+    text_column: str = "summary_text",
+) -> DataFrame:
+    """(id, keywords) by tf-idf: what the keyword reports take."""
+    return keyword_lists(tfidf_keywords(docs, top_n, id_column, text_column), id_column)
+
+
+def corpus_lemmas(terms: DataFrame, column: str = "term") -> DataFrame:
+    """(word, lemma) for plurals whose singular is a term of the corpus too.
+
+    An ending is taken off only where the shorter word occurs, so words that merely end like
+    a plural stay as they are; words that never are plurals, and irregular ones, come from
+    tables. Of several singulars that occur, the first by rule counts.
+    """
+    words = terms.select(F.col(column).alias("word")).where(F.col("word").isNotNull()).distinct()
+    options = words.where(~F.col("word").isin(NO_PLURALS)).select(
+        "word", F.posexplode(singular_forms(F.col("word"))).alias("rule", "lemma")
+    )
+    known = words.select(F.col("word").alias("lemma"))
+    return (
+        options.join(known, "lemma")
+        .groupBy("word")
+        .agg(F.min(F.struct("rule", "lemma")).alias("best"))
+        .select("word", F.col("best.lemma").alias("lemma"))
+    )
 
 
 def lemmatized(
@@ -187,14 +173,23 @@ def lemmatized(
 ) -> DataFrame:
     """``normalized_keyword`` next to ``column``, blank results dropped.
 
-    ``lemmas`` (word, lemma) takes precedence over the built-in rules where given.
+    Lemmas come from ``lemmas`` (word, lemma) where a word is in it, then from the table of
+    irregular plurals, then from the corpus itself: the distinct values of ``column``. Words
+    that ``lemmas`` repeats take their least lemma.
     """
-    result = lemma(F.col(column))
+    counts = keywords.where(F.col(column).isNotNull()).groupBy(column).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    found = corpus_lemmas(counts, column).select(F.col("word").alias(column), "lemma")
+    irregular = F.create_map(*(F.lit(x) for pair in IRREGULAR_LEMMAS.items() for x in pair))
+    best = F.coalesce(F.try_element_at(irregular, F.col(column)), "lemma", column)
+    table = counts.join(found, column, "left")
     if lemmas is not None:
-        lookup = lemmas.select(F.col("word").alias(column), "lemma")
-        keywords = keywords.join(lookup, column, "left")
-        result = F.coalesce("lemma", result)
-    out = keywords.withColumn("normalized_keyword", result).drop("lemma")
+        given = lemmas.groupBy(F.col("word").alias(column)).agg(F.min("lemma").alias("_given"))
+        table = table.join(given, column, "left")
+        best = F.coalesce("_given", best)
+    table = table.select(column, "_n", best.alias("normalized_keyword"))
+    out = frequency_lookup(keywords, table, column, "_n", ["normalized_keyword"])
     return out.where(F.trim("normalized_keyword") != "")
 
 

@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from patentloom.functions.text import stripped
 from patentloom.sinks.files import written
-from patentloom.sources.text import LINE_ORDER
+from patentloom.sources.text import LINE_ORDER, RECORD_ID, header_rule, opening_rule
+
+
+def parts_of(lines: DataFrame, bytes_per_part: int) -> int:
+    """Number of parts of about ``bytes_per_part`` bytes."""
+    total = lines.agg(F.sum(F.octet_length("value") + 1)).first()[0] or 0
+    return max(1, -(-total // bytes_per_part))
 
 
 def split_in_order(lines: DataFrame, parts: int) -> DataFrame:
@@ -21,17 +27,21 @@ def stitch_lines(
     has_header: bool = True,
     id_column: str = "patent_id",
     text_column: str = "summary_text",
+    id_pattern: str = RECORD_ID,
 ) -> DataFrame:
     """Records from lines of parts that may be cut in the middle of a record.
 
-    A line starting with a quote opens a record, later lines continue it across part
-    boundaries. Numbering is done in two levels so that no task sees more than one
+    A quoted id and a tab at a line start open a record (``sources.text.opening_rule``),
+    later lines continue it across part boundaries, whatever they start with. Numbering is done in two levels so that no task sees more than one
     split: openings are counted per split, a running total over the (few) splits
     gives each its first number, and lines are numbered inside their split. Both
     levels must see the same splits, which two scans need not agree on while a
     cluster grows or shrinks, so the lines are written out first.
     """
-    lines = written(lines.withColumn("opens", F.col("value").startswith('"')), "lines")
+    opening = opening_rule(id_pattern)
+    if has_header:
+        lines = lines.where(~F.col("value").rlike(header_rule(id_column)))
+    lines = written(lines.withColumn("opens", F.col("value").rlike(opening)), "lines")
     split = ["file", "block"]
     per_split = lines.groupBy(*split).agg(F.count_if("opens").alias("openings"))
     before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
@@ -48,12 +58,10 @@ def stitch_lines(
     )
     first = F.col("lines")[0]["value"]
     rest = F.transform(F.slice("lines", 2, F.size("lines")), lambda x: stripped(x["value"]))
-    opening = r'^"([^"]*)"(.*)$'
     text = F.array_join(
         F.concat(F.array(stripped(F.regexp_extract(first, opening, 2))), rest), " "
     )
-    stitched = records.where(first.rlike(opening)).select(
+    stitched = records.select(
         F.regexp_extract(first, opening, 1).alias(id_column), stripped(text).alias(text_column)
     )
-    unwanted = ["", id_column] if has_header else [""]
-    return stitched.where(~F.col(id_column).isin(unwanted))
+    return stitched.where(F.col(id_column) != "")

@@ -72,22 +72,9 @@ def collaboration_stats(applicants: DataFrame) -> DataFrame:
     )
 
 
-def last_names_by_org(applicants: DataFrame, chunk_size: int = 100_000) -> DataFrame:
-    """Sorted distinct last names per organisation, in chunks of about ``chunk_size``.
-
-    Nearly every organisation is one row with ``chunk`` 0. Only one with more names
-    than fit a chunk is spread, by hash of the name, over as many rows as it needs,
-    so no task or row has to hold all of it and no name is lost.
-    """
-    pairs = require(applicants, ORG).select(ORG, LAST).distinct()
-    sizes = pairs.groupBy(ORG).agg(F.count(F.lit(1)).alias("names"))
-    chunks = F.ceil(F.col("names") / chunk_size)
-    placed = frequency_lookup(pairs, sizes, ORG, "names", ["names"]).withColumn(
-        "chunk", F.pmod(F.xxhash64(LAST), chunks).cast("int")
-    )
-    return placed.groupBy(ORG, "chunk").agg(
-        F.sort_array(F.collect_list(LAST)).alias("unique_applicants")
-    )
+def last_names_by_org(applicants: DataFrame) -> DataFrame:
+    """Distinct (organisation, last name) rows, whatever the size of an organisation."""
+    return require(applicants, ORG).select(ORG, LAST).distinct()
 
 
 def _patents_where(applicants: DataFrame, condition: Column, name: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patentloom.functions.dates import parsed_date
@@ -23,18 +23,21 @@ def _names(parties: str, field: str, **constants: str):
     )
 
 
-def normalize(records: DataFrame, year: int | None = 2024) -> DataFrame:
+def published_on(column: str = "date_published") -> Column:
+    """The calendar date of a feed record, null where there is none."""
+    day = F.col(column)
+    return F.when(day.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), parsed_date(day))
+
+
+def normalize(records: DataFrame, year: int | None = None) -> DataFrame:
     """Flat patent rows from nested records: claims counted over all claim groups,
     named parties only, gender unknown, and a valid date, of ``year`` if given."""
     claims = F.aggregate(
         F.col("claims"),
         F.lit(0),
-        lambda total, group: total + F.coalesce(F.size(group["claims"]), F.lit(0)),
-    )
-    date = F.when(
-        F.col("date_published").rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"),
-        parsed_date(F.col("date_published")),
+        lambda total, group: total + F.size(F.coalesce(group["claims"], F.array())),
     )
+    date = published_on()
     rows = records.select(
         F.col("doc_number").alias("patent_id"),
         F.coalesce(claims, F.lit(0)).alias("num_claims"),
@@ -50,15 +53,19 @@ def normalize(records: DataFrame, year: int | None = 2024) -> DataFrame:
 
 
 def latest_per_branch(records: DataFrame, k: int = 100) -> DataFrame:
-    """The ``k`` newest records per branch that have claims, inventors and applicants."""
-    complete = records.where(
-        (F.size("claims") > 0)
-        & (F.size("biblio.parties.inventors") > 0)
-        & (F.size("biblio.parties.applicants") > 0)
-    )
-    return top_k_per_group(
-        complete, "branch", [F.desc_nulls_last("date_published"), F.asc("doc_number")], k
+    """The ``k`` newest records per branch that have claims, inventors and applicants.
+
+    Newest by calendar date; texts that are no date come last.
+    """
+    listed = ("claims", "biblio.parties.inventors", "biblio.parties.applicants")
+    complete = records
+    for name in listed:
+        complete = complete.where(F.col(name).isNotNull() & (F.size(name) > 0))
+    dated = complete.withColumn("_published", published_on())
+    newest = top_k_per_group(
+        dated, "branch", [F.desc_nulls_last("_published"), F.asc("doc_number")], k
     )
+    return newest.drop("_published")
 
 
 def created_after(records: DataFrame, date: str, column: str = "date_published") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -11,9 +12,9 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
-# Defaults a job may override through ``conf``. The initial shuffle width is left
-# wide on purpose: adaptive execution merges small partitions and splits skewed
-# ones, while a narrow start cannot be widened at run time.
+# Defaults a job may override through ``conf``. Adaptive execution merges small shuffle
+# partitions and splits skewed ones, but cannot widen a narrow start: large jobs pass
+# ``shuffle_width``, about one partition per 128 MB of the largest shuffle.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -25,8 +26,13 @@ DEFAULTS = {
 }
 
 
-def get_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
+def get_session(
+    app_name: str, master: str | None = None, shuffle_width: int | None = None, **conf: str
+) -> SparkSession:
     """Build or reuse a session with the engine's defaults."""
+    if shuffle_width is not None:
+        width = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        conf = {width: str(shuffle_width), **conf}
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -44,7 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_KEY, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
     fallback = tempfile.mkdtemp(prefix="patentloom-")
     spark.conf.set(CHECKPOINT_KEY, fallback)

@@ -20,15 +20,14 @@ KEY_MARK = "table_key"
 @dataclass(frozen=True)
 class KeyedTable:
     """A table with one row per ``keys`` at ``path``; ``precombine`` decides between
-    rows of the same key within one write. A version has at most ``files`` files and
-    the newest ``keep_versions`` are kept for readers. One writer at a time."""
+    rows of the same key within one write. The newest
+    ``keep_versions`` versions are kept for readers. One writer at a time."""
 
     spark: SparkSession
     path: str
     keys: Sequence[str]
     precombine: str
     keep_versions: int = 3
-    files: int = 8
 
     def exists(self) -> bool:
         return bool(self._versions())
@@ -85,7 +84,7 @@ class KeyedTable:
         number = versions[-1] + 1 if versions else 1
         for key in self.keys:
             rows = rows.withMetadata(key, {KEY_MARK: True})
-        rows.coalesce(self.files).write.mode("overwrite").parquet(self._version_path(number))
+        rows.hint("rebalance").write.mode("overwrite").parquet(self._version_path(number))
         for old in versions[: max(0, len(versions) + 1 - self.keep_versions)]:
             target = self._hadoop_path(self._version_path(old))
             self._filesystem(target).delete(target, True)

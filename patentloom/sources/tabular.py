@@ -35,17 +35,5 @@ def read_csv_strings(spark: SparkSession, path: str, casts: Mapping[str, str] =
     return df.withColumns({name: F.col(name).try_cast(kind) for name, kind in casts.items()})
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A plain scan over at least as many partitions as there are cores.
-
-    Long texts are cheap to move and costly to process, so a file of few splits is
-    spread out before heavy work. Input of more splits than cores, hence any large
-    one, is left as it is. For scans only: asking a query that shuffles for its
-    partitions would run it.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)

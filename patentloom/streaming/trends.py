@@ -28,12 +28,26 @@ TREND_KEYS = ["year", "branch"]
 GEO_KEYS = ["timestamp", "branch", "state"]
 
 
-def prepared(records: DataFrame, grain: str = "month", delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Complete records with their bucket as watermarked event time."""
+def prepared(
+    records: DataFrame,
+    grain: str = "month",
+    delay: str = DEFAULT_DELAY,
+    from_date: str | None = None,
+) -> DataFrame:
+    """Complete records with their bucket as watermarked event time.
+
+    Where a batch has filled the report tables up to a date, ``from_date`` is that date, the
+    start of a bucket: the stream knows its own records only, and an older one among them
+    would replace a closed bucket. Such records are set aside and counted in the query
+    progress (observed metric ``set_aside``).
+    """
     date = parsed_date(F.col("patent_date"))
+    dated = drop_any_null(parsed_only(records)).where(date.isNotNull())
+    if from_date is not None:
+        old = date < F.lit(from_date).cast("date")
+        dated = dated.observe("set_aside", F.count_if(old).alias("records")).where(~old)
     return (
-        drop_any_null(parsed_only(records))
-        .where(date.isNotNull())
+        dated
         .withColumn("timestamp", bucket_start(date, grain).cast("timestamp"))
         .withColumn("num_claims", F.col("num_claims").try_cast("int"))
         .withWatermark("timestamp", delay)
@@ -146,11 +160,17 @@ def trend_tables(spark, root: str) -> dict[str, KeyedTable]:
 
 
 def start_all(
-    records: DataFrame, root: str, checkpoints: str, grain: str = "month", **options
+    records: DataFrame,
+    root: str,
+    checkpoints: str,
+    grain: str = "month",
+    from_date: str | None = None,
+    **options,
 ) -> list[StreamingQuery]:
-    """Start the three trend queries. Wait with ``spark.streams.awaitAnyTermination``,
+    """Start the three trend queries, from the cutoff of the batch tables where there are
+    any (``from_date``). Wait with ``spark.streams.awaitAnyTermination``,
     which sees the failure of any of them."""
-    ready = prepared(records, grain)
+    ready = prepared(records, grain, from_date=from_date)
     tables = trend_tables(records.sparkSession, root)
     reports = {
         "patent_trends": patent_trends(ready),

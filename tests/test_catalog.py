@@ -10,8 +10,6 @@ import check
 from patentloom.catalog import all_oracle_sql, all_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-# They call the embedding model.
-WITH_PYTHON = {"embedding_keywords", "top_keywords_by_branch"}
 QUERIES, ORACLE = all_queries(), all_oracle_sql()
 
 
@@ -37,7 +35,7 @@ def test_matches_sql_with_a_sound_plan(spark, con, plan_of, name):
     assert problem == ""
     plan = plan_of(built[0])
     assert not re.search("CartesianProduct|NestedLoopJoin|BatchEvalPython|ArrowEvalPython", plan)
-    assert ("MapInPandas" in plan) == (name in WITH_PYTHON)
+    assert "MapInPandas" not in plan
 
 
 def test_entry(spark):

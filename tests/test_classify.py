@@ -62,9 +62,9 @@ def test_cutoff_is_exclusive_and_optional(spark, cpc):
         [("p1", dt.date(2024, 7, 31)), ("p2", dt.date(2024, 8, 1)), ("p4", None)],
         "patent_id string, patent_date date",
     )
-    kept = classify.filter_patents(patents, cpc, rules=RULES)
+    kept = classify.filter_patents(patents, cpc, "2024-08-01", RULES)
     assert [r.patent_id for r in kept.collect()] == ["p1"]
-    assert classify.filter_patents(patents, cpc, None, RULES).count() == 3
+    assert classify.filter_patents(patents, cpc, rules=RULES).count() == 3
 
 
 def test_coverage_lists_rules_without_hits(cpc, rows):

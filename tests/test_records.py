@@ -41,13 +41,13 @@ def test_normalize(spark, tmp_path):
         api("5", "2024-1-5", claims=None, inventors=None, applicants=()),
         api("6", "2024"),
     )
-    got = {r.patent_id: r for r in records.normalize(raw).collect()}
+    got = {r.patent_id: r for r in records.normalize(raw, 2024).collect()}
     assert set(got) == {"1", "5"}
     assert got["1"].num_claims == 3 and got["1"].month == "2024_Oct"
     assert [tuple(i) for i in got["1"].inventors] == [("Ann", "U")]
     assert [tuple(a) for a in got["1"].applicants] == [("Org",)]
     assert (got["5"].num_claims, got["5"].inventors, got["5"].applicants) == (0, [], [])
-    assert records.normalize(raw, year=None).count() == 3
+    assert records.normalize(raw).count() == 3
 
 
 def test_latest_per_branch_needs_all_parts(spark, tmp_path):

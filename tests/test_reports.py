@@ -189,20 +189,14 @@ def claims(spark):
     )
 
 
-def test_last_names_are_whole_whatever_the_chunk_size(spark):
-    names = [f"n{i:03}" for i in range(200)]
-    rows = [(n, "Big") for n in names * 2] + [("x", "Small"), (None, "None"), ("y", None)]
+def test_last_names_are_distinct_rows(spark):
+    rows = [("big", f"n{i % 40}") for i in range(100)] + [("small", "x"), ("small", None), (None, "y")]
     df = spark.createDataFrame(
-        rows, "raw_applicant_name_last string, raw_applicant_organization string"
+        rows, "raw_applicant_organization string, raw_applicant_name_last string"
     )
-    whole = applicants.last_names_by_org(df).collect()
-    assert {r.raw_applicant_organization: r.unique_applicants for r in whole} == {
-        "Big": names, "Small": ["x"], "None": [],
-    }
-    chunks = applicants.last_names_by_org(df, chunk_size=20).collect()
-    big = [r for r in chunks if r.raw_applicant_organization == "Big"]
-    assert len(big) > 5
-    assert sorted(n for r in big for n in r.unique_applicants) == names
+    got = applicants.last_names_by_org(df).collect()
+    assert len(got) == 42
+    assert {r[1] for r in got if r[0] == "big"} == {f"n{i}" for i in range(40)}
 
 
 def test_applicant_details_and_counts(claims, filtered):
