@@ -1,5 +1,6 @@
 """Registered queries on sources, sinks, quality, curated tables and joins."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,6 +77,36 @@ def sink_csv_roundtrip(t: Tables) -> DataFrame:
     return tabular.read_csv(t.spark, path, t.patent_info.schema)
 
 
+def sink_new_parquet(t: Tables) -> DataFrame:
+    """A second write to the same path is refused and the first one stays."""
+    path = scratch_path(t.spark, "new")
+    files.new_parquet(t.patent_info, path)
+    refused = False
+    try:
+        files.new_parquet(t.patent_info.limit(0), path)
+    except AnalysisException:
+        refused = True
+    return tabular.read_parquet(t.spark, path).withColumn("refused", F.lit(refused))
+
+
+def sink_single_csv(t: Tables) -> DataFrame:
+    """A report as one CSV file, read back with the number of files it lies in."""
+    path = scratch_path(t.spark, "single")
+    report = t.patent_info.groupBy("patent_type").agg(F.count(F.lit(1)).alias("patents"))
+    files.write_single_csv(report, path)
+    back = tabular.read_csv(t.spark, path, report.schema)
+    return back.withColumn("n_files", F.lit(len(back.inputFiles())))
+
+
+def sink_append(t: Tables) -> DataFrame:
+    """Two chunks appended one after the other."""
+    path = scratch_path(t.spark, "append")
+    odd = F.pmod(F.xxhash64("patent_id"), F.lit(2)) == 1
+    files.append_parquet(t.patent_info.where(odd), path)
+    files.append_parquet(t.patent_info.where(~odd), path)
+    return tabular.read_parquet(t.spark, path)
+
+
 def save_all_tables(t: Tables) -> DataFrame:
     """Row counts of the curated tables after saving and reading them back."""
     tables = {
@@ -97,6 +128,13 @@ def save_all_tables(t: Tables) -> DataFrame:
 
 register("sink_parquet_roundtrip", sink_parquet_roundtrip, "SELECT * FROM patent_info")
 register("sink_csv_roundtrip", sink_csv_roundtrip, "SELECT * FROM patent_info")
+register("sink_new_parquet", sink_new_parquet, "SELECT *, true AS refused FROM patent_info")
+register(
+    "sink_single_csv",
+    sink_single_csv,
+    """SELECT patent_type, count(*) AS patents, 1 AS n_files FROM patent_info GROUP BY 1""",
+)
+register("sink_append", sink_append, "SELECT * FROM patent_info")
 register(
     "save_all_tables",
     save_all_tables,
