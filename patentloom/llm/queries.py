@@ -140,6 +140,75 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op3_ngram_jaccard_join": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 4], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i
+    FROM words)
+), sizes AS (
+  SELECT doc_id, count(h) AS n FROM words LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingles x JOIN shingles y ON x.h = y.h AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared o JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * o.n >= 80 * (x.n + y.n - o.n)
+), reached(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), component AS (
+  SELECT a AS doc_id, least(a, min(b)) AS c FROM reached GROUP BY a
+)
+SELECT doc_id, n AS n_shingles, coalesce(c, doc_id) AS component_id
+FROM sizes LEFT JOIN component USING (doc_id)
+""",
+    "op4_substring_dedup": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, s, md5(array_to_string(w[s:s + 19], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM words)
+), repeated AS (
+  SELECT doc_id, s
+  FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, s) AS nth FROM windows)
+  WHERE nth > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM repeated
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words)
+  ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+""",
+    "op6_suffix_array_dedup": """
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(substr(x, 2 * i + 1, 100)) AS h
+  FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2 - 49)) AS i FROM bytes)
+), repeated AS (
+  SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS first FROM windows)
+  WHERE first < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM repeated
+), runs AS (
+  SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE last IS NULL OR last < i - 1) AS spans
+  FROM (SELECT *, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS last FROM gone)
+  GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(x, 2 * i + 1, 2), '' ORDER BY i) AS x
+  FROM (SELECT doc_id, x, unnest(range(0, length(x) // 2)) AS i FROM bytes)
+  ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, (length(b.x) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed,
+  coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k.x, ''))) AS kept_sha256
+FROM bytes b LEFT JOIN runs USING (doc_id) LEFT JOIN kept k USING (doc_id)
+""",
     "op5_embedding_near_dedup": """
 WITH RECURSIVE good AS (
   SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
