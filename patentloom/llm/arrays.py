@@ -14,6 +14,9 @@ INVERSE = pow(BASE, -1, 1 << 64)
 #: Stands for a null id: sorts after all others.
 NULL_ID = np.iinfo(np.int64).max
 
+# Python workers outlive their tasks: memory of a finished group goes back to the system.
+pa.set_memory_pool(pa.system_memory_pool())
+
 _powers: dict[int, np.ndarray] = {}
 
 

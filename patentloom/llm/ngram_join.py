@@ -60,7 +60,7 @@ class Settings:
     fan: int = 16
     group: int = 2048
     orders: int = 2
-    bucket_bytes: int = 4 << 20
+    bucket_bytes: int = 2 << 20
 
 
 @dataclass
