@@ -224,14 +224,20 @@ def _cut(unit: Column, bounds: Column) -> Column:
     )
 
 
+def _columns(pieces: Pieces) -> tuple:
+    return pieces.names, pieces.scores, pieces.plain
+
+
 def lattice_paths(units: DataFrame, pieces: Pieces, keys: tuple[str, ...] = ("unit",)) -> DataFrame:
     """``keys`` (the last is the unit) and ``pieces``, for units that have an edge at all."""
-    spark = units.sparkSession
-    table = spark.createDataFrame(
+    own = [(n, v) for n, v, ok in zip(*_columns(pieces), strict=True) if ok]
+    rank = {v: i for i, v in enumerate(sorted({v for _, v in own}, reverse=True))}
+    table = units.sparkSession.createDataFrame(
         pa.table(
             {
-                "piece": [n for n, ok in zip(pieces.names, pieces.plain, strict=True) if ok],
-                "score": [s for s, ok in zip(pieces.scores, pieces.plain, strict=True) if ok],
+                "piece": [n for n, _ in own],
+                "score": pa.array([v for _, v in own], pa.float64()),
+                "rank": pa.array([rank[v] for _, v in own], pa.int32()),
             }
         )
     )
@@ -245,17 +251,21 @@ def lattice_paths(units: DataFrame, pieces: Pieces, keys: tuple[str, ...] = ("un
         *keys, "start", F.explode(F.sequence(F.lit(least), size)).alias("size")
     ).withColumn("piece", F.substr(unit, F.col("start") + 1, F.col("size")))
     edges = spans.join(F.broadcast(table), "piece")
-    grouped = edges.groupBy(*keys).agg(
-        F.map_from_entries(
-            F.collect_list(F.struct(F.col("start") * 64 + F.col("size"), F.col("score")))
-        ).alias("edges")
-    )
-    path = (
-        _folded_merges(unit, F.col("edges"))
-        if pieces.kind == "bpe"
-        else _folded_path(unit, F.col("edges"), longest, unknown_score(pieces))
-    )
-    return grouped.select(*keys, path.alias("pieces"))
+    place = F.col("start") * 64 + F.col("size")
+    if pieces.kind == "bpe":  # merges only compare scores, so an edge is one number
+        packed = edges.groupBy(*keys).agg(F.collect_list(F.col("rank") * 4096 + place).alias("e"))
+        entries = F.transform("e", lambda v: F.struct(v % 4096, -F.floor(v / 4096)))
+        grouped = packed.select(*keys, F.map_from_entries(entries).alias("edges"))
+    else:
+        entries = F.collect_list(F.struct(place, F.col("score")))
+        grouped = edges.groupBy(*keys).agg(F.map_from_entries(entries).alias("edges"))
+    def path(own_edges: Column) -> Column:
+        if pieces.kind == "bpe":
+            return _folded_merges(unit, own_edges)
+        return _folded_path(unit, own_edges, longest, unknown_score(pieces))
+
+    # Bound, or the optimiser would build the map anew for every look-up in the fold.
+    return grouped.select(*keys, _bind(F.col("edges"), path).alias("pieces"))
 
 
 # Documents.
@@ -353,7 +363,7 @@ def encode(
     pieces: Pieces,
     doc_id: str = "doc_id",
     text: str = "text",
-    bucket_bytes: int = 16 << 20,
+    bucket_bytes: int = 4 << 20,
     longest_unit: int = 48,
 ) -> DataFrame:
     """Columns doc_id, text and ids (piece ids as the library returns them).
@@ -367,6 +377,8 @@ def encode(
         raise ValueError("longest_unit is between 2 and 63")
     spark = docs.sparkSession
     buckets = total_bytes(docs, text) // bucket_bytes + 1
+    # About a bucket per task: grouping the edges of one bucket stays in memory.
+    tasks = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # One column holds id and text, so that both uses below ask for the same shuffle.
     number = F.lpad(F.hex(F.col(doc_id).cast("long")), 16, "0")
     body = F.concat(
@@ -377,7 +389,7 @@ def encode(
     dealt = docs.select(
         F.pmod(F.xxhash64(doc_id, text), F.lit(buckets)).cast("int").alias("bucket"),
         body.alias("body"),
-    ).repartition("bucket")
+    ).repartition(tasks, "bucket")
     inner = F.concat(F.lit(BLANK), F.replace(F.substr("body", F.lit(18)), F.lit(" "), F.lit(BLANK)))
     units = dealt.select(
         "bucket",
@@ -403,7 +415,7 @@ def _decoder(sent, ids: str, to: str, schema: pa.Schema):
                 raw.append(bytes([int(name[3:5], 16)]))
             else:
                 raw.append(name.replace(BLANK, " ").encode() if ok else b"")
-        for batch in batches:
+        for batch in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
             lists = batch.column(batch.schema.get_field_index(ids))
             flat = lists.flatten().to_pylist()
             out, at = [], 0
