@@ -85,6 +85,31 @@ def test_recall_with_many_leaves(spark):
     assert sum(got.values()) >= 0.97 * sum(want.values())
 
 
+def exact(unit, labels, threshold=0.93):
+    near = (unit @ unit.T >= threshold) & (labels[:, None] == labels[None])
+    return near.sum(1) - 1
+
+
+@pytest.mark.parametrize("piece", [16_384, 900])
+def test_large_group_of_near_copies(spark, piece):
+    """All links of 4,000 vectors that are near but not equal, beside others."""
+    rng = np.random.default_rng(5)
+    group = rng.standard_normal(64) + 0.2 * rng.standard_normal((4_000, 64))
+    v = np.concatenate([group, rng.standard_normal((1_500, 64))]).astype(np.float32)
+    labels = np.append(np.zeros(4_000, int), rng.integers(0, 2, 1_500))
+    table = spark.createDataFrame(
+        [(i, x.tolist(), int(lab), "x", 1, "y") for i, (x, lab) in enumerate(zip(v, labels, strict=True))],
+        SCHEMA,
+    )
+    unit = v.astype(np.float64)
+    unit /= np.sqrt((unit * unit).sum(1, keepdims=True))
+    want = exact(unit, labels)
+    assert want[:4_000].min() > 3_000
+    got = near_duplicates(table, forest=Forest(piece=piece)).orderBy("vec_id").collect()
+    assert [r["n_links"] for r in got] == want.tolist()
+    assert {r["component_id"] for r in got[:4_000]} == {0}
+
+
 def test_odd_rows(spark):
     one, nan, inf = [1.0, 0.0], float("nan"), float("inf")
     rows = [
