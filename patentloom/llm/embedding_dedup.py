@@ -53,10 +53,10 @@ class Forest:
     in a leaf from which it is dealt to blocks; ``block``: vectors compared at once."""
 
     threshold: float = 0.93
-    trees: int = 4
+    trees: int = 6
     sample: int = 20_000
     leaf: int = 500
-    spill: float = 0.25
+    spill: float = 0.35
     least_sample: int = 32
     dense: float = 0.25
     piece: int = 16_384

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from patentloom.llm.components import connected_components
-from patentloom.llm.embedding_dedup import Forest, near_duplicates
+from patentloom.llm.embedding_dedup import Forest, _trees, leaves_of, near_duplicates
 
 SCHEMA = "vec_id long, embedding array<float>, label int, rep string, vector int, tree string"
 
@@ -110,6 +110,40 @@ def test_large_group_of_near_copies(spark, piece):
     assert {r["component_id"] for r in got[:4_000]} == {0}
 
 
+def recall(forest, n, common, seed=3):
+    """Share of planted pairs at cosine 0.935 that share a leaf, among n vectors of one label
+    whose mean cosine is ``common``."""
+    rng = np.random.default_rng(seed)
+
+    def unit(x):
+        return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+    mean = unit(rng.standard_normal((1, 64)))
+    v = np.sqrt(common) * mean + np.sqrt(1 - common) * unit(rng.standard_normal((n, 64)))
+    v = unit(v)
+    pairs = n // 20
+    side = rng.standard_normal((pairs, 64))
+    side = unit(side - (side * v[:pairs]).sum(1, keepdims=True) * v[:pairs])
+    v[-pairs:] = 0.935 * v[:pairs] + np.sqrt(1 - 0.935**2) * side
+    sample = v[rng.choice(n, min(n, forest.sample), replace=False)]
+    trees = _trees(sample, np.zeros(len(sample), np.int64), n, 1, forest)
+    met = np.zeros(pairs, bool)
+    for tree in trees.trees:
+        assert tree.splits
+        for _, rows in leaves_of(v, tree, forest.seed):
+            inside = np.zeros(n, bool)
+            inside[rows] = True
+            met |= inside[:pairs] & inside[-pairs:]
+    return met.mean()
+
+
+@pytest.mark.parametrize("common", [0.0, 0.8])
+def test_recall_at_production_settings(common):
+    found = recall(Forest(), 40_000, common)
+    print(f"recall among 40,000 vectors of mean cosine {common}: {found:.4f}")
+    assert found >= 0.985
+
+
 def test_odd_rows(spark):
     one, nan, inf = [1.0, 0.0], float("nan"), float("inf")
     rows = [
