@@ -11,6 +11,11 @@ anchor and travel as one *context*. Four passes over the shuffled documents:
    windows that occur earlier, by the operator's own index (``solve``)
 4. marks on the windows of every document, handed to ``finish``.
 
+An anchor with very many different contents (the edge of a passage that very many documents
+share) would make one part hold all of them. Its windows are dealt by their own hash
+instead: a bucket sends each window once, with its first place, and hears whether another
+bucket has an earlier one. Equal windows are told by 64-bit hashes there, as equal contents are.
+
 Windows are judged on the input, so the result does not depend on the order of work.
 """
 
@@ -21,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from patentloom.llm import exchange as X
@@ -43,11 +49,14 @@ RECORD = np.dtype(
 CODE = np.dtype([("at", "<i4"), ("code", "u1")])
 BODY = np.dtype(RECORD.descr + [("len", "<i4")])
 MASK = np.dtype([("at", "<i4"), ("mask", "<u8")])
+PLACE = np.dtype([("h", "<u8"), ("doc", "<i8"), ("pos", "<i4")])
 
-ALONE, LATER, ASKED = 0, 1, 2
-CODES, MASKS = 1, 2
-#: Tokens that a part compares at once: bounds memory, not what is compared.
+ALONE, LATER, ASKED, SPREAD = 0, 1, 2, 3
+CODES, MASKS, BITS = 1, 2, 3
+#: Tokens that a part compares at once, but for an anchor's own: those are below ``HOT`` contents.
 SLICE = 1 << 19
+#: Different contents of an anchor from which its windows are dealt by their own hash.
+HOT = 2_000
 
 
 @dataclass(frozen=True)
@@ -65,6 +74,7 @@ class Windows:
     dtype: np.dtype
     tokenise: Callable[[Texts], tuple[np.ndarray, np.ndarray]]
     solve: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    hot: int = HOT
 
 
 @dataclass
@@ -76,6 +86,7 @@ class Contexts:
     doc: np.ndarray  # index of the document in the bucket
     tokens: np.ndarray
     starts: np.ndarray
+    prefix: np.ndarray  # hashes, see ``prefix_hashes``
 
     def __len__(self) -> int:
         return len(self.a)
@@ -87,7 +98,7 @@ def contexts_of(texts: Texts, spec: Windows) -> Contexts:
     n, width = len(tokens), spec.width
     if n < width:
         none = np.zeros(0, np.int64)
-        return Contexts(none.astype(U64), none.astype(U64), none, none, none, tokens, starts)
+        return Contexts(none.astype(U64), none.astype(U64), none, none, none, tokens, starts, none)
     prefix = prefix_hashes(tokens.astype(U64) + U64(1))
     grams = prefix[spec.gram :] - prefix[: -spec.gram]
     grams *= powers(INVERSE, len(grams))
@@ -101,14 +112,14 @@ def contexts_of(texts: Texts, spec: Windows) -> Contexts:
     window = np.flatnonzero(np.cumsum(inside[: len(anchor)], dtype=np.int8))
     if not len(window):
         none = np.zeros(0, np.int64)
-        return Contexts(none.astype(U64), none.astype(U64), none, none, none, tokens, starts)
+        return Contexts(none.astype(U64), none.astype(U64), none, none, none, tokens, starts, none)
     at = anchor[window]
     cut = np.flatnonzero((np.diff(at) != 0) | (np.diff(window) != 1)) + 1
     first, last = window[np.append(0, cut)], window[np.append(cut, len(window)) - 1]
     content = range_hashes(prefix, first, last + width)
     content = mix(content + (last - first).astype(U64) * U64(0xD6E8FEB86659FD93))
     doc = np.searchsorted(starts, first, "right") - 1
-    return Contexts(grams[anchor[first]], content, first, last, doc, tokens, starts)
+    return Contexts(grams[anchor[first]], content, first, last, doc, tokens, starts, prefix)
 
 
 @dataclass
@@ -181,7 +192,8 @@ def _rank(spec: Windows):
         contents = np.bincount(group, weights=new_c)[group]
         codes = np.zeros(n, CODE)
         codes["at"][order] = r["at"]
-        codes["code"][order] = np.where(later, LATER, np.where(contents > 1, ASKED, ALONE))
+        several = np.where(contents > spec.hot, SPREAD, np.where(contents > 1, ASKED, ALONE))
+        codes["code"][order] = np.where(later, LATER, several)
         out, at = [], 0
         for blob in blobs:
             k = len(blob) // RECORD.itemsize
@@ -224,6 +236,89 @@ def _bodies(spec: Windows, parts: int):
     return run
 
 
+def _windows_of(found: Contexts, at: np.ndarray) -> np.ndarray:
+    """First tokens of all windows of contexts ``at``, in their order."""
+    size = found.last[at] - found.first[at] + 1
+    return np.arange(size.sum()) + np.repeat(found.first[at] - np.cumsum(size) + size, size)
+
+
+class Spread:
+    """The different windows of a bucket's spread contexts, and the first place of each."""
+
+    def __init__(self, texts: Texts, found: Contexts, codes: np.ndarray, spec: Windows):
+        at = np.sort(codes["at"][codes["code"] == SPREAD]).astype(np.int64)
+        window = _windows_of(found, at)  # ascending, so the first of a hash is the earliest
+        h = mix(range_hashes(found.prefix, window, window + spec.width))
+        self.hash, first = np.unique(h, return_index=True)
+        self.doc, self.pos = _place(texts, found, window[first])
+
+    def places(self) -> np.ndarray:
+        out = np.zeros(len(self.hash), PLACE)
+        out["h"], out["doc"], out["pos"] = self.hash, self.doc, self.pos
+        return out
+
+
+def _place(texts: Texts, found: Contexts, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    doc = np.searchsorted(found.starts, window, "right") - 1
+    return texts.ids[doc], window - found.starts[doc]
+
+
+def _spread(spec: Windows, parts: int):
+    def run(table: pa.Table, replies: pa.Table) -> pa.Table:
+        codes = _codes(replies)
+        if not (codes["code"] == SPREAD).any():
+            return X.empty()
+        texts = texts_of(table)
+        spread = Spread(texts, contexts_of(texts, spec), codes, spec)
+        return X.Deal(spread.hash, parts).pack(spread.places(), X.bucket_of(table))
+
+    return run
+
+
+def _earlier(spec: Windows):
+    """One bit per window of a bucket: whether another bucket has an earlier one."""
+
+    def run(table: pa.Table) -> pa.Table:
+        blobs = table["blob"].to_pylist()
+        r = np.frombuffer(b"".join(blobs), PLACE)
+        order = np.lexsort((r["pos"], r["doc"], r["h"]))
+        s = r[order]
+        new = np.append(True, s["h"][1:] != s["h"][:-1])
+        head = s[np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))]
+        later = np.zeros(len(r), bool)
+        later[order] = s["doc"] > head["doc"]
+        if spec.by_start:
+            later[order] |= (s["doc"] == head["doc"]) & (s["pos"] > head["pos"])
+        out, at = [], 0
+        for blob in blobs:
+            n = len(blob) // PLACE.itemsize
+            out.append(np.packbits(later[at : at + n]).tobytes())
+            at += n
+        kind = pa.array(np.full(len(out), BITS), pa.int32())
+        return pa.table(
+            [table["part"], table["bucket"], kind, pa.array(out, pa.binary())], schema=X.SCHEMA
+        )
+
+    return run
+
+
+def _mark_spread(
+    out: np.ndarray, texts: Texts, found: Contexts, at: np.ndarray, replies: pa.Table,
+    spec: Windows, parts: int,
+) -> None:
+    """Marks the repeated windows of contexts ``at``, whose contents have been spread."""
+    spread = Spread(texts, found, _codes(replies), spec)
+    bits = replies.filter(pc.equal(replies["kind"], BITS))
+    later = X.Deal(spread.hash, parts).unpack_bits(bits)
+    window = _windows_of(found, at)
+    k = np.searchsorted(spread.hash, mix(range_hashes(found.prefix, window, window + spec.width)))
+    doc, pos = _place(texts, found, window)
+    gone = later[k] | (doc > spread.doc[k])
+    if spec.by_start:
+        gone |= (doc == spread.doc[k]) & (pos > spread.pos[k])
+    out[window[gone]] = True
+
+
 def _slices(anchors: np.ndarray, ends: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Runs of whole anchor groups with about ``most`` tokens each."""
     heads = np.flatnonzero(np.append(True, anchors[1:] != anchors[:-1]))
@@ -263,7 +358,9 @@ def _compare(spec: Windows):
     return run
 
 
-def _marks(texts: Texts, found: Contexts, replies: pa.Table, spec: Windows) -> np.ndarray:
+def _marks(
+    texts: Texts, found: Contexts, replies: pa.Table, spec: Windows, parts: int
+) -> np.ndarray:
     """True for every token index at which a repeated window starts."""
     n = len(found.tokens)
     out = np.zeros(n, bool)
@@ -291,6 +388,9 @@ def _marks(texts: Texts, found: Contexts, replies: pa.Table, spec: Windows) -> n
     for bit in range(spec.width - spec.gram + 1):
         hit = some[(mask[rep[some]] >> U64(bit)) & U64(1) != 0]
         out[found.first[hit] + bit] = True
+    spread = np.flatnonzero(~whole & (code[rep] == SPREAD))
+    if len(spread):
+        _mark_spread(out, texts, found, spread, replies, spec, parts)
     return out
 
 
@@ -301,11 +401,11 @@ def covered(starts: np.ndarray, width: int) -> np.ndarray:
     return total[1:] > total[low]
 
 
-def _finish(spec: Windows, finish):
+def _finish(spec: Windows, parts: int, finish):
     def run(table: pa.Table, replies: pa.Table) -> pa.Table:
         texts = texts_of(table)
         found = contexts_of(texts, spec)
-        return finish(texts, covered(_marks(texts, found, replies, spec), spec.width), found)
+        return finish(texts, covered(_marks(texts, found, replies, spec, parts), spec.width), found)
 
     return run
 
@@ -330,4 +430,7 @@ def mark_repeats(
     codes = offered.groupBy("part").applyInArrow(_rank(spec), X.PACKED)
     bodies = X.with_replies(docs, codes, _bodies(spec, parts))
     masks = bodies.groupBy("part").applyInArrow(_compare(spec), X.PACKED)
-    return X.with_replies(docs, codes.unionByName(masks), _finish(spec, finish), schema)
+    spread = X.with_replies(docs, codes, _spread(spec, parts))
+    bits = spread.groupBy("part").applyInArrow(_earlier(spec), X.PACKED)
+    said = codes.unionByName(masks).unionByName(bits)
+    return X.with_replies(docs, said, _finish(spec, parts, finish), schema)

@@ -2,16 +2,19 @@
 
 import random
 import re
+from functools import partial
 
 import numpy as np
 import pytest
 
+from patentloom.llm import automaton_dedup, suffix_dedup
 from patentloom.llm.automaton_dedup import SuffixAutomaton, remove_repeated_words
 from patentloom.llm.suffix_dedup import (
     longest_previous_factors,
     previous_smaller,
     remove_repeated_bytes,
 )
+from patentloom.llm.windows import Windows
 
 SCHEMA = "doc_id long, text string, bucket string, part int, kept string"
 
@@ -89,6 +92,58 @@ def test_bytes_match_brute_force(spark, bucket_bytes):
     assert {r["doc_id"]: (*tuple(r)[1:4], bytes(r["kept"])) for r in got} == by_bytes(rows)
 
 
+def crowd(n: int):
+    """A third of the rows hold one passage, each in words of its own."""
+    rng = random.Random(n)
+
+    def own(k):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(k))
+
+    passage = own(60)
+    texts = [f"{own(25)} {passage} {own(25)}" if i % 3 == 0 else own(60) for i in range(n)]
+    return [(i, t, "x", 1, "y") for i, t in enumerate(texts + texts[:4])]
+
+
+@pytest.mark.parametrize("bucket_bytes", [20_000, 1 << 20])
+@pytest.mark.parametrize(
+    "remove, want, module",
+    [(remove_repeated_words, by_words, automaton_dedup), (remove_repeated_bytes, by_bytes, suffix_dedup)],
+)
+def test_passage_in_a_third_of_rows(spark, monkeypatch, remove, want, module, bucket_bytes):
+    """Contexts at its edges are dealt by window: no part solves many around one anchor."""
+    hot = 40
+    solver = module._solver
+
+    def checked(width):
+        solve = solver(width)
+
+        def run(records, tokens):
+            counts = np.unique(records["a"], return_counts=True)[1]
+            assert counts.max() <= hot, f"{counts.max()} contexts around one anchor"
+            return solve(records, tokens)
+
+        return run
+
+    monkeypatch.setattr(module, "_solver", checked)
+    monkeypatch.setattr(module, "Windows", partial(Windows, hot=hot))
+    rows = crowd(1_200)
+    got = remove(spark.createDataFrame(rows, SCHEMA), bucket_bytes=bucket_bytes).collect()
+    plain = {r["doc_id"]: tuple(bytes(x) if isinstance(x, bytearray) else x for x in r)[1:] for r in got}
+    assert plain == want(rows)
+
+
+@pytest.mark.parametrize("bucket_bytes", [300, 1 << 20])
+def test_all_anchors_spread(spark, monkeypatch, bucket_bytes):
+    for module in (automaton_dedup, suffix_dedup):
+        monkeypatch.setattr(module, "Windows", partial(Windows, hot=1))
+    rows = corpus(bucket_bytes)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = remove_repeated_words(docs, bucket_bytes=bucket_bytes).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in got} == by_words(rows)
+    got = remove_repeated_bytes(docs, bucket_bytes=bucket_bytes).collect()
+    assert {r["doc_id"]: (*tuple(r)[1:4], bytes(r["kept"])) for r in got} == by_bytes(rows)
+
+
 @pytest.mark.parametrize("remove", [remove_repeated_words, remove_repeated_bytes])
 def test_empty_table_and_equal_rows(spark, remove):
     assert remove(spark.createDataFrame([], SCHEMA)).collect() == []
