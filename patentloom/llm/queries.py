@@ -12,6 +12,7 @@ from patentloom.llm import (
     automaton_dedup,
     benchmark_scan,
     embedding_dedup,
+    filter_audit,
     line_dedup,
     ngram_join,
     quality,
@@ -126,6 +127,12 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_toxicity": op2_toxicity,
@@ -137,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_url_filters": op10_url_filters,
+    "op12_filter_interaction_audit": op12_filter_interaction_audit,
 }
 
 SQL: dict[str, str] = {
@@ -327,6 +335,46 @@ SELECT page_id, host, path, rule,
   coalesce(said, CASE WHEN m - 1.645 * sqrt(m * (1 - m) / (z + 1)) > 0.5 THEN 'block'
     ELSE 'allow' END) AS verdict
 FROM judged LEFT JOIN fitting USING (page_id)
+""",
+    "op12_filter_interaction_audit": r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), marks AS (
+  SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), judged AS (
+  SELECT part, len(w) < 200 AS A, 100 * len(list_distinct(w)) < 50 * len(w) AS B,
+    100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) AS C,
+    regexp_matches(t, '[#$%&*|]') AS D,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS E,
+    coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM words LEFT JOIN marks USING (doc_id)
+), failing AS (
+  SELECT part, good, toxic, CASE WHEN A THEN 'A' ELSE '' END || CASE WHEN B THEN 'B' ELSE '' END
+    || CASE WHEN C THEN 'C' ELSE '' END || CASE WHEN D THEN 'D' ELSE '' END
+    || CASE WHEN E THEN 'E' ELSE '' END AS fails FROM judged
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a JOIN letters b ON b.f <> a.f JOIN letters c ON c.f NOT IN (a.f, b.f)
+  JOIN letters d ON d.f NOT IN (a.f, b.f, c.f) JOIN letters e ON e.f NOT IN (a.f, b.f, c.f, d.f)
+), ranks AS (
+  SELECT part, good, toxic, fails, filter_order, coalesce(list_min(list_transform(
+    string_split(fails, ''), lambda f: nullif(instr(filter_order, f), 0))), 6) AS gone
+  FROM (SELECT part, good, toxic, nullif(fails, '') AS fails FROM failing), orders
+), counted AS (
+  SELECT part, filter_order, step, filter_order[step] AS f, count(*) FILTER (gone > step) AS kept,
+    count(*) FILTER (gone = step) AS removed,
+    count(*) FILTER (gone < step AND contains(fails, filter_order[step])) AS redundant,
+    count(*) FILTER (fails = filter_order[step]) AS unique_fails,
+    count(*) FILTER (gone = step AND good) AS good_lost,
+    count(*) FILTER (gone = step AND toxic) AS toxic_lost
+  FROM ranks, (SELECT unnest(range(1, 6))::INTEGER AS step) GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM counted
 """,
 }
 
