@@ -15,6 +15,7 @@ from patentloom.llm import (
     filter_audit,
     line_dedup,
     ngram_join,
+    packing,
     quality,
     sentencepiece_lattice,
     suffix_dedup,
@@ -133,6 +134,24 @@ def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+#: Tokenizer of packed sequences, and the id that ends a document.
+PACKED_TOKENIZER = os.environ.get("PACKING_TOKENIZER", "/opt/tokenizers/word_bpe_49k.json")
+PACKED_END = 2
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read(spark, sf_dir, "documents"), PACKED_TOKENIZER, PACKED_END)
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_toxicity": op2_toxicity,
@@ -145,6 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_url_filters": op10_url_filters,
     "op12_filter_interaction_audit": op12_filter_interaction_audit,
+    "op13_packing": op13_packing,
 }
 
 SQL: dict[str, str] = {
