@@ -16,6 +16,7 @@ from patentloom.llm import (
     line_dedup,
     ngram_join,
     packing,
+    phrase_mining,
     quality,
     sentencepiece_lattice,
     suffix_dedup,
@@ -128,6 +129,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.mine_phrases(read(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_documents(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
@@ -163,6 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_url_filters": op10_url_filters,
+    "op11_phrase_mining": op11_phrase_mining,
     "op12_filter_interaction_audit": op12_filter_interaction_audit,
     "op13_packing": op13_packing,
 }
@@ -355,6 +361,42 @@ SELECT page_id, host, path, rule,
   coalesce(said, CASE WHEN m - 1.645 * sqrt(m * (1 - m) / (z + 1)) > 0.5 THEN 'block'
     ELSE 'allow' END) AS verdict
 FROM judged LEFT JOIN fitting USING (page_id)
+""",
+    "op11_phrase_mining": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), counts AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+    FROM words, (SELECT unnest(range(1, 5)) AS k))
+  GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(a)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND a >= 30
+), cuts AS (
+  SELECT c.lang, c.phrase, c.k, c.a, j, l.a AS l, r.a AS r,
+    ((2000000::HUGEINT * c.a) // (l.a + r.a))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates) c
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:j], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1:], ' ')
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, w, a, k, size, unnest(range(1, k - size + 2)) AS i
+    FROM (SELECT *, unnest(range(2, k)) AS size FROM candidates))
+  GROUP BY ALL
+), ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, score
+  FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE coalesce(100 * longer < 80 * a, true)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """,
     "op12_filter_interaction_audit": r"""
 WITH words AS (
