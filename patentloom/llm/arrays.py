@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,10 +16,17 @@ INVERSE = pow(BASE, -1, 1 << 64)
 #: Stands for a null id: sorts after all others.
 NULL_ID = np.iinfo(np.int64).max
 
-# Python workers outlive their tasks: memory of a finished group goes back to the system.
+# Python workers outlive their tasks: memory of a finished group goes back to the system. The
+# C library would otherwise keep freed arrays of up to 32 MB for later (M_MMAP_THRESHOLD).
 pa.set_memory_pool(pa.system_memory_pool())
+try:
+    ctypes.CDLL(None).mallopt(-3, 1 << 20)
+except (AttributeError, OSError):
+    pass
 
 _powers: dict[int, np.ndarray] = {}
+#: Powers that a worker keeps; the others are made when they are needed.
+KEPT_POWERS = 1 << 20
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -26,7 +35,8 @@ def powers(base: int, n: int) -> np.ndarray:
     if have is None or len(have) < n:
         filled = np.full(max(n, 1 << 16), base, U64)
         filled[0] = 1
-        have = _powers[base] = np.cumprod(filled, dtype=U64)
+        have = np.cumprod(filled, dtype=U64)
+        _powers[base] = have[:KEPT_POWERS].copy()
     return have[:n]
 
 
@@ -128,10 +138,37 @@ def words_of(texts: Texts, lower: bool = False) -> Words:
     begins[1:] &= ~word[:-1] | head[1:n]
     ends[:-1] &= ~word[1:] | head[1:n]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    values = data.astype(U64)
     if lower:
-        values[(data >= 65) & (data <= 90)] += U64(32)
-    values += U64(1)
-    hashes = range_hashes(prefix_hashes(values), start, end)
-    hashes = mix(hashes + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
-    return Words(start, end, hashes, np.searchsorted(start, texts.offsets))
+        data = data.copy()
+        data[(data >= 65) & (data <= 90)] += 32
+    return Words(start, end, byte_hashes(data, start, end), np.searchsorted(start, texts.offsets))
+
+
+#: Bytes of a range from which a library hash is cheaper than blocks of eight.
+LONG = 64
+
+
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte range, mixed after every eight bytes.
+
+    Ranges of up to eight bytes of one length never clash. Long ones have a hash of the
+    library: sums of powers would give equal values for some words of 1,024 letters.
+    """
+    padded = np.append(data, np.zeros(8, np.uint8))
+    blocks = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    size = end - start
+    out = mix(size.astype(U64) * U64(0xD6E8FEB86659FD93))
+    rest = np.flatnonzero(size <= LONG)
+    for at in range(0, LONG, 8):
+        rest = rest[size[rest] > at]
+        if not len(rest):
+            break
+        left = np.minimum(size[rest] - at, 8).astype(U64)
+        block = blocks[start[rest] + at] & (U64(_MASK) >> (U64(64) - U64(8) * left))
+        out[rest] = mix(out[rest] * U64(BASE) + block)
+    raw = None
+    for i in np.flatnonzero(size > LONG).tolist():
+        raw = data.tobytes() if raw is None else raw
+        digest = hashlib.blake2b(raw[start[i] : end[i]], digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out

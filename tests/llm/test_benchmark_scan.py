@@ -72,3 +72,10 @@ def test_empty_tables(spark):
     assert scan(docs, items).collect() == []
     one = spark.createDataFrame([(1, "a b", "", 0, 0)], DOCS)
     assert [r["contaminated"] for r in scan(one, items).collect()] == [False]
+
+
+def test_another_benchmark_of_the_same_texts_keeps_its_ids(spark):
+    docs = spark.createDataFrame([(1, "one two three", "", 0, 0)], DOCS).coalesce(1)
+    for ids in (["1"], ["2", "3"]):
+        items = spark.createDataFrame([(int(i), "one two", "") for i in ids], ITEMS)
+        assert scan(docs, items).first()["items"] == ids
