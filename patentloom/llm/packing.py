@@ -19,7 +19,10 @@ gathered in one task, and neither are the equals of a very frequent length.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -36,11 +39,15 @@ from patentloom.sinks.files import written
 WIDTH = 4096
 #: Sequences of one document only are numbered from here on, the packed ones from 0.
 OWN = 1 << 62
+PROBE = "It's  soé\ńx   A1.\t#don't WORD, word,\x0b\x1c ok?! 12. ab..\n»., x<|y"
 #: Own sequences of one task.
 OWN_PER_TASK = 36
 RANKS = 1 << 40
-#: Chunks of text whose ids a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 200_000, 40
+#: Chunks of text whose ids a worker remembers, twice this number, and the longest of them.
+REMEMBERED, LONGEST = 250_000, 40
+
+#: Punctuation that is a token of its own behind an ASCII letter or digit.
+CLOSING = b".,;:!?"
 
 TOKENS = "doc_id long, task int, rest int, nth long, own long, n long, ids binary"
 PIECES = (
@@ -55,8 +62,11 @@ PIECES = (
 class Encoder:
     """Ids of texts, by chunks between ASCII white space.
 
-    The tokenizer must drop white space and never join what it separates, so a chunk has the
-    same ids wherever it stands; ``check`` holds that against the tokenizer.
+    The tokenizer must drop white space, never join what it separates, ignore the case of
+    ASCII letters and split punctuation off them, so that a chunk has the same ids wherever it
+    stands, and so has a word before its punctuation; ``check`` holds that against the
+    tokenizer. Texts that hold a special token are given to it whole. Chunks met again stay
+    remembered, those of two generations ago do not.
     """
 
     def __init__(self, model: str, end_id: int):
@@ -64,34 +74,74 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model = Tokenizer.from_str(model)
-        self.end = np.array([end_id], "<u4").tobytes()
-        self.known: dict[bytes, bytes] = {}
+        self.end = array("I", [end_id]).tobytes()
+        special = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)).encode() or rb"(?!)")
+        suffix = json.loads(model)["model"].get("end_of_word_suffix")
+        names = self.model.get_vocab()
+        self.ends = np.zeros(max(names.values(), default=-1) + 1, bool)
+        self.ends[[i for name, i in names.items() if suffix and name.endswith(suffix)]] = True
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _ids(self, texts: list[bytes]) -> list[bytes]:
+        found = self.model.encode_batch(
+            [t.decode("utf-8", "replace") for t in texts], add_special_tokens=False
+        )
+        return [array("I", f.ids).tobytes() for f in found]
+
+    def _word_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of ASCII letters; each ends with the only token that ends a word."""
+        out: list[bytes] = []
+        for i in range(0, len(words), 1000):
+            some = words[i : i + 1000]
+            raw = self._ids([b" ".join(some)])[0]
+            cuts = (np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) * 4 + 4).tolist()
+            if len(cuts) == len(some):
+                out += [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+            else:
+                out += self._ids(some)
+        return out
 
-    def _ids(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        texts = [c.decode("utf-8", "replace") for c in chunks]
-        found = self.model.encode_batch(texts, add_special_tokens=False)
-        return {c: np.array(f.ids, "<u4").tobytes() for c, f in zip(chunks, found, strict=True)}
+    def _learn(self, chunks: set[bytes]) -> None:
+        closed = []
+        for chunk in chunks:
+            word = chunk.rstrip(CLOSING)
+            if word != chunk and word[-1:].isalnum():
+                closed.append((chunk, word, chunk[len(word) :]))
+        parts = chunks.difference(c for c, _, _ in closed)
+        parts.update(w for _, w, _ in closed)
+        parts.update(p for _, _, p in closed)
+        self.young.update({p: self.old[p] for p in parts & self.old.keys()})
+        parts.difference_update(self.young)
+        words = [p for p in parts if p.isalpha() and p.isascii()]
+        self.young.update(zip(words, self._word_ids(words), strict=True))
+        others = list(parts.difference(words))
+        self.young.update(zip(others, self._ids(others), strict=True))
+        self.young.update({c: self.young[w] + self.young[p] for c, w, p in closed})
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Packed ids (unsigned 32 bit, little-endian) of each text, with the end id."""
-        split = [t.split() if t else [] for t in texts]
-        new = set().union(*split)
-        new.difference_update(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = set().union(*split)
+        whole = {i for i, t in enumerate(texts) if t and self.special.search(t)}
+        split = [[] if not t or i in whole else t.lower().split() for i, t in enumerate(texts)]
+        new = set().union(*split).difference(self.young)
+        self.young.update({c: self.old[c] for c in new & self.old.keys()})
+        new.difference_update(self.young)
         if new:
-            self.known.update(self._ids(list(new)))
-        out = [b"".join([*map(self.known.__getitem__, chunks), self.end]) for chunks in split]
+            self._learn(new)
+        out = [b"".join([*map(self.young.__getitem__, chunks), self.end]) for chunks in split]
+        for i in whole:
+            out[i] = self._ids([texts[i]])[0] + self.end
         for chunk in new:
             if len(chunk) > LONGEST:
-                del self.known[chunk]
+                del self.young[chunk]
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
         return out
 
     def check(self, probe: str) -> None:
-        whole = self.model.encode(probe, add_special_tokens=False).ids
-        if self.encode([probe.encode()])[0][:-4] != np.array(whole, "<u4").tobytes():
-            raise ValueError("the tokenizer joins what white space separates")
+        if self.encode([probe.encode()])[0][:-4] != self._ids([probe.encode()])[0]:
+            raise ValueError("the ids of a chunk of text depend on what is around it")
 
 
 @lru_cache(maxsize=1)
@@ -105,7 +155,7 @@ def _tokenizer(sent, end_id: int, width: int, schema: pa.Schema):
         context = TaskContext.get()
         task = context.partitionId() if context else 0
         seen, own = np.zeros(width, np.int64), 0
-        for batch in (b.slice(i, 128) for b in batches for i in range(0, b.num_rows, 128)):
+        for batch in (b.slice(i, 128) for b in batches for i in range(0, b.num_rows, 512)):
             docs, texts = batch.columns
             ids = encoder.encode(texts.to_pylist())
             n = np.array([len(i) // 4 for i in ids], np.int64)

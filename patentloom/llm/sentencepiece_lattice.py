@@ -1,24 +1,28 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 Texts are normalised the model's way (a blank in front, blanks as U+2581) and cut into units
-that no piece spans: a unit begins where a blank follows something else. The different units
-of a bucket of documents are exploded into substrings no longer than the longest piece,
-which meet the piece table in an equi-join; that gives the edges of each unit's lattice. The
-edges are grouped by unit, and a fold (``aggregate``) finds the path:
+that no piece spans: at blanks, digits, and between letters and ASCII punctuation, as far as
+the model has no piece across. The different units of the corpus are exploded into substrings
+no longer than the longest piece, which meet the piece table in an equi-join; that gives the
+edges of each unit's lattice. The edges are grouped by unit, and a fold (``aggregate``) finds
+the path:
 
 * ``unigram`` models: the Viterbi path, the greatest sum of scores;
 * ``bpe`` models: merges of neighbours by greatest score, leftmost first. Their scores are
   merge ranks, so the Viterbi path is not what the library returns; the lattice is the same.
 
-Documents are shuffled once, by bucket; units, lattices and paths stay in that partitioning,
-and the documents read the same shuffle again to look their units up. The piece table is
-the only thing broadcast, and its size is the model's.
+Documents are shuffled once, into buckets. A bucket asks for each of its units once, packed
+into one row per part of the unit space, so a very common unit costs a part one entry per
+bucket. A part builds the lattices of its different units once, whatever the number of
+buckets, and replies with their ids; the documents read the same shuffle again to look them
+up. The piece table is the only thing broadcast, and its size is the model's.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -29,10 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patentloom.llm.exchange import total_bytes
+from patentloom.session import ship_package
 
 BLANK = "▁"
 #: Characters of one piece only, if of any, are cut out of the units: they never merge.
-CUTS = "\n\t\r"
+CUTS = "\n\t\r0123456789"
+#: Characters between which and others units are cut, if the model has no piece across.
+PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 ENCODED = "doc_id long, text string, ids array<int>"
 
 
@@ -78,13 +85,31 @@ def load(path: str, kind: str = "bpe") -> Pieces:
     )
 
 
+def _class(characters: Iterable[str]) -> str:
+    return "".join(f"\\x{ord(c):02x}" for c in characters)
+
+
 def unit_pattern(pieces: Pieces) -> str:
-    for name, ok in zip(pieces.names, pieces.plain, strict=True):
-        if ok and BLANK in name.lstrip(BLANK):
+    """A pattern of units; every normalised text is a sequence of its matches."""
+    own = [n for n, ok in zip(pieces.names, pieces.plain, strict=True) if ok]
+    for name in own:
+        if BLANK in name.lstrip(BLANK):
             raise ValueError(f"piece {name!r} has a blank behind other characters")
-    cut = pieces.cuts.encode("unicode_escape").decode()
-    one = f"[{cut}]|" if cut else ""
-    return f"{one}{BLANK}+[^{BLANK}{cut}]*|[^{BLANK}{cut}]+"
+    marks = set(PUNCTUATION)
+    across = any(
+        (a in marks) != (b in marks)
+        for name in own
+        for a, b in zip(name.lstrip(BLANK), name.lstrip(BLANK)[1:], strict=False)
+    )
+    cut, mark = _class(pieces.cuts), "" if across else _class(PUNCTUATION)
+    return "|".join(
+        [
+            *([f"[{cut}]"] if cut else []),
+            *([f"{BLANK}*[{mark}]+"] if mark else []),
+            f"{BLANK}*[^{BLANK}{cut}{mark}]+",
+            f"{BLANK}+",
+        ]
+    )
 
 
 # The path of one unit, outside Spark expressions: long units, and units without edges.
@@ -151,31 +176,50 @@ def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def _folded_merges(unit: Column, edges: Column) -> Column:
-    """Pieces by merges; ``edges``: map from 64 * start + length to the score."""
+#: A rank beyond all ranks: nothing to merge.
+NONE = (1 << 31) - 1
 
-    def step(bounds: Column, _: Column) -> Column:
-        def pair(j: Column) -> Column:
-            start, stop = F.get(bounds, j), F.get(bounds, j + 2)
-            return F.struct(
-                F.try_element_at(edges, start * 64 + stop - start).alias("score"),
-                (-j).alias("at"),
-            )
 
-        def merge(best: Column) -> Column:
-            gone = 1 - best["at"]
-            return F.when(best["score"].isNull(), bounds).otherwise(
-                F.filter(bounds, lambda _, k: k != gone)
-            )
+def _folded_merges(unit: Column, places: Column, ranks: Column) -> Column:
+    """Pieces by merges; an edge of the lattice is a place (4096 * start + length) and a rank.
 
-        pairs = F.transform(F.sequence(F.lit(0), F.size(bounds) - 3), pair)
-        return F.when(F.size(bounds) < 3, bounds).otherwise(_bind(F.array_max(pairs), merge))
+    The state has the bounds of the symbols, the rank of each merge of two neighbours, and
+    which merge is next; a merge renews the two ranks beside it. A symbol that no edge
+    reaches stands at either end, so that every real merge has neighbours.
+    """
+
+    def rank(start: Column, end: Column) -> Column:
+        at = F.array_position(places, start * 4096 + end - start).cast("int")
+        return F.coalesce(F.get(ranks, at - 1), F.lit(NONE))
+
+    def state(bounds: Column, merges: Column) -> Column:
+        def with_next(own: Column) -> Column:
+            least = F.array_min(own)
+            at = F.when(least < NONE, F.array_position(own, least).cast("int") - 1).otherwise(-1)
+            return F.struct(bounds.alias("bounds"), own.alias("merges"), at.alias("at"))
+
+        return _bind(merges, with_next)
+
+    def step(now: Column, _: Column) -> Column:
+        b, m, j = now["bounds"], now["merges"], now["at"]
+        size = F.size(b)
+        merges = F.concat(
+            F.slice(m, 1, j - 1),
+            F.array(rank(F.get(b, j - 1), F.get(b, j + 2)), rank(F.get(b, j), F.get(b, j + 3))),
+            F.slice(m, j + 3, size),
+        )
+        bounds = F.concat(F.slice(b, 1, j + 1), F.slice(b, j + 3, size))
+        return F.when(j < 0, now).otherwise(state(bounds, merges))
 
     length = F.length(unit)
-    steps = F.when(length > 1, F.sequence(F.lit(1), length - 1)).otherwise(
-        F.array().cast("array<int>")
+    bounds = F.concat(F.array(F.lit(-1000)), F.sequence(F.lit(0), length), F.array(length + 1000))
+    first = F.transform(
+        F.sequence(F.lit(-1), length - 1),
+        lambda i: rank(F.when(i < 0, -1000).otherwise(i), F.when(i == length - 1, i + 1001).otherwise(i + 2)),
     )
-    return _cut(unit, F.aggregate(steps, F.sequence(F.lit(0), length), step))
+    steps = F.sequence(F.lit(1), F.greatest(length - 1, F.lit(1)))
+    merged = F.aggregate(steps, state(bounds, first), step, lambda end: end["bounds"])
+    return _cut(unit, _bind(merged, lambda b: F.slice(b, 2, F.size(b) - 2)))
 
 
 def _folded_path(unit: Column, edges: Column, longest: int, unknown: float) -> Column:
@@ -229,7 +273,9 @@ def _columns(pieces: Pieces) -> tuple:
 
 
 def lattice_paths(units: DataFrame, pieces: Pieces, keys: tuple[str, ...] = ("unit",)) -> DataFrame:
-    """``keys`` (the last is the unit) and ``pieces``, for units that have an edge at all."""
+    """``keys`` (the last is the unit) and ``pieces``, for units that have an edge at all.
+
+    Units are different from each other and shorter than 64 characters."""
     own = [(n, v) for n, v, ok in zip(*_columns(pieces), strict=True) if ok]
     rank = {v: i for i, v in enumerate(sorted({v for _, v in own}, reverse=True))}
     table = units.sparkSession.createDataFrame(
@@ -251,20 +297,21 @@ def lattice_paths(units: DataFrame, pieces: Pieces, keys: tuple[str, ...] = ("un
         *keys, "start", F.explode(F.sequence(F.lit(least), size)).alias("size")
     ).withColumn("piece", F.substr(unit, F.col("start") + 1, F.col("size")))
     edges = spans.join(F.broadcast(table), "piece")
-    place = F.col("start") * 64 + F.col("size")
-    if pieces.kind == "bpe":  # merges only compare scores, so an edge is one number
-        packed = edges.groupBy(*keys).agg(F.collect_list(F.col("rank") * 4096 + place).alias("e"))
-        entries = F.transform("e", lambda v: F.struct(v % 4096, -F.floor(v / 4096)))
-        grouped = packed.select(*keys, F.map_from_entries(entries).alias("edges"))
+    if pieces.kind == "bpe":
+        edge = F.struct((F.col("start") * 4096 + F.col("size")).alias("place"), "rank")
+        grouped = edges.groupBy(*keys).agg(F.collect_list(edge).alias("edges"))
+
+        def path(own: Column) -> Column:
+            return _folded_merges(unit, own["place"], own["rank"])
+
     else:
-        entries = F.collect_list(F.struct(place, F.col("score")))
-        grouped = edges.groupBy(*keys).agg(F.map_from_entries(entries).alias("edges"))
-    def path(own_edges: Column) -> Column:
-        if pieces.kind == "bpe":
-            return _folded_merges(unit, own_edges)
-        return _folded_path(unit, own_edges, longest, unknown_score(pieces))
-
-    # Bound, or the optimiser would build the map anew for every look-up in the fold.
+        edge = F.struct(F.col("start") * 64 + F.col("size"), F.col("score"))
+        grouped = edges.groupBy(*keys).agg(F.map_from_entries(F.collect_list(edge)).alias("edges"))
+
+        def path(own: Column) -> Column:
+            return _folded_path(unit, own, longest, unknown_score(pieces))
+
+    # Bound, or the optimiser would build the edges anew for every look-up in the fold.
     return grouped.select(*keys, _bind(F.col("edges"), path).alias("pieces"))
 
 
@@ -299,11 +346,14 @@ class Encoder:
             return merged_by_rank(unit, self.score_of)
         return best_path(unit, self.score_of, self.pieces.longest, self.unknown)
 
+    def units(self, text: str) -> list[str]:
+        return self.find(BLANK + text.replace(" ", BLANK)) if text else []
+
     def encode(self, text: str, known: dict[str, bytes]) -> np.ndarray:
         if not text:
             return np.zeros(0, "<i4")
         out = []
-        for unit in self.find(BLANK + text.replace(" ", BLANK)):
+        for unit in self.units(text):
             got = known.get(unit)
             if got is None:
                 got = self.ids(self.path(unit))
@@ -318,17 +368,80 @@ def _encoder(pieces: Pieces, longest_unit: int) -> Encoder:
     return Encoder(pieces, longest_unit)
 
 
-def _looked_up(sent, longest_unit: int):
+ASKS = "part int, bucket int, blob binary"
+ASKED = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("blob", pa.binary())])
+#: Between units in a packed row: blanks have been replaced in them.
+BETWEEN = " "
+
+
+def _units_by_part(encoder: Encoder, bodies: pa.ChunkedArray, parts: int) -> dict[int, list[str]]:
+    """The different units of a bucket that ask for a path, in a fixed order."""
+    found: set[str] = set()
+    for batch in bodies.chunks:
+        for body in batch.to_pylist():
+            found.update(encoder.units(body[17:]))
+    dealt: dict[int, list[str]] = {}
+    for unit in sorted(u for u in found if 1 < len(u) <= encoder.longest_unit):
+        dealt.setdefault(zlib.crc32(unit.encode()) % parts, []).append(unit)
+    return dealt
+
+
+def _asker(sent, longest_unit: int, parts: int):
+    def run(docs: pa.Table) -> pa.Table:
+        encoder = _encoder(sent.value, longest_unit)
+        dealt = _units_by_part(encoder, docs["body"], parts)
+        bucket = docs["bucket"][0].as_py()
+        blobs = [BETWEEN.join(units).encode() for units in dealt.values()]
+        columns = [list(dealt), [bucket] * len(dealt), blobs]
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, ASKED, strict=True)], schema=ASKED)
+
+    return run
+
+
+def _different(asked: pa.Table) -> pa.Table:
+    """The different units that a part is asked for."""
+    units: set[str] = set()
+    for blob in asked["blob"].to_pylist():
+        units.update(blob.decode().split(BETWEEN))
+    part = pa.array([asked["part"][0].as_py()] * len(units), pa.int32())
+    return pa.table({"of": part, "unit": pa.array(sorted(units), pa.string())})
+
+
+def _answers(sent, longest_unit: int):
+    """Ids of the units in the order asked for: their numbers, then all ids of the row."""
+
+    def run(asked: pa.Table, paths: pa.Table) -> pa.Table:
+        encoder = _encoder(sent.value, longest_unit)
+        units, pieces = paths["unit"].to_pylist(), paths["pieces"].to_pylist()
+        known = {u: encoder.ids(p) for u, p in zip(units, pieces, strict=True)}
+        blobs = []
+        for blob in asked["blob"].to_pylist():
+            got = [known.get(u) or encoder.ids(u) for u in blob.decode().split(BETWEEN)]
+            sizes = np.array([len(g) // 4 for g in got], np.uint8)
+            blobs.append(sizes.tobytes() + b"".join(got))
+        return asked.set_column(2, "blob", pa.array(blobs, pa.binary())).cast(ASKED)
+
+    return run
+
+
+def _replied(dealt: dict[int, list[str]], replies: pa.Table) -> dict[str, bytes]:
+    known: dict[str, bytes] = {}
+    for part, blob in zip(replies["part"].to_pylist(), replies["blob"].to_pylist(), strict=True):
+        units = dealt[part]
+        ends = np.cumsum(np.frombuffer(blob, np.uint8, len(units)), dtype=np.int64) * 4 + len(units)
+        starts = [len(units), *ends.tolist()]
+        known.update((u, blob[a:b]) for u, a, b in zip(units, starts, starts[1:], strict=False))
+    return known
+
+
+def _looked_up(sent, longest_unit: int, parts: int):
     schema = pa.schema(
         [("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.list_(pa.int32()))]
     )
 
-    def run(docs: pa.Table, paths: pa.Table) -> pa.Table:
+    def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         encoder = _encoder(sent.value, longest_unit)
-        known = {
-            unit: encoder.ids(path)
-            for unit, path in zip(paths["unit"].to_pylist(), paths["pieces"].to_pylist(), strict=True)
-        }
+        known = _replied(_units_by_part(encoder, docs["body"], parts), replies)
         tables = [schema.empty_table()]
         for batch in docs.select(["body"]).to_batches(max_chunksize=512):
             ids, texts, found = [], [], []
@@ -363,7 +476,7 @@ def encode(
     pieces: Pieces,
     doc_id: str = "doc_id",
     text: str = "text",
-    bucket_bytes: int = 4 << 20,
+    bucket_bytes: int = 8 << 20,
     longest_unit: int = 48,
 ) -> DataFrame:
     """Columns doc_id, text and ids (piece ids as the library returns them).
@@ -372,13 +485,16 @@ def encode(
     ids too; other columns are not read, whatever their names. Units of more than
     ``longest_unit`` characters (below 64) find their path outside the fold, by the same
     rule in time proportional to their length, so unbroken texts of any length are encoded.
+    The size of all texts is added up when this is called; the rest is lazy.
     """
     if not 1 < longest_unit < 64:
         raise ValueError("longest_unit is between 2 and 63")
     spark = docs.sparkSession
-    buckets = total_bytes(docs, text) // bucket_bytes + 1
-    # About a bucket per task: grouping the edges of one bucket stays in memory.
-    tasks = max(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ship_package(spark)
+    size = total_bytes(docs, text)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(size // bucket_bytes + 1, min(width, size // (bucket_bytes // 8) + 1))
+    parts = max(size // (bucket_bytes // 4) + 1, width)
     # One column holds id and text, so that both uses below ask for the same shuffle.
     number = F.lpad(F.hex(F.col(doc_id).cast("long")), 16, "0")
     body = F.concat(
@@ -386,23 +502,29 @@ def encode(
         F.when(F.col(text).isNull(), "N").otherwise("T"),
         F.coalesce(F.col(text), F.lit("")),
     )
+    # A task per bucket and part: adaptive execution would join them by their few bytes.
     dealt = docs.select(
         F.pmod(F.xxhash64(doc_id, text), F.lit(buckets)).cast("int").alias("bucket"),
         body.alias("body"),
-    ).repartition(tasks, "bucket")
-    inner = F.concat(F.lit(BLANK), F.replace(F.substr("body", F.lit(18)), F.lit(" "), F.lit(BLANK)))
-    units = dealt.select(
-        "bucket",
-        F.explode(F.regexp_extract_all(inner, F.lit(unit_pattern(pieces)), F.lit(0))).alias("unit"),
-    )
-    units = units.where(F.length("unit").between(2, longest_unit)).distinct()
-    units = units.withColumnRenamed("bucket", "of")
-    paths = lattice_paths(units, pieces, ("of", "unit"))
+    ).repartition(max(buckets, width), "bucket")
     sent = spark.sparkContext.broadcast(pieces)
-    return (
+    asked = (
         dealt.groupBy("bucket")
+        .applyInArrow(_asker(sent, longest_unit, parts), ASKS)
+        .repartition(parts, "part")
+    )
+    units = asked.groupBy("part").applyInArrow(_different, "of int, unit string")
+    paths = lattice_paths(units.repartition(parts, "of"), pieces, ("of", "unit"))
+    replies = (
+        asked.groupBy("part")
         .cogroup(paths.groupBy("of"))
-        .applyInArrow(_looked_up(sent, longest_unit), ENCODED)
+        .applyInArrow(_answers(sent, longest_unit), ASKS)
+        .withColumnRenamed("bucket", "to")
+    )
+    return (
+        dealt.groupBy("bucket")
+        .cogroup(replies.groupBy("to"))
+        .applyInArrow(_looked_up(sent, longest_unit, parts), ENCODED)
     )
 
 

@@ -84,7 +84,7 @@ def held_up(spark, rows, width, end_id=2, hot=None):
 
 def test_ids_cover_every_document_with_odd_rows(spark):
     rng = random.Random(1)
-    words = ["It's", "don't", "soé", "éx", "A1.", "#tag", "日本語", "<|endoftext|>", "\x1c", "12,5", "ΣΑΣ"]
+    words = ["It's", "don't", "soé", "éx", "A1.", "#tag", "日本語", "<|endoftext|>", "\x1c", "12,5", "ΣΑΣ", "end.", "End.'s", "é.", "a.,", "<|ENDOFTEXT|>", "İ"]
     texts = [
         "".join(rng.choice(words) + rng.choice([" ", "  ", "\n", "\t", "\xa0", "\x0b"]) for _ in range(n))
         for n in (0, 1, 3, 30, 31, 62, 63, 64, 500, 3000)
@@ -123,6 +123,18 @@ def test_few_documents_are_cut(spark):
     assert total[1] - least <= total[0] / packing.WIDTH
 
 
+def test_remembered_chunks_give_the_same_ids(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 20)
+    with open(PACKED_TOKENIZER, encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read(), 2)
+    rng = random.Random(6)
+    for _ in range(30):
+        words = [rng.choice(["the", "The", "x9"]) + rng.choice(["", ".", "q" * rng.randrange(60)]) for _ in range(40)]
+        text = " ".join(words)
+        assert encoder.encode([text.encode()])[0] == encoder._ids([text.encode()])[0] + encoder.end
+    assert encoder.old and len(encoder.young) <= 20
+
+
 def test_a_tokenizer_that_joins_over_blanks_is_refused(tmp_path):
     from tokenizers import Tokenizer as T
     from tokenizers import models

@@ -52,6 +52,18 @@ def test_encodes_as_the_library_and_back(spark, pieces, library):
     assert {r["doc_id"] for r in got} == {r[0] for r in rows}
 
 
+def test_units_are_cut_where_no_piece_spans(pieces):
+    import re
+
+    pattern = lattice.unit_pattern(pieces)
+    for text in texts():
+        assert "".join(re.findall(pattern, text.replace(" ", "▁"))) == text.replace(" ", "▁")
+    cut = re.findall(pattern, "▁▁It's,▁(2021)...é-x\n▁▁")
+    assert cut == ["▁▁It", "'", "s", ",", "▁(", "2", "0", "2", "1", ")...", "é", "-", "x", "\n", "▁▁"]
+    for name, ok in zip(pieces.names, pieces.plain, strict=True):
+        assert not ok or re.findall(pattern, name) == [name]
+
+
 def test_long_units_follow_the_same_rule(pieces, library):
     encoder = lattice.Encoder(pieces, 48)
     for text in texts():
