@@ -38,7 +38,7 @@ from patentloom.session import ship_package
 BLANK = "▁"
 #: Characters of one piece only, if of any, are cut out of the units: they never merge.
 CUTS = "\n\t\r0123456789"
-#: Characters between which and others units are cut, if the model has no piece across.
+#: Characters between which and letters units are cut, if the model has no piece across.
 PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 ENCODED = "doc_id long, text string, ids array<int>"
 
@@ -59,7 +59,8 @@ class Pieces:
 
     @property
     def cuts(self) -> str:
-        many = set("".join(n for n in self.names if len(n) > 1))
+        own = (n for n, ok in zip(self.names, self.plain, strict=True) if ok and len(n) > 1)
+        many = set("".join(own))
         return "".join(c for c in CUTS if c not in many)
 
 
@@ -86,7 +87,16 @@ def load(path: str, kind: str = "bpe") -> Pieces:
 
 
 def _class(characters: Iterable[str]) -> str:
-    return "".join(f"\\x{ord(c):02x}" for c in characters)
+    return "".join(f"\\U{ord(c):08x}" for c in sorted(characters))
+
+
+def marks(names: Iterable[str]) -> set[str]:
+    """Punctuation, and whatever pieces join to it; nothing if that includes letters."""
+    found = set(PUNCTUATION)
+    joined = {frozenset(pair) for n in names for pair in zip(n, n[1:], strict=False)}
+    while more := set().union(*(pair for pair in joined if pair & found)) - found:
+        found |= more
+    return set() if any(c.isalpha() for c in found) else found
 
 
 def unit_pattern(pieces: Pieces) -> str:
@@ -95,13 +105,7 @@ def unit_pattern(pieces: Pieces) -> str:
     for name in own:
         if BLANK in name.lstrip(BLANK):
             raise ValueError(f"piece {name!r} has a blank behind other characters")
-    marks = set(PUNCTUATION)
-    across = any(
-        (a in marks) != (b in marks)
-        for name in own
-        for a, b in zip(name.lstrip(BLANK), name.lstrip(BLANK)[1:], strict=False)
-    )
-    cut, mark = _class(pieces.cuts), "" if across else _class(PUNCTUATION)
+    cut, mark = _class(pieces.cuts), _class(marks(n.lstrip(BLANK) for n in own) - set(pieces.cuts))
     return "|".join(
         [
             *([f"[{cut}]"] if cut else []),
