@@ -28,7 +28,8 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path, plan_of):
     for name, df in {"p": t.patent_info, "c": t.cpc_info}.items():
         df.write.parquet(str(tmp_path / name))
     patents, cpc = (spark.read.parquet(str(tmp_path / n)) for n in "pc")
-    plan = plan_of(branches.patent_trends(filter_patents(patents, cpc)))
+    filtered = filter_patents(patents, cpc, granted_before="2024-08-01")
+    plan = plan_of(branches.patent_trends(filtered))
     assert "LessThan(patent_date,2024-08-01)" in plan
     assert "ReadSchema: struct<patent_id:string,patent_date:date,num_claims:int>" in plan
     assert "ReadSchema: struct<patent_id:string,cpc_subclass:string,cpc_group:string>" in plan
