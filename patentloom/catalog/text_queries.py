@@ -9,7 +9,7 @@ from patentloom.catalog.tables import Tables
 from patentloom.catalog.views import sql_list
 from patentloom.functions import text as text_functions
 from patentloom.functions.text import IRREGULAR_LEMMAS, NO_PLURALS, STOP_WORDS
-from patentloom.operators import joins, keywords, stitch
+from patentloom.operators import joins, keywords, stitch, word_vectors
 from patentloom.plans import players, records
 from patentloom.session import scratch_path
 from patentloom.sinks import files
@@ -169,6 +169,58 @@ register(
                 FROM ranked WHERE rank <= 20 GROUP BY 1)""",
 )
 
+CONTEXTS = f"""
+    WITH words AS (
+        SELECT patent_id, unnest(w) AS term, generate_subscripts(w, 1) AS pos
+        FROM (SELECT patent_id, {KEPT} AS w FROM summaries)),
+    bytes AS (
+        SELECT near, CAST('0x' || substr(md5(near), 2 * i + 1, 2) AS INTEGER) AS byte
+        FROM (SELECT DISTINCT term AS near FROM words), (SELECT unnest(range(4)) AS i)),
+    sums AS (
+        SELECT term, byte % 64 AS dim, sum(CASE WHEN byte & 64 > 0 THEN n ELSE -n END) AS c
+        FROM (SELECT a.term, b.term AS near, count(*) AS n
+              FROM words a JOIN words b ON a.patent_id = b.patent_id
+               AND b.pos BETWEEN a.pos - 2 AND a.pos + 2 AND b.pos <> a.pos GROUP BY 1, 2)
+        JOIN bytes USING (near) GROUP BY 1, 2),
+    vectors AS (
+        SELECT term, dim, sign(c) * (abs(c) * 127 // greatest(most, 1)) AS q
+        FROM (SELECT *, max(abs(c)) OVER (PARTITION BY term) AS most FROM sums))
+"""
+register(
+    "word_vectors",
+    lambda t: word_vectors.word_vectors(t.summaries).select(
+        "term", F.concat_ws(",", F.col("vector").cast("array<string>")).alias("vector")
+    ),
+    CONTEXTS
+    + """SELECT x.term, string_agg(CAST(coalesce(q, 0) AS INTEGER), ',' ORDER BY d) AS vector
+         FROM (SELECT term, unnest(range(64)) AS d FROM (SELECT DISTINCT term FROM vectors)) x
+         LEFT JOIN vectors v ON v.term = x.term AND v.dim = d GROUP BY x.term""",
+)
+register(
+    "embedding_keywords",
+    lambda t: word_vectors.vector_keywords(t.summaries),
+    CONTEXTS
+    + """, tf AS (SELECT patent_id, term, count(*) AS tf FROM words GROUP BY 1, 2),
+    df AS (SELECT term, count(*) AS doc_freq FROM tf GROUP BY 1 HAVING count(*) >= 2),
+    weighted AS (
+        SELECT patent_id, term, dim, q, tf * length(bin(
+                   (SELECT count(*) FROM summaries) // doc_freq)) AS weight
+        FROM tf JOIN df USING (term) JOIN vectors USING (term)),
+    doc AS (SELECT patent_id, dim, sum(weight * q) AS d FROM weighted GROUP BY 1, 2),
+    lengths AS (SELECT patent_id, sqrt(CAST(sum(d * d) AS DOUBLE)) AS length FROM doc GROUP BY 1),
+    scored AS (
+        SELECT patent_id, term,
+               round(coalesce(CAST(sum(q * d) AS DOUBLE) / nullif(
+                   sqrt(CAST(sum(q * q) AS DOUBLE)) * any_value(length), 0), 0), 6) AS score
+        FROM weighted JOIN doc USING (patent_id, dim) JOIN lengths USING (patent_id)
+        GROUP BY 1, 2),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY patent_id ORDER BY score DESC, term) AS rank
+        FROM scored)
+    SELECT patent_id, CAST(rank AS INTEGER) AS rank, term AS keyword, score
+    FROM ranked WHERE rank <= 5""",
+)
+
 # The SQL states the lemma rule in its own terms: singulars that occur, first form first.
 LEMMAS = f"""
     forms AS (
