@@ -149,13 +149,19 @@ def _encoder(model: str, end_id: int) -> Encoder:
     return Encoder(model, end_id)
 
 
+def _slices(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _tokenizer(sent, end_id: int, width: int, schema: pa.Schema):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(sent.value, end_id)
         context = TaskContext.get()
         task = context.partitionId() if context else 0
         seen, own = np.zeros(width, np.int64), 0
-        for batch in (b.slice(i, 128) for b in batches for i in range(0, b.num_rows, 512)):
+        for batch in _slices(batches, 512):
             docs, texts = batch.columns
             ids = encoder.encode(texts.to_pylist())
             n = np.array([len(i) // 4 for i in ids], np.int64)
@@ -396,7 +402,7 @@ def _placer(sent, schema: pa.Schema):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planned: Plan = sent.value
         width = planned.width
-        for batch in (b.slice(i, 128) for b in batches for i in range(0, b.num_rows, 128)):
+        for batch in _slices(batches, 128):
             out: list[tuple] = []
             for doc, task, rest, nth, own, n, stored, base in zip(
                 *(c.to_pylist() for c in batch.columns), strict=True

@@ -11,7 +11,7 @@ the path:
 * ``bpe`` models: merges of neighbours by greatest score, leftmost first. Their scores are
   merge ranks, so the Viterbi path is not what the library returns; the lattice is the same.
 
-Documents are shuffled once, into buckets. A bucket asks for each of its units once, packed
+Documents are shuffled once, in compressed buckets. A bucket asks for each of its units once, packed
 into one row per part of the unit space, so a very common unit costs a part one entry per
 bucket. A part builds the lattices of its different units once, whatever the number of
 buckets, and replies with their ids; the documents read the same shuffle again to look them
@@ -23,12 +23,15 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -336,35 +339,52 @@ class Encoder:
         self.find = re.compile(unit_pattern(pieces)).findall
 
     def ids(self, path: Iterable[str]) -> bytes:
-        out: list[int] = []
+        out = array("i")
         for piece in path:
             i = self.id_of.get(piece)
             if i is not None:
                 out.append(i)
             else:
                 out.extend(self.byte[b] for b in piece.encode())
-        return np.array(out, "<i4").tobytes()
+        return out.tobytes()
 
     def path(self, unit: str) -> list[str]:
         if self.pieces.kind == "bpe":
             return merged_by_rank(unit, self.score_of)
         return best_path(unit, self.score_of, self.pieces.longest, self.unknown)
 
-    def units(self, text: str) -> list[str]:
-        return self.find(BLANK + text.replace(" ", BLANK)) if text else []
+    def words(self, text: str) -> list[str]:
+        """What single blanks separate, or the units of a text with other blanks; each
+        word stands for its units behind a blank, each unit for itself."""
+        words = text.split(" ")
+        if "" in words:
+            return self.find(BLANK + text.replace(" ", BLANK)) if text else []
+        return [BLANK + word for word in words]
+
+    def units(self, words: Iterable[str]) -> dict[str, list[str]]:
+        """Units of words (see ``words``): they begin with a blank or are units."""
+        return {word: self.find(word) for word in words}
+
+    def asks(self, unit: str) -> bool:
+        return 1 < len(unit) <= self.longest_unit
+
+    def learnt(self, words: Iterable[str], known: dict[str, bytes]) -> dict[str, bytes]:
+        """Ids of words from the ids of units; units that nobody asks for are found here."""
+        out = {}
+        for word, units in self.units(words).items():
+            parts = []
+            for unit in units:
+                ids = known.get(unit)
+                if ids is None:
+                    ids = known[unit] = self.ids(self.path(unit))
+                parts.append(ids)
+            out[word] = b"".join(parts)
+        return out
 
     def encode(self, text: str, known: dict[str, bytes]) -> np.ndarray:
-        if not text:
-            return np.zeros(0, "<i4")
-        out = []
-        for unit in self.units(text):
-            got = known.get(unit)
-            if got is None:
-                got = self.ids(self.path(unit))
-                if len(unit) <= self.longest_unit:
-                    known[unit] = got
-            out.append(got)
-        return np.frombuffer(b"".join(out), "<i4")
+        words = self.words(text)
+        learnt = self.learnt(set(words), known)
+        return np.frombuffer(b"".join([learnt[w] for w in words]), "<i4")
 
 
 @lru_cache(maxsize=2)
@@ -372,41 +392,96 @@ def _encoder(pieces: Pieces, longest_unit: int) -> Encoder:
     return Encoder(pieces, longest_unit)
 
 
-ASKS = "part int, bucket int, blob binary"
-ASKED = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("blob", pa.binary())])
+PACKED = "bucket long, blob binary"
+ASKS = "part int, bucket long, blob binary"
+ASKED = pa.schema([("part", pa.int32()), ("bucket", pa.int64()), ("blob", pa.binary())])
 #: Between units in a packed row: blanks have been replaced in them.
 BETWEEN = " "
+ZSTD = pa.Codec("zstd", compression_level=3)
 
 
-def _units_by_part(encoder: Encoder, bodies: pa.ChunkedArray, parts: int) -> dict[int, list[str]]:
+def _squeezed(raw: bytes) -> bytes:
+    return len(raw).to_bytes(8, "little") + ZSTD.compress(raw, asbytes=True)
+
+
+def _restored(stored: bytes) -> bytes:
+    return ZSTD.decompress(stored[8:], int.from_bytes(stored[:8], "little"), asbytes=True)
+
+
+def _packer(bucket_bytes: int):
+    """Rows of a task in buckets of about that size, each one compressed row."""
+
+    def packed(bucket: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema) as writer:
+            for batch in held:
+                writer.write_batch(batch)
+        blob = _squeezed(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([bucket]), pa.array([blob], pa.binary())], names=["bucket", "blob"]
+        )
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = TaskContext.get()
+        bucket = (context.partitionId() if context else 0) << 32
+        held: list[pa.RecordBatch] = []
+        have = 0
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+            at = 0
+            for i, n in enumerate(sizes):
+                if have and have + n > bucket_bytes:
+                    yield packed(bucket, [*held, batch.slice(at, i - at)])
+                    held, have, at, bucket = [], 0, i, bucket + 1
+                have += n
+            held.append(batch.slice(at))
+        if any(batch.num_rows for batch in held):
+            yield packed(bucket, held)
+
+    return run
+
+
+def _bucket_texts(blob: bytes) -> tuple[pa.ChunkedArray, list[str | None]]:
+    with pa.ipc.open_stream(_restored(blob)) as reader:
+        table = reader.read_all()
+    return table.column(0), table.column(1).to_pylist()
+
+
+def _units_by_part(
+    encoder: Encoder, words: Iterable[Iterable[str]], parts: int
+) -> dict[int, list[str]]:
     """The different units of a bucket that ask for a path, in a fixed order."""
-    found: set[str] = set()
-    for batch in bodies.chunks:
-        for body in batch.to_pylist():
-            found.update(encoder.units(body[17:]))
+    units = set().union(*encoder.units(set().union(*words)).values())
     dealt: dict[int, list[str]] = {}
-    for unit in sorted(u for u in found if 1 < len(u) <= encoder.longest_unit):
+    for unit in sorted(filter(encoder.asks, units)):
         dealt.setdefault(zlib.crc32(unit.encode()) % parts, []).append(unit)
     return dealt
 
 
 def _asker(sent, longest_unit: int, parts: int):
-    def run(docs: pa.Table) -> pa.Table:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(sent.value, longest_unit)
-        dealt = _units_by_part(encoder, docs["body"], parts)
-        bucket = docs["bucket"][0].as_py()
-        blobs = [BETWEEN.join(units).encode() for units in dealt.values()]
-        columns = [list(dealt), [bucket] * len(dealt), blobs]
-        return pa.table([pa.array(c, f.type) for c, f in zip(columns, ASKED, strict=True)], schema=ASKED)
+        for batch in batches:
+            for bucket, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                _, texts = _bucket_texts(blob)
+                dealt = _units_by_part(encoder, (encoder.words(t) for t in texts if t), parts)
+                blobs = [_squeezed(BETWEEN.join(units).encode()) for units in dealt.values()]
+                columns = [list(dealt), [bucket] * len(dealt), blobs]
+                arrays = [pa.array(c, f.type) for c, f in zip(columns, ASKED, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=ASKED)
 
     return run
 
 
+def _asked_units(blob: bytes) -> list[str]:
+    return _restored(blob).decode().split(BETWEEN)
+
+
 def _different(asked: pa.Table) -> pa.Table:
     """The different units that a part is asked for."""
     units: set[str] = set()
     for blob in asked["blob"].to_pylist():
-        units.update(blob.decode().split(BETWEEN))
+        units.update(_asked_units(blob))
     part = pa.array([asked["part"][0].as_py()] * len(units), pa.int32())
     return pa.table({"of": part, "unit": pa.array(sorted(units), pa.string())})
 
@@ -416,25 +491,28 @@ def _answers(sent, longest_unit: int):
 
     def run(asked: pa.Table, paths: pa.Table) -> pa.Table:
         encoder = _encoder(sent.value, longest_unit)
+        narrow = len(encoder.pieces.names) <= 1 << 16
         units, pieces = paths["unit"].to_pylist(), paths["pieces"].to_pylist()
         known = {u: encoder.ids(p) for u, p in zip(units, pieces, strict=True)}
         blobs = []
         for blob in asked["blob"].to_pylist():
-            got = [known.get(u) or encoder.ids(u) for u in blob.decode().split(BETWEEN)]
+            got = [known.get(u) or encoder.ids(u) for u in _asked_units(blob)]
             sizes = np.array([len(g) // 4 for g in got], np.uint8)
-            blobs.append(sizes.tobytes() + b"".join(got))
+            ids = np.frombuffer(b"".join(got), "<i4")
+            blobs.append(_squeezed(sizes.tobytes() + (ids.astype("<u2") if narrow else ids).tobytes()))
         return asked.set_column(2, "blob", pa.array(blobs, pa.binary())).cast(ASKED)
 
     return run
 
 
-def _replied(dealt: dict[int, list[str]], replies: pa.Table) -> dict[str, bytes]:
+def _replied(encoder: Encoder, dealt: dict[int, list[str]], replies: pa.Table) -> dict[str, bytes]:
+    kind = "<u2" if len(encoder.pieces.names) <= 1 << 16 else "<i4"
     known: dict[str, bytes] = {}
     for part, blob in zip(replies["part"].to_pylist(), replies["blob"].to_pylist(), strict=True):
-        units = dealt[part]
-        ends = np.cumsum(np.frombuffer(blob, np.uint8, len(units)), dtype=np.int64) * 4 + len(units)
-        starts = [len(units), *ends.tolist()]
-        known.update((u, blob[a:b]) for u, a, b in zip(units, starts, starts[1:], strict=False))
+        units, raw = dealt[part], _restored(blob)
+        ids = np.frombuffer(raw, kind, offset=len(units)).astype("<i4").tobytes()
+        ends = (np.cumsum(np.frombuffer(raw, np.uint8, len(units)), dtype=np.int64) * 4).tolist()
+        known.update((u, ids[a:b]) for u, a, b in zip(units, [0, *ends], ends, strict=False))
     return known
 
 
@@ -445,42 +523,31 @@ def _looked_up(sent, longest_unit: int, parts: int):
 
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         encoder = _encoder(sent.value, longest_unit)
-        known = _replied(_units_by_part(encoder, docs["body"], parts), replies)
         tables = [schema.empty_table()]
-        for batch in docs.select(["body"]).to_batches(max_chunksize=512):
-            ids, texts, found = [], [], []
-            for body in batch.column(0).to_pylist():
-                ids.append(_id_of(body[:16]))
-                texts.append(body[17:] if body[16] == "T" else None)
-                found.append(None if texts[-1] is None else encoder.encode(texts[-1], known))
-            sizes = [0 if f is None else len(f) for f in found]
-            offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
-            flat = np.concatenate([f for f in found if f is not None] or [np.zeros(0, "<i4")])
+        for blob in docs["blob"].to_pylist():
+            ids, texts = _bucket_texts(blob)
+            words = [encoder.words(t) if t else [] for t in texts]
+            known = _replied(encoder, _units_by_part(encoder, words, parts), replies)
+            learnt = encoder.learnt(set().union(*words), known)
+            found = [b"".join(map(learnt.__getitem__, w)) for w in words]
+            offsets = np.append(0, np.cumsum([len(f) // 4 for f in found])).astype(np.int32)
             lists = pa.ListArray.from_arrays(
-                pa.array(offsets), pa.array(flat, pa.int32()),
-                mask=pa.array([f is None for f in found]),
-            )
-            tables.append(
-                pa.table([pa.array(ids, pa.int64()), pa.array(texts, pa.string()), lists], schema=schema)
+                pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")),
+                mask=pa.array([t is None for t in texts]),
             )
+            columns = [ids.combine_chunks(), pa.array(texts, pa.string()), lists]
+            tables.append(pa.table(columns, schema=schema))
         return pa.concat_tables(tables)
 
     return run
 
 
-def _id_of(digits: str) -> int | None:
-    if digits[0] == "-":
-        return None
-    value = int(digits, 16)
-    return value - (1 << 64) if value >= 1 << 63 else value
-
-
 def encode(
     docs: DataFrame,
     pieces: Pieces,
     doc_id: str = "doc_id",
     text: str = "text",
-    bucket_bytes: int = 8 << 20,
+    bucket_bytes: int = 4 << 20,
     longest_unit: int = 48,
 ) -> DataFrame:
     """Columns doc_id, text and ids (piece ids as the library returns them).
@@ -489,7 +556,8 @@ def encode(
     ids too; other columns are not read, whatever their names. Units of more than
     ``longest_unit`` characters (below 64) find their path outside the fold, by the same
     rule in time proportional to their length, so unbroken texts of any length are encoded.
-    The size of all texts is added up when this is called; the rest is lazy.
+    The size of all texts is added up when this is called; the rest is lazy. A bucket holds
+    ``bucket_bytes`` of text, or one longer text.
     """
     if not 1 < longest_unit < 64:
         raise ValueError("longest_unit is between 2 and 63")
@@ -497,26 +565,15 @@ def encode(
     ship_package(spark)
     size = total_bytes(docs, text)
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(size // bucket_bytes + 1, min(width, size // (bucket_bytes // 8) + 1))
-    parts = max(size // (bucket_bytes // 4) + 1, width)
-    # One column holds id and text, so that both uses below ask for the same shuffle.
-    number = F.lpad(F.hex(F.col(doc_id).cast("long")), 16, "0")
-    body = F.concat(
-        F.coalesce(number, F.lit("-" * 16)),
-        F.when(F.col(text).isNull(), "N").otherwise("T"),
-        F.coalesce(F.col(text), F.lit("")),
-    )
-    # A task per bucket and part: adaptive execution would join them by their few bytes.
-    dealt = docs.select(
-        F.pmod(F.xxhash64(doc_id, text), F.lit(buckets)).cast("int").alias("bucket"),
-        body.alias("body"),
-    ).repartition(max(buckets, width), "bucket")
+    parts = max(size // (bucket_bytes // 2) + 1, width)
     sent = spark.sparkContext.broadcast(pieces)
-    asked = (
-        dealt.groupBy("bucket")
-        .applyInArrow(_asker(sent, longest_unit, parts), ASKS)
-        .repartition(parts, "part")
+    # A task per bucket and part: adaptive execution would join them by their few bytes.
+    dealt = (
+        docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
+        .mapInArrow(_packer(bucket_bytes), PACKED)
+        .repartition(max(size // bucket_bytes + 1, width), "bucket")
     )
+    asked = dealt.mapInArrow(_asker(sent, longest_unit, parts), ASKS).repartition(parts, "part")
     units = asked.groupBy("part").applyInArrow(_different, "of int, unit string")
     paths = lattice_paths(units.repartition(parts, "of"), pieces, ("of", "unit"))
     replies = (
@@ -543,13 +600,13 @@ def _decoder(sent, ids: str, to: str, schema: pa.Schema):
                 raw.append(name.replace(BLANK, " ").encode() if ok else b"")
         for batch in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
             lists = batch.column(batch.schema.get_field_index(ids))
-            flat = lists.flatten().to_pylist()
+            flat = list(map(raw.__getitem__, lists.flatten().to_pylist()))
             out, at = [], 0
             for size in lists.value_lengths().to_pylist():
                 if size is None:
                     out.append(None)
                     continue
-                text = b"".join([raw[i] for i in flat[at : at + size]])
+                text = b"".join(flat[at : at + size])
                 at += size
                 out.append(text.decode("utf-8", "replace")[size > 0 :])
             names = [f.name for f in schema if f.name != to]

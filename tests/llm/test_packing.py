@@ -112,10 +112,14 @@ def test_null_ids_and_no_documents(spark):
 
 
 def test_few_documents_are_cut(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").coalesce(1)
     got = packing.pack(docs, PACKED_TOKENIZER, 2)
     per = got.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("d"))
     total = got.agg(F.sum("length"), F.count("*")).first()
+    model = Tokenizer.from_file(PACKED_TOKENIZER)
+    texts = [r.text or "" for r in docs.select("text").collect()]
+    assert total[0] == sum(len(t.ids) + 1 for t in model.encode_batch(texts, add_special_tokens=False))
+    assert got.select("doc_id").distinct().count() == len(texts)
     sequences = per.collect()
     assert sum(1 for s in sequences if s.n < packing.WIDTH) <= 12
     least = docs.count() + sum(d // packing.WIDTH for (d,) in got.select("doc_id", "doc_tokens").distinct().select("doc_tokens").collect())
