@@ -12,7 +12,7 @@ from patentloom.plans import branches
 from patentloom.session import scratch_path
 from patentloom.sinks.keyed import KeyedTable
 from patentloom.sources import streams
-from patentloom.streaming import simple, trends
+from patentloom.streaming import guarded, simple, trends
 
 # Many files in two micro-batches, so that every bucket is updated again and, whatever the
 # order of the records, none is behind the watermark.
@@ -128,6 +128,178 @@ register(
 )
 
 
+register(
+    "stream_geo_distinct",
+    trend("geo_distribution", lambda ready: trends.geo_distribution(ready, counting="distinct")),
+    f"""SELECT {STAMP}, 'US-' || state AS state,
+               CAST(count(DISTINCT inventor_name) AS INTEGER) AS inventor_count,
+               CAST(count(DISTINCT patent_id) AS INTEGER) AS patent_count
+        FROM live_inventors GROUP BY 1, 2, 3, 4""",
+)
+
+
+def stream_all_trends(t: Tables) -> DataFrame:
+    """All three tables of one query, below each other."""
+    root = scratch_path(t.spark, "tables")
+    tables = trends.trend_tables(t.spark, root)
+    query = trends.start_batches(
+        trends.all_trends(patent_stream(t)),
+        trends.fan_out(tables),
+        scratch_path(t.spark, "checkpoint"),
+        available_now=True,
+        state_partitions=t.spark.sparkContext.defaultParallelism,
+    )
+    query.awaitTermination()
+    shape = {"state": "string", "grant_count": "int", "avg_claims": "double", "male_count": "int",
+             "female_count": "int", "inventor_count": "int", "patent_count": "int"}
+    parts = [
+        rounded(table.read(), *({"avg_claims"} & set(trends.REPORTS[name]))).select(
+            F.lit(name).alias("report"),
+            F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+            "branch",
+            *(
+                (F.col(c) if c in trends.REPORTS[name] else F.lit(None)).cast(kind).alias(c)
+                for c, kind in shape.items()
+            ),
+        )
+        for name, table in tables.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+register(
+    "stream_all_trends",
+    stream_all_trends,
+    f"""
+    SELECT 'patent_trends' AS report, CAST({MONTH} AS TIMESTAMP) AS timestamp, branch,
+           CAST(NULL AS VARCHAR) AS state, CAST(count(*) AS INTEGER) AS grant_count,
+           round(CAST(CAST(avg(num_claims) AS FLOAT) AS DOUBLE), 6) AS avg_claims,
+           CAST(NULL AS INTEGER) AS male_count, CAST(NULL AS INTEGER) AS female_count,
+           CAST(NULL AS INTEGER) AS inventor_count, CAST(NULL AS INTEGER) AS patent_count
+    FROM live_patents WHERE branch IS NOT NULL GROUP BY 1, 2, 3
+    UNION ALL
+    SELECT 'gender_trends', CAST({MONTH} AS TIMESTAMP), branch, NULL, NULL, NULL,
+           CAST(count(*) FILTER (WHERE gender = 'M') AS INTEGER),
+           CAST(count(*) FILTER (WHERE gender = 'F') AS INTEGER), NULL, NULL
+    FROM live_inventors GROUP BY 1, 2, 3
+    UNION ALL
+    SELECT 'geo_distribution', CAST({MONTH} AS TIMESTAMP), branch, 'US-' || state, NULL, NULL,
+           NULL, NULL, CAST(count(inventor_name) AS INTEGER), CAST(count(patent_id) AS INTEGER)
+    FROM live_inventors GROUP BY 1, 2, 3, 4""",
+)
+
+# A feed in five deliveries: records come with their quarter, one in ten a delivery later, and
+# one in 37 two later. Some lines are cut off, some dates are none.
+FILES_PER_DELIVERY = 2
+DELIVERIES = 5
+
+
+def guarded_feed(t: Tables) -> guarded.GuardedFeed:
+    """The feed after all deliveries, each a micro-batch of its own."""
+    number, date = F.col("patent_id").cast("long"), F.col("patent_date").cast("date")
+    late = F.when(number % 10 == 0, 1).otherwise(0) + F.when(number % 37 == 0, 2).otherwise(0)
+    delivery = F.least(F.quarter(date) + late, F.lit(DELIVERIES))
+    dated = F.when(number % 47 == 0, "2024-02-31").otherwise(F.col("patent_date"))
+    line = F.to_json(F.struct(*(c for c in t.live_patents.columns if c != "patent_date"), dated.alias("patent_date")))
+    lines = t.live_patents.select(
+        delivery.alias("delivery"), F.when(number % 53 == 0, F.substr(line, F.lit(1), F.lit(9))).otherwise(line).alias("value")
+    )
+    path = scratch_path(t.spark, "deliveries")
+    for k in range(1, DELIVERIES + 1):  # one after another: the stream goes by the time of a file
+        rows = lines.where(F.col("delivery") == k).select("value")
+        rows.repartition(FILES_PER_DELIVERY).write.text(f"{path}/delivery-{k}")
+    feed = guarded.GuardedFeed.at(t.spark, scratch_path(t.spark, "feed"))
+    query = trends.start_batches(
+        streams.json_stream(t.spark, f"{path}/*", files_per_trigger=FILES_PER_DELIVERY),
+        feed.take,
+        scratch_path(t.spark, "checkpoint"),
+        output_mode="append",
+        available_now=True,
+    )
+    query.awaitTermination()
+    return feed
+
+
+DELIVERED = f"""
+    WITH delivered AS (
+        SELECT *, CAST(patent_id AS BIGINT) AS number, CAST({MONTH} AS TIMESTAMP) AS timestamp,
+               least(quarter(patent_date) + CASE WHEN CAST(patent_id AS BIGINT) % 10 = 0 THEN 1 ELSE 0 END
+                     + CASE WHEN CAST(patent_id AS BIGINT) % 37 = 0 THEN 2 ELSE 0 END, {DELIVERIES})
+                   AS delivery
+        FROM live_patents),
+    first AS (
+        SELECT *, CASE WHEN number % 53 = 0 THEN 'malformed' WHEN branch IS NULL THEN 'incomplete'
+                       WHEN number % 47 = 0 THEN 'undated' END AS wrong
+        FROM delivered),
+    marks AS (
+        SELECT d AS delivery, (SELECT max(timestamp) FROM first WHERE wrong IS NULL AND delivery < d)
+                   AS newest
+        FROM (SELECT unnest(range(1, {DELIVERIES} + 1)) AS d)),
+    judged AS (
+        SELECT f.*, coalesce(wrong, CASE WHEN timestamp < newest - INTERVAL 62 DAY THEN 'late' END)
+                   AS reason
+        FROM first f JOIN marks USING (delivery))"""
+
+
+register(
+    "stream_quarantine",
+    lambda t: guarded_feed(t).rejected.read().select(
+        "batch_id", "reason", F.when(F.col("reason") != "malformed", F.col("patent_id")).alias("patent_id")
+    ),
+    DELIVERED
+    + """ SELECT delivery - 1 AS batch_id, reason,
+                 CASE WHEN reason <> 'malformed' THEN patent_id END AS patent_id
+          FROM judged WHERE reason IS NOT NULL""",
+)
+register(
+    "stream_guarded_trends",
+    lambda t: rounded(zoneless(guarded_feed(t).trends(), "timestamp"), "avg_claims"),
+    DELIVERED
+    + """, people AS (
+        SELECT patent_id, branch, timestamp, 'person-' || ((user_id + i * 7) % 90) AS name,
+               (user_id + i) % 3 AS gender
+        FROM (SELECT *, unnest(range(0, user_id % 3 + 1)) AS i FROM judged WHERE reason IS NULL)),
+    counted AS (
+        SELECT timestamp, branch, count(*) FILTER (WHERE gender = 0) AS male_count,
+               count(*) FILTER (WHERE gender = 1) AS female_count,
+               count(DISTINCT name) AS inventor_estimate
+        FROM people GROUP BY 1, 2)
+    SELECT timestamp, CAST(timestamp AS DATE) AS year, branch, count(*) AS grant_count,
+           round(avg(num_claims), 6) AS avg_claims, any_value(male_count) AS male_count,
+           any_value(female_count) AS female_count, any_value(inventor_estimate) AS inventor_estimate
+    FROM judged JOIN counted USING (timestamp, branch) WHERE reason IS NULL GROUP BY 1, 2, 3""",
+)
+
+
+def history_plus_stream_distinct(t: Tables) -> DataFrame:
+    """Every month half from a batch and half from the stream: inventors of both count once."""
+    even = F.col("patent_id").cast("long") % 2 == 0
+    feed = guarded.GuardedFeed.at(t.spark, scratch_path(t.spark, "feed"), open_days=366)
+    feed.start_from(t.live_patents.where(even))
+    path = delivered(t.live_patents.where(~even))
+    query = trends.start_batches(
+        streams.json_stream(t.spark, path, files_per_trigger=half(t, path)),
+        feed.take,
+        scratch_path(t.spark, "checkpoint"),
+        output_mode="append",
+        available_now=True,
+    )
+    query.awaitTermination()
+    return zoneless(feed.trends(), "timestamp").select(
+        "timestamp", "branch", "grant_count", "inventor_estimate"
+    )
+
+
+register(
+    "history_plus_stream_distinct",
+    history_plus_stream_distinct,
+    f"""SELECT CAST({MONTH} AS TIMESTAMP) AS timestamp, branch,
+               count(DISTINCT patent_id) AS grant_count,
+               count(DISTINCT inventor_name) AS inventor_estimate
+        FROM live_inventors GROUP BY 1, 2""",
+)
+
+
 def stream_category_agg(t: Tables) -> DataFrame:
     path = delivered(t.category_prices)
     records = streams.json_stream(
@@ -152,8 +324,8 @@ def stream_word_count(t: Tables) -> DataFrame:
         "maxRecordsPerFile", RECORDS_PER_FILE
     ).text(path)
     lines = streams.text_stream(t.spark, path, half(t, path))
-    table = KeyedTable(t.spark, scratch_path(t.spark, "tables"), ["word"], "count")
-    return run(simple.word_counts(lines), table, "complete")
+    table = simple.word_table(t.spark, scratch_path(t.spark, "tables"))
+    return run(simple.word_counts(lines), table)
 
 
 register(

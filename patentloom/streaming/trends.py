@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,6 +18,7 @@ from patentloom.functions.dates import bucket_start, parsed_date
 from patentloom.functions.names import prefixed
 from patentloom.operators.quality import drop_any_null
 from patentloom.sinks.keyed import KeyedTable
+from patentloom.sinks.scoped import ScopedTable
 from patentloom.sources.streams import parsed_only
 
 # Event time is the first day of a month. Two whole months let a month's files come
@@ -88,8 +89,11 @@ def geo_distribution(
 
     ``counting="rows"`` counts inventor rows. ``"approx_distinct"`` counts distinct
     values with a sketch. Both keep a few bytes of state per report row however many
-    inventors a state has, which an exact set in the state store would not.
+    inventors a state has. ``"distinct"`` is exact, as the batch report is: see
+    ``distinct_geo``.
     """
+    if counting == "distinct":
+        return distinct_geo(records, prefix)
     count = {"rows": F.count, "approx_distinct": F.approx_count_distinct}[counting]
     counts = _inventors(records).groupBy(
         "timestamp", "branch", F.col("inventor.state").alias("state")
@@ -102,6 +106,99 @@ def geo_distribution(
     )
 
 
+def distinct_geo(records: DataFrame, prefix: str = "US-") -> DataFrame:
+    """Distinct inventors and patents per bucket, branch and state, by two stateful operators.
+
+    The first lets each (bucket, branch, state, inventor or patent) through once, the second
+    counts what comes. Both forget a bucket when the watermark has passed it, so the state is
+    that of the open buckets: one small row per distinct value.
+    """
+    values = F.array(
+        F.struct(F.lit(True).alias("person"), F.col("inventor.inventor_name").alias("value")),
+        F.struct(F.lit(False).alias("person"), F.col("patent_id").alias("value")),
+    )
+    seen = _inventors(records).select(
+        "timestamp", "branch", F.col("inventor.state").alias("state"), F.inline(values)
+    )
+    once = seen.where(F.col("value").isNotNull()).dropDuplicates(
+        ["timestamp", "branch", "state", "person", "value"]
+    )
+    counts = once.groupBy("timestamp", "branch", "state").agg(
+        F.count_if("person").cast("int").alias("inventor_count"),
+        F.count_if(~F.col("person")).cast("int").alias("patent_count"),
+    )
+    return _with_year(
+        counts, prefixed(F.col("state"), prefix).alias("state"), "inventor_count", "patent_count"
+    )
+
+
+#: Columns of the three report tables among those of ``all_trends``.
+REPORTS = {
+    "patent_trends": ["timestamp", "year", "branch", "grant_count", "avg_claims"],
+    "gender_trends": ["timestamp", "year", "branch", "male_count", "female_count"],
+    "geo_distribution": ["timestamp", "year", "branch", "state", "inventor_count", "patent_count"],
+}
+
+
+def all_trends(records: DataFrame, prefix: str = "US-") -> DataFrame:
+    """The three reports as one stream with one stateful aggregation.
+
+    A record becomes one row for the patents, and two per inventor; the key says which
+    report a row is for. ``report`` tells the rows of the result apart.
+    """
+
+    def row(report: str, **values: Column) -> Column:
+        kinds = {"state": "string", "claims": "int", "gender": "string", "name": "string"}
+        cells = [values.get(k, F.lit(None)).cast(v).alias(k) for k, v in kinds.items()]
+        return F.struct(F.lit(report).alias("report"), *cells)
+
+    tagged = F.concat(
+        F.array(row("patent_trends", claims=F.col("num_claims"))),
+        F.transform("inventors", lambda i: row("gender_trends", gender=i["gender"])),
+        F.transform(
+            "inventors",
+            lambda i: row("geo_distribution", state=i["state"], name=i["inventor_name"]),
+        ),
+    )
+    rows = records.select("timestamp", "branch", "patent_id", F.inline(tagged))
+    counts = rows.groupBy("timestamp", "branch", "report", "state").agg(
+        F.count("patent_id").cast("int").alias("patents"),
+        F.avg("claims").cast("float").alias("avg_claims"),
+        F.count_if(F.col("gender") == "M").cast("int").alias("male_count"),
+        F.count_if(F.col("gender") == "F").cast("int").alias("female_count"),
+        F.count("name").cast("int").alias("inventor_count"),
+    )
+    return counts.select(
+        "report",
+        "timestamp",
+        F.to_date("timestamp").alias("year"),
+        "branch",
+        prefixed(F.col("state"), prefix).alias("state"),
+        F.col("patents").alias("grant_count"),
+        "avg_claims",
+        "male_count",
+        "female_count",
+        "inventor_count",
+        F.col("patents").alias("patent_count"),
+    )
+
+
+def fan_out(tables: dict[str, KeyedTable]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that upserts the rows of ``all_trends`` into their tables."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for name, table in tables.items():
+                rows = batch.where(F.col("report") == name).select(*REPORTS[name])
+                if not rows.isEmpty():
+                    table.upsert(rows)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def upsert_into(table: KeyedTable) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function. A batch replayed after a failure upserts the same
     rows again, which leaves the table as it was."""
@@ -118,15 +215,15 @@ def upsert_into(table: KeyedTable) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def start_upsert(
+def start_batches(
     report: DataFrame,
-    table: KeyedTable,
+    write: Callable[[DataFrame, int], None],
     checkpoint: str,
     output_mode: str = "update",
     available_now: bool = False,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Run ``report`` into ``table``; each query needs its own checkpoint folder.
+    """Run ``report`` into a ``foreachBatch`` function; each query needs its own checkpoint.
 
     The number of state partitions is fixed by the first run of a checkpoint; reports
     of a few thousand rows want far fewer than a batch shuffle does.
@@ -134,7 +231,7 @@ def start_upsert(
     writer = (
         report.writeStream.outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(upsert_into(table))
+        .foreachBatch(write)
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -148,14 +245,25 @@ def start_upsert(
         conf.set(key, before)
 
 
+def start_upsert(
+    report: DataFrame, table: KeyedTable, checkpoint: str, **options
+) -> StreamingQuery:
+    """Run ``report`` into ``table``; options are those of ``start_batches``."""
+    return start_batches(report, upsert_into(table), checkpoint, **options)
+
+
 def trend_tables(spark, root: str) -> dict[str, KeyedTable]:
-    """The three report tables below ``root`` with their keys."""
+    """The three report tables below ``root`` with their keys, in one part per bucket: a
+    micro-batch reads and writes the buckets it has rows of."""
+    keys = {
+        "patent_trends": (TREND_KEYS, "grant_count"),
+        "gender_trends": (TREND_KEYS, "male_count"),
+        "geo_distribution": (GEO_KEYS, "inventor_count"),
+    }
+    part = F.col("year").cast("string")
     return {
-        "patent_trends": KeyedTable(spark, f"{root}/patent_trends", TREND_KEYS, "grant_count"),
-        "gender_trends": KeyedTable(spark, f"{root}/gender_trends", TREND_KEYS, "male_count"),
-        "geo_distribution": KeyedTable(
-            spark, f"{root}/geo_distribution", GEO_KEYS, "inventor_count"
-        ),
+        name: ScopedTable(spark, f"{root}/{name}", own, first, part=part)
+        for name, (own, first) in keys.items()
     }
 
 
@@ -167,17 +275,8 @@ def start_all(
     from_date: str | None = None,
     **options,
 ) -> list[StreamingQuery]:
-    """Start the three trend queries, from the cutoff of the batch tables where there are
-    any (``from_date``). Wait with ``spark.streams.awaitAnyTermination``,
-    which sees the failure of any of them."""
-    ready = prepared(records, grain, from_date=from_date)
+    """Start the query that fills the three trend tables, from the cutoff of the batch tables
+    where there are any (``from_date``): one read of the feed, one checkpoint."""
     tables = trend_tables(records.sparkSession, root)
-    reports = {
-        "patent_trends": patent_trends(ready),
-        "gender_trends": gender_trends(ready),
-        "geo_distribution": geo_distribution(ready),
-    }
-    return [
-        start_upsert(report, tables[name], f"{checkpoints}/{name}", **options)
-        for name, report in reports.items()
-    ]
+    report = all_trends(prepared(records, grain, from_date=from_date))
+    return [start_batches(report, fan_out(tables), f"{checkpoints}/trends", **options)]

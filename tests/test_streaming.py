@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from patentloom.sources import streams
-from patentloom.streaming import simple, trends
+from patentloom.streaming import guarded, simple, trends
 
 
 def record(patent, date, branch="AI", claims="4", inventors=(("Ann", "F", "CA"),)):
@@ -134,6 +134,120 @@ def test_distinct_counting_with_a_sketch(spark, feed, tmp_path):
     assert [tuple(r)[3:] for r in table.read().collect()] == [("CA", 2, 2)]
 
 
+def test_exact_distinct_counts_and_their_state(spark, feed, tmp_path):
+    ann, bo = ("Ann", "F", "CA"), ("Bo", "M", "CA")
+    feed.add(record("1", "2024-09-01", inventors=(ann, bo, ann)))
+    feed.add(record("2", "2024-09-02", inventors=(ann,)), record("1", "2024-09-01", inventors=(bo,)))
+    feed.add(record("3", "2024-09-09", inventors=(ann, ("Cy", "M", "NY"))))
+    distinct = lambda ready: trends.geo_distribution(ready, counting="distinct")
+    table, query = run(spark, feed, tmp_path, "geo_distribution", distinct)
+    expected = {"US-CA": (2, 3), "US-NY": (1, 1)}
+    assert {r.state: (r.inventor_count, r.patent_count) for r in table.read().collect()} == expected
+    rows = [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in query.recentProgress]
+    # Distinct (person or patent, state) values, and one row per state: not one per row read.
+    assert max(rows) == 5 + 2 + 2
+    feed.add(record("9", "2025-06-01", inventors=(ann,)))
+    feed.add(record("10", "2025-06-02", inventors=(ann,)))
+    table, query = run(spark, feed, tmp_path, "geo_distribution", distinct)
+    last = [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in query.recentProgress][-1]
+    assert last == 3 + 1, "closed months are forgotten"
+    assert {r.state for r in table.read().collect()} == {"US-CA", "US-NY"}
+
+
+def test_one_query_fills_the_three_tables(spark, feed, tmp_path):
+    people = (("Ann", "F", "CA"), ("Bo", "M", "CA"), ("Cy", "U", None))
+    feed.add(record("1", "2024-09-01", inventors=people), record("2", "2024-09-03", claims="x"))
+    feed.add(record("3", "2024-10-01", "Net", inventors=()), record("4", "2024-09-05", inventors=people))
+    queries = trends.start_all(
+        streams.json_stream(spark, str(feed.path), files_per_trigger=1),
+        str(tmp_path / "t"), str(tmp_path / "c"), available_now=True, state_partitions=2,
+    )
+    assert len(queries) == 1
+    queries[0].awaitTermination()
+    together = trends.trend_tables(spark, str(tmp_path / "t"))
+    builds = {
+        "patent_trends": trends.patent_trends,
+        "gender_trends": trends.gender_trends,
+        "geo_distribution": trends.geo_distribution,
+    }
+    for name, build in builds.items():
+        alone, _ = run(spark, feed, tmp_path, name, build)
+        columns = alone.read().columns
+        want = sorted(map(tuple, alone.read().collect()), key=repr)
+        assert sorted(map(tuple, together[name].read().select(columns).collect()), key=repr) == want
+        assert want
+
+
+def guarded_run(spark, feed, tmp_path, root="feed"):
+    own = guarded.GuardedFeed.at(spark, str(tmp_path / root))
+    query = trends.start_batches(
+        streams.json_stream(spark, str(feed.path), files_per_trigger=1), own.take,
+        str(tmp_path / f"{root}-checkpoint"), output_mode="append", available_now=True,
+    )
+    query.awaitTermination()
+    return own
+
+
+def reports_of(own):
+    return sorted(
+        (str(r.year), r.branch, r.grant_count, r.avg_claims, r.male_count, r.female_count, r.inventor_estimate)
+        for r in own.trends().collect()
+    )
+
+
+def test_late_and_bad_rows_go_to_the_quarantine(spark, feed, tmp_path):
+    ann, bo = ("Ann", "F", "CA"), ("Bo", "M", "CA")
+    feed.add(record("1", "2024-03-01", inventors=(ann, bo)), record("2", "2024-03-09", claims="x"))
+    feed.add(record("3", "2024-09-02", inventors=()), record("4", "2024-03-31"), record("5", "2024-02-30"))
+    feed.add(record("6", "2024-09-02", None), record("7", "2024-07-15"), record("8", "2024-03-01"))
+    (feed.path / "003.json").write_text((feed.path / "003.json").read_text() + "{broken\n")
+    os.utime(feed.path / "003.json", (3, 3))
+    own = guarded_run(spark, feed, tmp_path)
+    rejected = sorted((r.batch_id, r.reason, r.patent_id) for r in own.rejected.read().collect() if r.patent_id)
+    # The second batch came before September was the newest month: its March row counts.
+    assert rejected == [(1, "undated", "5"), (2, "incomplete", "6"), (2, "late", "8")]
+    counts = {(r.batch_id, r.reason): r.rows for r in own.rejections().collect()}
+    assert counts[2, "malformed"] == 1
+    want = [
+        ("2024-03-01", "AI", 3, 4.0, 1, 3, 2),
+        ("2024-07-01", "AI", 1, 4.0, 0, 1, 1),
+        ("2024-09-01", "AI", 1, 4.0, 0, 0, 0),
+    ]
+    assert reports_of(own) == want
+    # A replay of the last batch finds the same mark and overwrites its own folder.
+    again = spark.read.schema(streams_schema()).option("columnNameOfCorruptRecord", streams.CORRUPT)
+    own.take(again.json(str(feed.path / "003.json")), 2)
+    assert reports_of(own) == want
+    assert len(own.rejected.read().where("batch_id = 2").collect()) == 3
+
+
+def streams_schema():
+    from patentloom import schemas
+
+    return f"{schemas.PATENT_STREAM}, {streams.CORRUPT} string"
+
+
+def test_history_and_stream_unite_their_sketches(spark, tmp_path):
+    def people(low, high):
+        return spark.range(low, high).select(
+            F.col("id").cast("string").alias("patent_id"), F.lit("2024-09-01").alias("patent_date"),
+            F.lit("2").alias("num_claims"), F.lit("AI").alias("branch"),
+            F.array(
+                F.struct(F.concat(F.lit("p"), "id").alias("inventor_name"), F.lit("F").alias("gender"), F.lit("S").alias("state"))
+            ).alias("inventors"),
+            F.array(F.struct(F.lit("o").alias("organization"))).alias("applicants"),
+        )
+
+    both, whole = (guarded.GuardedFeed.at(spark, str(tmp_path / name)) for name in ("both", "whole"))
+    both.start_from(people(0, 20_000))
+    both.take(people(15_000, 40_000).withColumn(streams.CORRUPT, F.lit(None).cast("string")), 0)
+    whole.start_from(people(0, 40_000))
+    found, want = reports_of(both)[0], reports_of(whole)[0]
+    assert found[2] == 45_000 and want[2] == 40_000
+    assert found[6] == want[6], "the union of sketches is the sketch of the union"
+    assert abs(found[6] - 40_000) < 4 * 40_000 * 1.04 / 2 ** (guarded.SKETCH / 2)
+
+
 @pytest.mark.parametrize("multi_line", [True, False])
 def test_indented_arrays_need_multi_line(spark, feed, tmp_path, multi_line):
     feed.add(record("1", "2024-09-01"), record("2", "2024-09-02"), indent=4)
@@ -181,6 +295,18 @@ def test_category_prices_skip_incomplete_rows(spark):
     assert [tuple(r) for r in simple.category_prices(rows).collect()] == [("a", 2, 3.0)]
 
 
+def test_an_update_of_word_counts_leaves_other_parts_alone(spark, tmp_path):
+    table = simple.word_table(spark, str(tmp_path / "words"))
+    words = spark.range(500).select(F.concat(F.lit("w"), "id").alias("value"))
+    table.upsert(simple.word_counts(words))
+    before = table.current_parts()
+    table.upsert(spark.createDataFrame([("w7", 9), ("new", 1)], "word string, count long"))
+    after = table.current_parts()
+    assert 1 <= sum(after[p] != folder for p, folder in before.items()) <= 2
+    got = {r.word: r["count"] for r in table.read().collect()}
+    assert len(got) == 501 and got["w7"] == 9 and got["w8"] == 1
+
+
 def test_word_counts_match_batch(spark):
     lines = spark.createDataFrame([("a b  a",), ("b",)], "value string")
     counts = simple.word_counts(lines).orderBy(F.col("word")).collect()
