@@ -183,50 +183,56 @@ def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-#: A rank beyond all ranks: nothing to merge.
-NONE = (1 << 31) - 1
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place.cast("int"))
 
 
-def _folded_merges(unit: Column, places: Column, ranks: Column) -> Column:
-    """Pieces by merges; an edge of the lattice is a place (4096 * start + length) and a rank.
+def _inside(start: Column, end: Column) -> Column:
+    """The bits of all places between two."""
+    return _bit(end) - _bit(start + 1)
 
-    The state has the bounds of the symbols, the rank of each merge of two neighbours, and
-    which merge is next; a merge renews the two ranks beside it. A symbol that no edge
-    reaches stands at either end, so that every real merge has neighbours.
+
+def _folded_merges(unit: Column, keys: Column) -> Column:
+    """Pieces by merges; an edge of the lattice is a number: 4096 * rank + 64 * start + end.
+
+    The state is a bit for each place where a symbol begins or ends. An edge can be merged
+    while both its ends are such places and one more lies between; of those the least
+    number, by rank and then from the left, is next. Below 0 there are no more.
     """
 
-    def rank(start: Column, end: Column) -> Column:
-        at = F.array_position(places, start * 4096 + end - start).cast("int")
-        return F.coalesce(F.get(ranks, at - 1), F.lit(NONE))
-
-    def state(bounds: Column, merges: Column) -> Column:
-        def with_next(own: Column) -> Column:
-            least = F.array_min(own)
-            at = F.when(least < NONE, F.array_position(own, least).cast("int") - 1).otherwise(-1)
-            return F.struct(bounds.alias("bounds"), own.alias("merges"), at.alias("at"))
-
-        return _bind(merges, with_next)
-
-    def step(now: Column, _: Column) -> Column:
-        b, m, j = now["bounds"], now["merges"], now["at"]
-        size = F.size(b)
-        merges = F.concat(
-            F.slice(m, 1, j - 1),
-            F.array(rank(F.get(b, j - 1), F.get(b, j + 2)), rank(F.get(b, j), F.get(b, j + 3))),
-            F.slice(m, j + 3, size),
+    def edge(key: Column) -> Column:
+        start, end = F.call_function("div", key, F.lit(64)) % 64, key % 64
+        return F.struct(
+            key.alias("key"),
+            _bit(start).bitwiseOR(_bit(end)).alias("ends"),
+            _inside(start, end).alias("inside"),
         )
-        bounds = F.concat(F.slice(b, 1, j + 1), F.slice(b, j + 3, size))
-        return F.when(j < 0, now).otherwise(state(bounds, merges))
 
-    length = F.length(unit)
-    bounds = F.concat(F.array(F.lit(-1000)), F.sequence(F.lit(0), length), F.array(length + 1000))
-    first = F.transform(
-        F.sequence(F.lit(-1), length - 1),
-        lambda i: rank(F.when(i < 0, -1000).otherwise(i), F.when(i == length - 1, i + 1001).otherwise(i + 2)),
-    )
-    steps = F.sequence(F.lit(1), F.greatest(length - 1, F.lit(1)))
-    merged = F.aggregate(steps, state(bounds, first), step, lambda end: end["bounds"])
-    return _cut(unit, _bind(merged, lambda b: F.slice(b, 2, F.size(b) - 2)))
+    def merged(edges: Column) -> Column:
+        def step(places: Column, _: Column) -> Column:
+            def ready(e: Column) -> Column:
+                joined = places.bitwiseAND(e["ends"]) == e["ends"]
+                return F.when(joined & (F.bit_count(places.bitwiseAND(e["inside"])) == 1), e["key"])
+
+            def without(key: Column) -> Column:
+                gone = _inside(F.call_function("div", key, F.lit(64)) % 64, key % 64)
+                return F.when(key.isNull(), F.lit(-1).cast("long") - places).otherwise(
+                    places.bitwiseAND(F.bitwise_not(gone))
+                )
+
+            least = F.array_min(F.transform(edges, ready))
+            return F.when(places < 0, places).otherwise(_bind(least, without))
+
+        # No more merges than characters or edges; one more step may find that none is left.
+        steps = F.sequence(F.lit(1), F.least(F.length(unit), F.size(edges)))
+        return F.aggregate(steps, _bit(F.length(unit) + 1) - 1, step)
+
+    def bounds(places: Column) -> Column:
+        own = F.when(places < 0, F.lit(-1).cast("long") - places).otherwise(places)
+        every = F.sequence(F.lit(0), F.length(unit))
+        return _bind(own, lambda m: F.filter(every, lambda i: m.bitwiseAND(_bit(i)) != 0))
+
+    return _cut(unit, _bind(_bind(F.transform(keys, edge), merged), bounds))
 
 
 def _folded_path(unit: Column, edges: Column, longest: int, unknown: float) -> Column:
@@ -305,11 +311,12 @@ def lattice_paths(units: DataFrame, pieces: Pieces, keys: tuple[str, ...] = ("un
     ).withColumn("piece", F.substr(unit, F.col("start") + 1, F.col("size")))
     edges = spans.join(F.broadcast(table), "piece")
     if pieces.kind == "bpe":
-        edge = F.struct((F.col("start") * 4096 + F.col("size")).alias("place"), "rank")
-        grouped = edges.groupBy(*keys).agg(F.collect_list(edge).alias("edges"))
+        end = F.col("start") + F.col("size")
+        key = F.col("rank").cast("long") * 4096 + F.col("start") * 64 + end
+        grouped = edges.groupBy(*keys).agg(F.collect_list(key).alias("edges"))
 
         def path(own: Column) -> Column:
-            return _folded_merges(unit, own["place"], own["rank"])
+            return _folded_merges(unit, own)
 
     else:
         edge = F.struct(F.col("start") * 64 + F.col("size"), F.col("score"))
@@ -353,38 +360,68 @@ class Encoder:
             return merged_by_rank(unit, self.score_of)
         return best_path(unit, self.score_of, self.pieces.longest, self.unknown)
 
-    def words(self, text: str) -> list[str]:
-        """What single blanks separate, or the units of a text with other blanks; each
-        word stands for its units behind a blank, each unit for itself."""
-        words = text.split(" ")
-        if "" in words:
-            return self.find(BLANK + text.replace(" ", BLANK)) if text else []
-        return [BLANK + word for word in words]
-
-    def units(self, words: Iterable[str]) -> dict[str, list[str]]:
-        """Units of words (see ``words``): they begin with a blank or are units."""
-        return {word: self.find(word) for word in words}
-
     def asks(self, unit: str) -> bool:
         return 1 < len(unit) <= self.longest_unit
 
-    def learnt(self, words: Iterable[str], known: dict[str, bytes]) -> dict[str, bytes]:
-        """Ids of words from the ids of units; units that nobody asks for are found here."""
-        out = {}
-        for word, units in self.units(words).items():
-            parts = []
-            for unit in units:
-                ids = known.get(unit)
-                if ids is None:
-                    ids = known[unit] = self.ids(self.path(unit))
-                parts.append(ids)
-            out[word] = b"".join(parts)
-        return out
+    def word_ids(self, word: str, known: dict[str, bytes]) -> bytes:
+        """Ids of a word from those of its units; units nobody asks for are found here."""
+        parts = []
+        for unit in self.find(word):
+            ids = known.get(unit)
+            if ids is None:
+                ids = known[unit] = self.ids(self.path(unit))
+            parts.append(ids)
+        return b"".join(parts)
 
     def encode(self, text: str, known: dict[str, bytes]) -> np.ndarray:
-        words = self.words(text)
-        learnt = self.learnt(set(words), known)
-        return np.frombuffer(b"".join([learnt[w] for w in words]), "<i4")
+        whole = self.word_ids(BLANK + text.replace(" ", BLANK), known) if text else b""
+        return np.frombuffer(whole, "<i4")
+
+
+@dataclass
+class Words:
+    """Texts as lists of words: the different ones, and which of them stand where."""
+
+    rows: np.ndarray  # places of the texts in their bucket
+    different: list[str]  # as they are cut into units
+    which: pa.Array  # of the different ones, for all words in order
+    ends: np.ndarray  # of each text's words
+
+    @classmethod
+    def of(cls, rows: np.ndarray, lists: pa.ListArray, before: str) -> Words:
+        words = lists.flatten().dictionary_encode()
+        lengths = pc.list_value_length(lists).to_numpy()
+        different = [before + w for w in words.dictionary.to_pylist()]
+        return cls(rows, different, words.indices, np.cumsum(lengths))
+
+    @classmethod
+    def split(cls, encoder: Encoder, texts: pa.Array) -> list[Words]:
+        """Texts cut at single blanks, and the units of texts with other blanks."""
+        full = texts.fill_null("")
+        blanks = pc.or_(
+            pc.match_substring(full, "  "), pc.or_(pc.starts_with(full, " "), pc.ends_with(full, " "))
+        )
+        odd = pc.or_(blanks, pc.equal(full, "")).to_numpy(zero_copy_only=False)
+        plain, rest = np.flatnonzero(~odd), np.flatnonzero(odd)
+        # A word stands for its units behind a blank.
+        found = [cls.of(plain, pc.split_pattern(full.take(pa.array(plain)), " "), BLANK)]
+        if len(rest):
+            units = [
+                encoder.find(BLANK + t.replace(" ", BLANK)) if t else []
+                for t in full.take(pa.array(rest)).to_pylist()
+            ]
+            found.append(cls.of(rest, pa.array(units, pa.list_(pa.string())), ""))
+        return found
+
+    def ids(self, encoder: Encoder, known: dict[str, bytes]) -> pa.ListArray:
+        """The ids of each text."""
+        own = [encoder.word_ids(w, known) for w in self.different]
+        sizes = np.array([len(i) // 4 for i in own], np.int64)
+        flat = pa.array(np.frombuffer(b"".join(own), "<i4"))
+        table = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes))), flat)
+        before = np.append(0, np.cumsum(sizes[self.which.to_numpy()]))
+        offsets = before[np.append(0, self.ends)].astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), table.take(self.which).flatten())
 
 
 @lru_cache(maxsize=2)
@@ -441,17 +478,18 @@ def _packer(bucket_bytes: int):
     return run
 
 
-def _bucket_texts(blob: bytes) -> tuple[pa.ChunkedArray, list[str | None]]:
+def _bucket(blob: bytes) -> tuple[pa.Array, pa.Array]:
+    """Ids and texts of a packed row."""
     with pa.ipc.open_stream(_restored(blob)) as reader:
         table = reader.read_all()
-    return table.column(0), table.column(1).to_pylist()
+    return tuple(pa.concat_arrays(c.chunks) for c in table.columns)
 
 
-def _units_by_part(
-    encoder: Encoder, words: Iterable[Iterable[str]], parts: int
-) -> dict[int, list[str]]:
+def _units_by_part(encoder: Encoder, words: Iterable[Words], parts: int) -> dict[int, list[str]]:
     """The different units of a bucket that ask for a path, in a fixed order."""
-    units = set().union(*encoder.units(set().union(*words)).values())
+    units: set[str] = set()
+    for some in words:
+        units.update(*map(encoder.find, some.different))
     dealt: dict[int, list[str]] = {}
     for unit in sorted(filter(encoder.asks, units)):
         dealt.setdefault(zlib.crc32(unit.encode()) % parts, []).append(unit)
@@ -463,8 +501,8 @@ def _asker(sent, longest_unit: int, parts: int):
         encoder = _encoder(sent.value, longest_unit)
         for batch in batches:
             for bucket, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                _, texts = _bucket_texts(blob)
-                dealt = _units_by_part(encoder, (encoder.words(t) for t in texts if t), parts)
+                words = Words.split(encoder, _bucket(blob)[1])
+                dealt = _units_by_part(encoder, words, parts)
                 blobs = [_squeezed(BETWEEN.join(units).encode()) for units in dealt.values()]
                 columns = [list(dealt), [bucket] * len(dealt), blobs]
                 arrays = [pa.array(c, f.type) for c, f in zip(columns, ASKED, strict=True)]
@@ -482,8 +520,9 @@ def _different(asked: pa.Table) -> pa.Table:
     units: set[str] = set()
     for blob in asked["blob"].to_pylist():
         units.update(_asked_units(blob))
-    part = pa.array([asked["part"][0].as_py()] * len(units), pa.int32())
-    return pa.table({"of": part, "unit": pa.array(sorted(units), pa.string())})
+    part = pa.array(np.full(len(units), asked["part"][0].as_py(), np.int32))
+    number = pa.array(np.arange(len(units), dtype=np.int32))
+    return pa.table({"of": part, "number": number, "unit": pa.array(sorted(units), pa.string())})
 
 
 def _answers(sent, longest_unit: int):
@@ -525,18 +564,15 @@ def _looked_up(sent, longest_unit: int, parts: int):
         encoder = _encoder(sent.value, longest_unit)
         tables = [schema.empty_table()]
         for blob in docs["blob"].to_pylist():
-            ids, texts = _bucket_texts(blob)
-            words = [encoder.words(t) if t else [] for t in texts]
+            ids, texts = _bucket(blob)
+            words = Words.split(encoder, texts)
             known = _replied(encoder, _units_by_part(encoder, words, parts), replies)
-            learnt = encoder.learnt(set().union(*words), known)
-            found = [b"".join(map(learnt.__getitem__, w)) for w in words]
-            offsets = np.append(0, np.cumsum([len(f) // 4 for f in found])).astype(np.int32)
-            lists = pa.ListArray.from_arrays(
-                pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")),
-                mask=pa.array([t is None for t in texts]),
-            )
-            columns = [ids.combine_chunks(), pa.array(texts, pa.string()), lists]
-            tables.append(pa.table(columns, schema=schema))
+            for some in words:
+                rows = pa.array(some.rows)
+                own, lists = texts.take(rows), some.ids(encoder, known)
+                if own.null_count:
+                    lists = pc.if_else(own.is_valid(), lists, None)
+                tables.append(pa.table([ids.take(rows), own, lists], schema=schema))
         return pa.concat_tables(tables)
 
     return run
@@ -574,8 +610,9 @@ def encode(
         .repartition(max(size // bucket_bytes + 1, width), "bucket")
     )
     asked = dealt.mapInArrow(_asker(sent, longest_unit, parts), ASKS).repartition(parts, "part")
-    units = asked.groupBy("part").applyInArrow(_different, "of int, unit string")
-    paths = lattice_paths(units.repartition(parts, "of"), pieces, ("of", "unit"))
+    units = asked.groupBy("part").applyInArrow(_different, "of int, number int, unit string")
+    # Grouped by number first: numbers are cheaper to sort by than units.
+    paths = lattice_paths(units.repartition(parts, "of"), pieces, ("of", "number", "unit"))
     replies = (
         asked.groupBy("part")
         .cogroup(paths.groupBy("of"))
@@ -598,15 +635,19 @@ def _decoder(sent, ids: str, to: str, schema: pa.Schema):
                 raw.append(bytes([int(name[3:5], 16)]))
             else:
                 raw.append(name.replace(BLANK, " ").encode() if ok else b"")
+        names_of = pa.array(raw, pa.large_binary())
         for batch in (whole.slice(i, 256) for whole in batches for i in range(0, whole.num_rows, 256)):
             lists = batch.column(batch.schema.get_field_index(ids))
-            flat = list(map(raw.__getitem__, lists.flatten().to_pylist()))
+            found = names_of.take(lists.flatten())
+            _, ends, letters = found.buffers()
+            ends = np.frombuffer(ends, np.int64)[found.offset : found.offset + len(found) + 1]
+            letters = memoryview(letters) if letters is not None else b""
             out, at = [], 0
             for size in lists.value_lengths().to_pylist():
                 if size is None:
                     out.append(None)
                     continue
-                text = b"".join(flat[at : at + size])
+                text = bytes(letters[ends[at] : ends[at + size]]) if size else b""
                 at += size
                 out.append(text.decode("utf-8", "replace")[size > 0 :])
             names = [f.name for f in schema if f.name != to]
