@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -29,6 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,7 +47,7 @@ RANKS = 1 << 40
 REMEMBERED, LONGEST = 250_000, 40
 
 #: Punctuation that is a token of its own behind an ASCII letter or digit.
-CLOSING = b".,;:!?"
+CLOSING = ".,;:!?"
 
 TOKENS = "doc_id long, task int, rest int, nth long, own long, n long, ids binary"
 PIECES = (
@@ -76,26 +76,24 @@ class Encoder:
         self.model = Tokenizer.from_str(model)
         self.end = array("I", [end_id]).tobytes()
         special = [t.content for t in self.model.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special)).encode() or rb"(?!)")
+        self.special = special
         suffix = json.loads(model)["model"].get("end_of_word_suffix")
         names = self.model.get_vocab()
         self.ends = np.zeros(max(names.values(), default=-1) + 1, bool)
         self.ends[[i for name, i in names.items() if suffix and name.endswith(suffix)]] = True
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[bytes]) -> list[bytes]:
-        found = self.model.encode_batch(
-            [t.decode("utf-8", "replace") for t in texts], add_special_tokens=False
-        )
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.model.encode_batch(texts, add_special_tokens=False)
         return [array("I", f.ids).tobytes() for f in found]
 
-    def _word_ids(self, words: list[bytes]) -> list[bytes]:
+    def _word_ids(self, words: list[str]) -> list[bytes]:
         """Ids of words of ASCII letters; each ends with the only token that ends a word."""
         out: list[bytes] = []
         for i in range(0, len(words), 1000):
             some = words[i : i + 1000]
-            raw = self._ids([b" ".join(some)])[0]
+            raw = self._ids([" ".join(some)])[0]
             cuts = (np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) * 4 + 4).tolist()
             if len(cuts) == len(some):
                 out += [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
@@ -103,11 +101,11 @@ class Encoder:
                 out += self._ids(some)
         return out
 
-    def _learn(self, chunks: set[bytes]) -> None:
+    def _learn(self, chunks: set[str]) -> None:
         closed = []
         for chunk in chunks:
             word = chunk.rstrip(CLOSING)
-            if word != chunk and word[-1:].isalnum():
+            if word != chunk and word[-1:].isalnum() and word[-1:].isascii():
                 closed.append((chunk, word, chunk[len(word) :]))
         parts = chunks.difference(c for c, _, _ in closed)
         parts.update(w for _, w, _ in closed)
@@ -120,27 +118,43 @@ class Encoder:
         self.young.update(zip(others, self._ids(others), strict=True))
         self.young.update({c: self.young[w] + self.young[p] for c, w, p in closed})
 
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """Packed ids (unsigned 32 bit, little-endian) of each text, with the end id."""
-        whole = {i for i, t in enumerate(texts) if t and self.special.search(t)}
-        split = [[] if not t or i in whole else t.lower().split() for i, t in enumerate(texts)]
-        new = set().union(*split).difference(self.young)
+    def _known(self, chunks: list[str]) -> list[bytes]:
+        new = set(chunks).difference(self.young)
         self.young.update({c: self.old[c] for c in new & self.old.keys()})
         new.difference_update(self.young)
         if new:
             self._learn(new)
-        out = [b"".join([*map(self.young.__getitem__, chunks), self.end]) for chunks in split]
-        for i in whole:
-            out[i] = self._ids([texts[i]])[0] + self.end
+        out = list(map(self.young.__getitem__, chunks))
         for chunk in new:
             if len(chunk) > LONGEST:
                 del self.young[chunk]
         if len(self.young) > REMEMBERED:
-            self.old, self.young = self.young, {}
+            self.old, self.young = self.young, {"": b""}
+        return out
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Packed ids (unsigned 32 bit, little-endian) of each text, with the end id."""
+        texts = texts.fill_null("")
+        marked = np.zeros(len(texts), bool)
+        for token in self.special:
+            marked |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        plain = pc.if_else(pa.array(marked), "", texts)
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+        words = lists.flatten().dictionary_encode()
+        own = self._known(words.dictionary.to_pylist())
+        sizes = np.array([len(i) // 4 for i in own], np.int64)
+        flat = pa.array(np.frombuffer(b"".join(own), "<u4"))
+        table = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes))), flat)
+        raw = memoryview(table.take(words.indices).flatten().to_numpy()).cast("B")
+        ends = np.cumsum(np.append(0, sizes[words.indices.to_numpy()])) * 4
+        ends = ends[np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))].tolist()
+        out = [b"".join((raw[a:b], self.end)) for a, b in zip(ends, ends[1:], strict=False)]
+        for i in np.flatnonzero(marked).tolist():
+            out[i] = self._ids([texts[i].as_py()])[0] + self.end
         return out
 
     def check(self, probe: str) -> None:
-        if self.encode([probe.encode()])[0][:-4] != self._ids([probe.encode()])[0]:
+        if self.encode(pa.array([probe]))[0][:-4] != self._ids([probe])[0]:
             raise ValueError("the ids of a chunk of text depend on what is around it")
 
 
@@ -163,7 +177,7 @@ def _tokenizer(sent, end_id: int, width: int, schema: pa.Schema):
         seen, own = np.zeros(width, np.int64), 0
         for batch in _slices(batches, 512):
             docs, texts = batch.columns
-            ids = encoder.encode(texts.to_pylist())
+            ids = encoder.encode(texts)
             n = np.array([len(i) // 4 for i in ids], np.int64)
             rest = n % width
             nth = np.empty(len(n), np.int64)
@@ -213,7 +227,7 @@ def tokens(
     _encoder(model, end_id).check("It's  soé\ńx   A1.\t#don't <|endoftext|>\x0b\x1c ok")
     sent = spark.sparkContext.broadcast(model)
     schema = to_arrow_schema(StructType.fromDDL(TOKENS))
-    read = docs.select(F.col(doc_id).cast("long"), F.col(text).cast("binary"))
+    read = docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string"))
     return written(read.mapInArrow(_tokenizer(sent, end_id, width, schema), TOKENS), "tokens")
 
 

@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -135,7 +136,7 @@ def test_remembered_chunks_give_the_same_ids(monkeypatch):
     for _ in range(30):
         words = [rng.choice(["the", "The", "x9"]) + rng.choice(["", ".", "q" * rng.randrange(60)]) for _ in range(40)]
         text = " ".join(words)
-        assert encoder.encode([text.encode()])[0] == encoder._ids([text.encode()])[0] + encoder.end
+        assert encoder.encode(pa.array([text, None])) == [encoder._ids([text])[0] + encoder.end, encoder.end]
     assert encoder.old and len(encoder.young) <= 20
 
 
