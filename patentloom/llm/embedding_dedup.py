@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from patentloom.llm.arrays import U64, mix
 from patentloom.llm.components import connected_components
+from patentloom.session import ship_package
 from patentloom.sinks.files import written
 
 LEAF = pa.schema(
@@ -285,6 +286,7 @@ def class_links(classes: DataFrame, forest: Forest) -> DataFrame:
     """For classes with columns label, rep, vector and copies: links (a, b) that join what is
     linked, and numbers n of rows that a links with, which are to be summed."""
     spark = classes.sparkSession
+    ship_package(spark)
     stats = classes.agg(
         F.count("*").alias("n"), F.approx_count_distinct("label").alias("labels")
     ).first()

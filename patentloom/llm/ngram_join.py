@@ -42,6 +42,7 @@ from patentloom.llm.arrays import (
 )
 from patentloom.llm.components import connected_components
 from patentloom.sinks.files import written
+from patentloom.session import ship_package
 
 REP, FLAGS = 7, 0
 SETS = "doc long, n int, bits binary, hashes binary"
@@ -121,7 +122,7 @@ def _facts(settings: Settings):
 
 
 def _representatives(replies: pa.Table, texts: Texts, sets: Shingles) -> np.ndarray:
-    """Indexes of the documents that stand for their set, one per id."""
+    """Indexes of the documents that stand for their set, one per id and set."""
     blob = b"".join(b for _, _, b in X.blobs_by(replies, REP))
     chosen = np.frombuffer(blob, "<i8").reshape(-1, 2)
     if not len(chosen):
@@ -291,20 +292,28 @@ def _matrix(column: pa.ChunkedArray, bits: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, bits // 8)
 
 
+def _different_sets(table: pa.Table, column: str) -> pa.Array:
+    """First row of every (doc, n, column), in order of the documents."""
+    seen: dict[tuple, int] = {}
+    keys = zip(*(table[c].to_pylist() for c in ("doc", "n", column)), strict=True)
+    for row, key in enumerate(keys):
+        seen.setdefault(key, row)
+    return pa.array([seen[key] for key in sorted(seen)], pa.int64())
+
+
 def _group_links(settings: Settings):
     """Links that join the components within a group whose sets are at hand."""
 
     def run(table: pa.Table) -> pa.Table:
-        docs = table["doc"].to_numpy()
-        _, keep = np.unique(docs, return_index=True)
-        table = table.take(pa.array(keep))
-        docs = docs[keep]
+        table = table.take(_different_sets(table, "hashes"))
+        docs, root = np.unique(table["doc"].to_numpy(), return_inverse=True)
         if len(docs) < 2:
             return LINKS.empty_table()
+        docs = docs[root]  # of each set: an id may have several, which are one node
         sets = [np.frombuffer(b, U64) for b in table["hashes"].to_pylist()]
         sizes = table["n"].to_numpy().astype(np.int64)
         shared = np.array([len(s) for s in sets], np.int64)
-        root, found = np.arange(len(docs)), []
+        found = []
         bits = _matrix(table["bits"], settings.bits)
         for x, y in dual_traversal(bits, shared, sizes, root, settings):
             if linked(sets[x], sets[y], int(sizes[x]), int(sizes[y]), settings.percent):
@@ -359,13 +368,13 @@ def _possible(settings: Settings):
     """Pairs of different components that bitmaps cannot rule out."""
 
     def run(table: pa.Table) -> pa.Table:
-        docs, keep = np.unique(table["doc"].to_numpy(), return_index=True)
-        table = table.take(pa.array(keep))
+        table = table.take(_different_sets(table, "bits"))
+        docs = table["doc"].to_numpy()
         root = table["component"].to_numpy()
         sizes, shared = (table[c].to_numpy().astype(np.int64) for c in ("n", "shared"))
         bits = _matrix(table["bits"], settings.bits)
         pairs = list(dual_traversal(bits, shared, sizes, root, settings))
-        found = [(int(docs[min(p)]), int(docs[max(p)])) for p in pairs]
+        found = [tuple(sorted((int(docs[x]), int(docs[y])))) for x, y in pairs]
         if not found:
             return LINKS.empty_table()
         return pa.table([list(c) for c in zip(*found, strict=True)], schema=LINKS)
@@ -466,6 +475,7 @@ def link_documents(
     a null id link with nothing and have no component; rows with equal ids are one node of
     the graph with several sets. Other columns are not read, whatever their names.
     """
+    ship_package(docs.sparkSession)
     size = X.total_bytes(docs, text)
     dealt = X.bucketed(docs, doc_id, text, size // settings.bucket_bytes + 1)
     parts = X.parts_for(docs.sparkSession, size / 6)

@@ -89,7 +89,7 @@ class Encoder:
         return [array("I", f.ids).tobytes() for f in found]
 
     def _word_ids(self, words: list[str]) -> list[bytes]:
-        """Ids of words of ASCII letters; each ends with the only token that ends a word."""
+        """Ids of words of letters only; each ends with the only token that ends a word."""
         out: list[bytes] = []
         for i in range(0, len(words), 1000):
             some = words[i : i + 1000]
@@ -112,7 +112,7 @@ class Encoder:
         parts.update(p for _, _, p in closed)
         self.young.update({p: self.old[p] for p in parts & self.old.keys()})
         parts.difference_update(self.young)
-        words = [p for p in parts if p.isalpha() and p.isascii()]
+        words = [p for p in parts if p.isalpha()]
         self.young.update(zip(words, self._word_ids(words), strict=True))
         others = list(parts.difference(words))
         self.young.update(zip(others, self._ids(others), strict=True))

@@ -27,6 +27,7 @@ from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -363,10 +364,10 @@ class Encoder:
     def asks(self, unit: str) -> bool:
         return 1 < len(unit) <= self.longest_unit
 
-    def word_ids(self, word: str, known: dict[str, bytes]) -> bytes:
-        """Ids of a word from those of its units; units nobody asks for are found here."""
+    def joined(self, units: list[str], known: dict[str, bytes]) -> bytes:
+        """Ids of units in order; those that nobody asks for are found here."""
         parts = []
-        for unit in self.find(word):
+        for unit in units:
             ids = known.get(unit)
             if ids is None:
                 ids = known[unit] = self.ids(self.path(unit))
@@ -374,8 +375,8 @@ class Encoder:
         return b"".join(parts)
 
     def encode(self, text: str, known: dict[str, bytes]) -> np.ndarray:
-        whole = self.word_ids(BLANK + text.replace(" ", BLANK), known) if text else b""
-        return np.frombuffer(whole, "<i4")
+        units = self.find(BLANK + text.replace(" ", BLANK)) if text else []
+        return np.frombuffer(self.joined(units, known), "<i4")
 
 
 @dataclass
@@ -383,16 +384,16 @@ class Words:
     """Texts as lists of words: the different ones, and which of them stand where."""
 
     rows: np.ndarray  # places of the texts in their bucket
-    different: list[str]  # as they are cut into units
+    units: list[list[str]]  # of each different word
     which: pa.Array  # of the different ones, for all words in order
     ends: np.ndarray  # of each text's words
 
     @classmethod
-    def of(cls, rows: np.ndarray, lists: pa.ListArray, before: str) -> Words:
+    def of(cls, encoder: Encoder, rows: np.ndarray, lists: pa.ListArray, before: str) -> Words:
         words = lists.flatten().dictionary_encode()
         lengths = pc.list_value_length(lists).to_numpy()
-        different = [before + w for w in words.dictionary.to_pylist()]
-        return cls(rows, different, words.indices, np.cumsum(lengths))
+        units = [encoder.find(before + w) for w in words.dictionary.to_pylist()]
+        return cls(rows, units, words.indices, np.cumsum(lengths))
 
     @classmethod
     def split(cls, encoder: Encoder, texts: pa.Array) -> list[Words]:
@@ -404,18 +405,18 @@ class Words:
         odd = pc.or_(blanks, pc.equal(full, "")).to_numpy(zero_copy_only=False)
         plain, rest = np.flatnonzero(~odd), np.flatnonzero(odd)
         # A word stands for its units behind a blank.
-        found = [cls.of(plain, pc.split_pattern(full.take(pa.array(plain)), " "), BLANK)]
+        found = [cls.of(encoder, plain, pc.split_pattern(full.take(pa.array(plain)), " "), BLANK)]
         if len(rest):
             units = [
                 encoder.find(BLANK + t.replace(" ", BLANK)) if t else []
                 for t in full.take(pa.array(rest)).to_pylist()
             ]
-            found.append(cls.of(rest, pa.array(units, pa.list_(pa.string())), ""))
+            found.append(cls.of(encoder, rest, pa.array(units, pa.list_(pa.string())), ""))
         return found
 
     def ids(self, encoder: Encoder, known: dict[str, bytes]) -> pa.ListArray:
         """The ids of each text."""
-        own = [encoder.word_ids(w, known) for w in self.different]
+        own = [encoder.joined(units, known) for units in self.units]
         sizes = np.array([len(i) // 4 for i in own], np.int64)
         flat = pa.array(np.frombuffer(b"".join(own), "<i4"))
         table = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes))), flat)
@@ -486,12 +487,10 @@ def _bucket(blob: bytes) -> tuple[pa.Array, pa.Array]:
 
 
 def _units_by_part(encoder: Encoder, words: Iterable[Words], parts: int) -> dict[int, list[str]]:
-    """The different units of a bucket that ask for a path, in a fixed order."""
-    units: set[str] = set()
-    for some in words:
-        units.update(*map(encoder.find, some.different))
+    """The different units of a bucket that ask for a path, in the order of the text."""
     dealt: dict[int, list[str]] = {}
-    for unit in sorted(filter(encoder.asks, units)):
+    different = dict.fromkeys(chain.from_iterable(u for some in words for u in some.units))
+    for unit in filter(encoder.asks, different):
         dealt.setdefault(zlib.crc32(unit.encode()) % parts, []).append(unit)
     return dealt
 

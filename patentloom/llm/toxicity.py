@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from patentloom.llm.arrays import (
     U64, Texts, mix, prefix_hashes, range_hashes, words_of,
 )
+from patentloom.session import ship_package
 
 RESULTS = ("score", "predicted", "evidence", "passages")
 PASSAGE = "array<struct<start:int,end:int,score:double,p_value:double>>"
@@ -166,7 +167,7 @@ BINS, LOW, HIGH = 2000, -10.0, 10.0
 
 
 def _fitter(sent, settings: Settings):
-    """Per training document its segment scores, and the scores of ordinary words by bin."""
+    """Per training document its best segment, and the scores of ordinary words by bin."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = np.zeros(BINS, np.int64)
@@ -179,24 +180,43 @@ def _fitter(sent, settings: Settings):
                 bins += np.bincount(np.clip(place, 0, BINS - 1), minlength=BINS)
                 rows = []
                 for i, (a, b) in enumerate(zip(words.first, words.first[1:], strict=False)):
-                    found = sorted((s for *_, s in maximal_segments(scores[a:b])), reverse=True)
-                    rows.append((-1, int(toxic[i]), int(b - a), found[:50]))
+                    best = max((s for *_, s in maximal_segments(scores[a:b])), default=0.0)
+                    rows.append((-1, int(toxic[i]), int(b - a), float(best)))
                 yield pa.RecordBatch.from_pylist(
                     [dict(zip(FIT.names, r, strict=True)) for r in rows], schema=FIT
                 )
         seen = np.flatnonzero(bins)
         yield pa.RecordBatch.from_pylist(
-            [{"bin": int(i), "toxic": 0, "n": int(bins[i]), "best": []} for i in seen], schema=FIT
+            [{"bin": int(i), "toxic": 0, "n": int(bins[i]), "best": 0.0} for i in seen], schema=FIT
         )
 
     return run
 
 
 FIT = pa.schema(
-    [("bin", pa.int32()), ("toxic", pa.int32()), ("n", pa.int64()), ("best", pa.list_(pa.float64()))]
+    [("bin", pa.int32()), ("toxic", pa.int32()), ("n", pa.int64()), ("best", pa.float64())]
 )
 
 
+def _evidence(sent, settings: Settings):
+    """Per training document its label and evidence, of all its segments as in scoring."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        for batch in batches:
+            for part in _slices(batch, "text"):
+                words, scores = _scores(_columns(part.column(0)), model, settings)
+                toxic = part.column(1).to_numpy(zero_copy_only=False) > 0
+                found = [
+                    evidence(int(b - a), (s for *_, s in maximal_segments(scores[a:b])), model, settings.level)
+                    for a, b in zip(words.first, words.first[1:], strict=False)
+                ]
+                columns = [pa.array(toxic.astype(np.int32)), pa.array(found, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["toxic", "evidence"])
+
+    return run
+
+
 def _scale(values: np.ndarray, weights: np.ndarray) -> float:
     """The positive root of ``E exp(lambda s) = 1``; 1 where there is none."""
     weights = weights / weights.sum()
@@ -253,6 +273,7 @@ def train(
     model calls every document harmless.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     sample = (
         labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("toxic"))
         .dropna()
@@ -283,19 +304,19 @@ def train(
     model = Model(*tables)
     sent = spark.sparkContext.broadcast(model)
     fit = rows.mapInArrow(
-        _fitter(sent, settings), "bin int, toxic int, n long, best array<double>"
+        _fitter(sent, settings), "bin int, toxic int, n long, best double"
     ).toArrow()
     place, toxic, n = (fit[c].to_numpy() for c in ("bin", "toxic", "n"))
     middle = LOW + (place[place >= 0] + 0.5) * (HIGH - LOW) / BINS
     model.scale = _scale(middle, n[place >= 0].astype(float))
     docs_at = np.flatnonzero(place < 0)
-    best = fit["best"].take(pa.array(docs_at)).to_pylist()
     toxic, n = toxic[docs_at], n[docs_at]
-    tops = np.array([b[0] if b else 0.0 for b in best])[toxic == 0]
+    tops = fit["best"].to_numpy()[docs_at][toxic == 0]
     model.k = float(1 / max(np.mean(n[toxic == 0] * np.exp(-model.scale * tops)), 1e-300))
-    gathered = np.array([
-        evidence(int(size), b, model, settings.level) for size, b in zip(n, best, strict=True)
-    ])
+    # Once more, now that it is known which segments count.
+    sent = spark.sparkContext.broadcast(model)
+    found = rows.mapInArrow(_evidence(sent, settings), "toxic int, evidence double").toArrow()
+    toxic, gathered = (found[c].to_numpy() for c in ("toxic", "evidence"))
     model.intercept, model.slope = _logistic(_damped(gathered), toxic.astype(float))
     return model
 
@@ -357,6 +378,7 @@ def score(
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType, _parse_datatype_string
 
+    ship_package(docs.sparkSession)
     kept = [c for c in docs.columns if c not in RESULTS or c == text]
     new = _parse_datatype_string(
         f"score double, predicted int, evidence double, passages {PASSAGE}"

@@ -88,3 +88,27 @@ def test_empty_table_and_repeated_rows(spark):
     rows = [(4, "a b c", 1, "", 1), (4, "a b c", 2, "", 1), (2, "A B C", 1, "", 1)]
     got = link_documents(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(map(tuple, got)) == [(2, 1, 2), (4, 1, 2), (4, 1, 2)]
+
+
+@pytest.mark.parametrize("settings", [Settings(), Settings(**SMALL, group=3, orders=0), Settings(**SMALL, group=3, orders=1)])
+def test_one_id_with_several_texts_is_one_node(spark, settings):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    rows = []
+    for k in range(8):
+        one, other = ([rng.choice(words) for _ in range(80)] for _ in range(2))
+        near_one, near_other = [*one[:-1], "x"], ["y", *other[1:]]
+        rows += [(10 * k + i, " ".join(t)) for i, t in ((5, one), (5, other), (6, near_one), (7, near_other))]
+    shared = [rng.choice(words) for _ in range(100)]
+    rows += [(900, " ".join(shared)), (900, " ".join([*shared[:-1], "z"])), (901, " ".join(["v", *shared[1:-1], "z"]))]
+    docs = spark.createDataFrame([(*r, 1, "b", 2) for r in rows], SCHEMA)
+    got = sorted(map(tuple, link_documents(docs, settings=settings).collect()))
+    assert got == brute(rows)
+    assert {c for i, _, c in got if i < 900} == {10 * k + 5 for k in range(8)}
+
+
+def test_long_words_that_only_look_alike_link_nothing(spark):
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    rows = [(1, word, 1, "", 1), (2, word.translate(str.maketrans("ab", "ba")), 1, "", 1)]
+    got = sorted(map(tuple, link_documents(spark.createDataFrame(rows, SCHEMA)).collect()))
+    assert got == [(1, 1, 1), (2, 1, 2)]

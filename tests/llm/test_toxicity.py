@@ -86,3 +86,29 @@ def test_without_labels_or_documents(spark):
     assert [r["predicted"] for r in toxicity.score(docs, toxicity.train(docs, none)).collect()] == [0]
     empty = docs.limit(0)
     assert toxicity.score(empty, toxicity.train(empty, none)).collect() == []
+
+
+def test_training_sums_all_passages_of_a_long_document(spark):
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    rows, labels = corpus(rng, 300)
+    plain = [w for w in rows[1][1].split() if "vile" not in w]
+    passages = " ".join(" ".join(["vileword nastyone grimterm", *(rng.choice(plain) for _ in range(40))]) for _ in range(120))
+    rows.append((900, passages, "x", 1))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = toxicity.train(docs, spark.createDataFrame([*labels, (900, 1)], "doc_id long, toxic int"))
+    row = toxicity.score(docs.where("doc_id = 900"), model).first()
+    assert len(row["passages"]) > 50
+
+    class Sent:
+        value = model
+
+    batch = pa.RecordBatch.from_pylist([{"text": passages, "toxic": 1}])
+    batch = batch.set_column(1, "toxic", batch.column(1).cast(pa.int32()))
+    (out,) = toxicity._evidence(Sent, toxicity.Settings())(iter([batch]))
+    total = out.column(1)[0].as_py()
+    z = model.intercept + model.slope * float(toxicity._damped(total))
+    import math
+
+    assert row["score"] == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-6)
