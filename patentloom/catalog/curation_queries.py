@@ -200,16 +200,25 @@ register("keyed_upsert", keyed_upsert, KEYED.format(order="late DESC,", conditio
 
 # --- quality -----------------------------------------------------------------------
 
-PROFILED = ["patent_id", "patent_type", "patent_date", "num_claims"]
+PROFILED = {
+    "raw_patent": schemas.RAW_PATENT,
+    "raw_application": schemas.RAW_APPLICATION,
+    "cpc_info": schemas.RAW_CPC,
+    "raw_cpc_title": schemas.RAW_CPC_TITLE,
+    "raw_inventor": schemas.RAW_INVENTOR,
+    "raw_location": schemas.RAW_LOCATION,
+    "raw_applicant": schemas.RAW_APPLICANT,
+}
 register(
     "profile_tables",
-    lambda t: quality.profile(t.raw_patent.select(*PROFILED)),
+    lambda t: quality.profile_all({name: getattr(t, name) for name in PROFILED}),
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS column_name, count(*) AS row_count,
+        f"""SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS row_count,
                    count(*) FILTER (WHERE {c} IS NULL) AS null_count,
                    count(DISTINCT {c}) AS distinct_count
-            FROM raw_patent"""
-        for c in PROFILED
+            FROM {table}"""
+        for table, schema in PROFILED.items()
+        for c in schema.names
     ),
 )
 VALID = r"""regexp_matches(CAST(try_cast({c} AS DATE) AS VARCHAR),

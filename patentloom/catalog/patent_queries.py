@@ -2,7 +2,7 @@
 
 from patentloom.catalog.registry import register
 from patentloom.catalog.shaping import rounded
-from patentloom.plans import patents
+from patentloom.plans import fused, patents
 
 register(
     "patents_by_decade",
@@ -174,3 +174,54 @@ register(
     lambda t: rounded(patents.grant_claim_correlation(t.patent_info), "correlation"),
     "SELECT round(corr(grant_time_days, num_claims), 6) AS correlation FROM timed_patents",
 )
+
+# --- cells that many reports share -------------------------------------------------
+
+FACTS = """facts AS (
+        SELECT patent_id, patent_type, num_claims, patent_date IS NOT NULL AS granted,
+               patent_date IS NOT NULL AND filing_date IS NOT NULL AS timed,
+               CAST(year(patent_date) AS INTEGER) AS grant_year,
+               CAST(year(patent_date) // 10 * 10 AS INTEGER) AS decade,
+               CASE WHEN patent_date IS NOT NULL THEN CAST(year(filing_date) AS INTEGER) END AS filing_year,
+               CASE WHEN patent_date IS NOT NULL
+                    THEN CAST(date_diff('day', filing_date, patent_date) AS INTEGER) END AS days
+        FROM patent_info)"""
+register(
+    "fused_patent_cells",
+    lambda t: rounded(
+        fused.patent_cells(t.patent_info),
+        "avg_claims_of_all", "avg_claims", "avg_days", "fast", "avg_timed_claims", "correlation",
+    ),
+    f"""WITH {FACTS}
+        SELECT grant_year, decade, patent_type, filing_year,
+               grouping(grant_year, decade, patent_type, filing_year) AS set_id,
+               count(patent_id) AS patents, round(avg(num_claims), 6) AS avg_claims_of_all,
+               count(*) FILTER (WHERE num_claims = 0) AS zero_claims,
+               count(*) FILTER (WHERE granted) AS granted,
+               CAST(sum(num_claims) FILTER (WHERE granted) AS BIGINT) AS claims,
+               min(num_claims) FILTER (WHERE granted) AS min_claims,
+               max(num_claims) FILTER (WHERE granted) AS max_claims,
+               round(avg(num_claims) FILTER (WHERE granted), 6) AS avg_claims,
+               count(*) FILTER (WHERE timed) AS timed, round(avg(days), 6) AS avg_days,
+               count(*) FILTER (WHERE days > 1000) AS slow,
+               round(avg(CASE WHEN days < 365 THEN 1.0::DOUBLE WHEN timed THEN 0.0::DOUBLE END), 6) AS fast,
+               round(avg(num_claims) FILTER (WHERE timed), 6) AS avg_timed_claims,
+               round(corr(days, num_claims) FILTER (WHERE timed), 6) AS correlation
+        FROM facts
+        GROUP BY GROUPING SETS ((grant_year), (decade), (patent_type), (decade, patent_type),
+                                (grant_year, patent_type), (filing_year), ())""",
+)
+register(
+    "fused_section_cells",
+    lambda t: rounded(
+        fused.section_cells(t.patent_info, t.cpc_info), "avg_claims", "avg_days"
+    ),
+    f"""WITH {FACTS},
+        joined AS (
+            SELECT f.* REPLACE (CASE WHEN timed THEN decade END AS decade), cpc_section
+            FROM facts f JOIN cpc_info USING (patent_id))
+        SELECT cpc_section, decade, grouping(cpc_section, decade) AS set_id,
+               round(avg(num_claims), 6) AS avg_claims, count(*) FILTER (WHERE timed) AS timed,
+               round(avg(days), 6) AS avg_days, quantile_disc(days, 0.5) AS median_days
+        FROM joined GROUP BY GROUPING SETS ((cpc_section), (cpc_section, decade))""",
+)

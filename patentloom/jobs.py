@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from patentloom import schemas
 from patentloom.operators import joins, keywords
 from patentloom.operators.classify import BRANCH_RULES, Rules, filter_patents
-from patentloom.plans import applicants, branches, curate, inventors, patents, players
+from patentloom.plans import applicants, branches, curate, fused, inventors, patents, players
+from patentloom.session import scratch_removed
 from patentloom.sinks import files
 from patentloom.sinks.keyed import KeyedTable
 from patentloom.sources.tabular import read_tsv
@@ -79,37 +80,20 @@ def build_keywords(
     language model pass ``embedding_keywords`` with a function that makes the model.
     """
     wanted = spark.read.parquet(f"{curated}/filtered_patents")
-    selected = joins.matching(read_quoted_records(spark, text), wanted, "patent_id")
-    files.overwrite_parquet(extract(selected), f"{curated}/keywords")
+    with scratch_removed(spark):
+        selected = joins.matching(read_quoted_records(spark, text), wanted, "patent_id")
+        files.overwrite_parquet(extract(selected), f"{curated}/keywords")
 
 
 def patent_reports(info: DataFrame, cpc: DataFrame, people: DataFrame) -> dict[str, DataFrame]:
+    """Most of them from the stored cells of ``plans.fused``: see there for what is run at once."""
     return {
-        "patents_by_decade": patents.by_decade(info),
-        "common_patent_types": patents.common_types(info),
-        "patent_trends": patents.by_year(info),
-        "avg_grant_time_by_type": patents.avg_grant_time_by_type(info),
+        **fused.reports(info, cpc),
         "cpc_patent_counts": patents.section_counts(cpc),
-        "patent_type_claims": patents.claims_by_type(info),
-        "filings_by_year": patents.filings_by_year(info),
-        "long_grant_patents": patents.long_grants(info),
-        "shortest_grant_cpc": patents.shortest_grant_sections(info, cpc),
-        "zero_claims": patents.zero_claims(info),
         "top_3_cpc_proportion": patents.top_section_share(cpc),
-        "max_claims_year": patents.year_with_most_claims(info),
-        "avg_claims_cpc": patents.avg_claims_by_section(info, cpc),
-        "claims_year_type": patents.claims_by_year_and_type(info),
-        "median_grant_cpc": patents.median_grant_by_section(info, cpc),
         "longest_grant_time": patents.longest_grant_times(info),
         "patents_by_country": patents.by_country(info, people),
-        "type_by_decade": patents.types_by_decade(info),
-        "trending_cpc": patents.sections_by_decade(info, cpc),
-        "trending_cpc_top5": patents.rising_sections(info, cpc),
-        "under_year": patents.granted_within(info),
-        "claims_distribution": patents.claims_distribution(info),
         "longest_grant_country": patents.longest_grant_by_country(info, people),
-        "avg_claims_filing": patents.avg_claims_by_filing_year(info),
-        "grant_claim_corr": patents.grant_claim_correlation(info),
     }
 
 
@@ -200,7 +184,8 @@ def build_reports(
     info, people, rows = t["patent_info"], t["inventor_info"], t["applicant_info"]
     filtered = t["filtered_patents"]
     words = spark.read.parquet(f"{curated}/keywords") if with_keywords else None
-    files.save_all(patent_reports(info, t["cpc_info"], people), f"{out}/patents", "csv")
+    with scratch_removed(spark):
+        files.save_all(patent_reports(info, t["cpc_info"], people), f"{out}/patents", "csv")
     files.save_all(inventor_reports(people, info), f"{out}/inventors", "csv")
     files.save_all(applicant_reports(rows, info), f"{out}/applicants", "csv")
     files.save_all(branch_reports(filtered, people, rows, words), f"{out}/branches")

@@ -80,6 +80,15 @@ def profile(df: DataFrame, distinct: str = "exact") -> DataFrame:
     )
 
 
+def profile_all(tables: Mapping[str, DataFrame], distinct: str = "exact") -> DataFrame:
+    """``profile`` of every table and column, with the name of the table."""
+    parts = [
+        profile(df, distinct).select(F.lit(name).alias("table_name"), "*")
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """``df`` with its row count collected while another action runs over it."""
     observation = Observation(name)

@@ -6,6 +6,8 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -57,9 +59,30 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing is created there yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}")
+    return _made[-1]
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end the intermediate tables that were made inside.
+
+    Results are lazy and read those tables, so write or collect them inside too.
+    """
+    before = len(_made)
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in map(hadoop, _made[before:]):
+            path.getFileSystem(conf).delete(path, True)
+        del _made[before:]
 
 
 _shipped: set[str] = set()

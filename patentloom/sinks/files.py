@@ -66,9 +66,14 @@ def write_text_parts(ordered: DataFrame, path: str, column: str = "value") -> No
 
 
 def write_monthly_json(records: DataFrame, path: str, date_column: str) -> None:
-    """JSON lines below one ``month=YYYY_Mon`` folder per month."""
+    """JSON lines below one ``month=YYYY_Mon`` folder per month.
+
+    Records are dealt by month first, large months over several tasks, so that the number
+    of files follows the data and not tasks times months.
+    """
     month = F.date_format(F.col(date_column).cast("date"), "yyyy_MMM")
-    records.withColumn("month", month).write.mode("overwrite").partitionBy("month").json(path)
+    dealt = records.withColumn("month", month).hint("rebalance", "month")
+    dealt.write.mode("overwrite").partitionBy("month").json(path)
 
 
 def save_all(tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet") -> list[str]:

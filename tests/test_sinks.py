@@ -142,3 +142,26 @@ def test_one_key_per_table(spark, tmp_path):
         other.upsert(spark.createDataFrame([("b", 1, "y")], SCHEMA))
     with pytest.raises(ValueError, match="missing"):
         table_at(spark, tmp_path).upsert(spark.createDataFrame([("b",)], "k string"))
+
+
+def test_intermediate_tables_go_when_they_are_used_up(spark, tmp_path):
+    import os
+
+    from patentloom.session import scratch_removed, shared_dir
+    from patentloom.sinks.files import written
+
+    def folders():
+        return set(os.listdir(shared_dir(spark))) if os.path.isdir(shared_dir(spark)) else set()
+
+    kept = written(spark.range(3), "kept")
+    before = folders()
+    with scratch_removed(spark):
+        assert written(spark.range(5), "first").count() == 5
+        with scratch_removed(spark):
+            written(spark.range(6), "inner")
+        assert len(folders() - before) == 1
+    assert folders() == before and kept.count() == 3
+    with pytest.raises(ZeroDivisionError), scratch_removed(spark):
+        written(spark.range(2), "failed")
+        1 / 0
+    assert folders() == before
