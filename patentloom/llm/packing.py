@@ -175,7 +175,7 @@ def _tokenizer(sent, end_id: int, width: int, schema: pa.Schema):
         context = TaskContext.get()
         task = context.partitionId() if context else 0
         seen, own = np.zeros(width, np.int64), 0
-        for batch in _slices(batches, 512):
+        for batch in _slices(batches, 2048):
             docs, texts = batch.columns
             ids = encoder.encode(texts)
             n = np.array([len(i) // 4 for i in ids], np.int64)
