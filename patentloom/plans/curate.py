@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patentloom import schemas
-from patentloom.operators.joins import frequency_lookup
 from patentloom.operators.quality import drop_columns, with_valid_dates
 
 # Section letters and their meaning.
@@ -58,22 +57,18 @@ def cpc_dimension(titles: DataFrame, level: str) -> DataFrame:
 
 
 def inventor_info(inventors: DataFrame, locations: DataFrame) -> DataFrame:
-    """Inventors with the place they live in, where known; a place has one row.
+    """Inventors with the place they live in, where known.
 
-    Inventors without a place are set aside, and those of the most frequent places look them
-    up where they are: neither fills a task.
+    Inventors without a place get keys that match none, or all of them would go to one task;
+    very frequent places are left to adaptive execution, which splits them.
     """
     places = drop_columns(locations, LOCATION_EXTRAS)
     added = [c for c in places.columns if c != "location_id"]
-    columns = ["location_id", *(c for c in inventors.columns if c != "location_id"), *added]
-    placed = inventors.where(F.col("location_id").isNotNull())
-    counts = placed.groupBy("location_id").agg(F.count(F.lit(1)).alias("_n"))
-    lookup = counts.join(places, "location_id", "left")
-    found = frequency_lookup(placed, lookup, "location_id", "_n", ["_n", *added])
-    nowhere = inventors.where(F.col("location_id").isNull()).select(
-        "*", *(F.lit(None).cast(places.schema[c].dataType).alias(c) for c in added)
-    )
-    return found.select(columns).unionByName(nowhere.select(columns))
+    spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*inventors.columns), F.lit(4096)))
+    keyed = inventors.withColumn("_place", F.coalesce("location_id", spread))
+    found = keyed.join(places.withColumnRenamed("location_id", "_place"), "_place", "left")
+    others = [c for c in inventors.columns if c != "location_id"]
+    return found.select("location_id", *others, *added)
 
 
 def applicant_info(applicants: DataFrame) -> DataFrame:

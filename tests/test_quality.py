@@ -70,3 +70,22 @@ def test_observed_counts_without_a_second_pass(spark):
     df, observation = quality.observed(spark.range(7), "loaded")
     assert df.where("id > 4").count() == 2
     assert observation.get == {"row_count": 7}
+
+
+def test_inventors_without_a_place_are_kept_and_spread(spark, plan_of):
+    from patentloom.plans.curate import inventor_info
+
+    people = spark.createDataFrame(
+        [("1", "a", None), ("1", "a", None), ("2", "b", "L1"), ("3", "c", "L9"), ("4", "d", "L1")],
+        "patent_id string, inventor_id string, location_id string",
+    )
+    places = spark.createDataFrame(
+        [("L1", "Rome", "1", "2"), (None, "Nowhere", "1", "2"), ("L2", "Bern", "1", "2")],
+        "location_id string, disambig_city string, state_fips string, county_fips string",
+    )
+    df = inventor_info(people, places)
+    assert df.columns == ["location_id", "patent_id", "inventor_id", "disambig_city"]
+    got = sorted(((r.patent_id, r.location_id, r.disambig_city) for r in df.collect()), key=repr)
+    assert got == [
+        ("1", None, None), ("1", None, None), ("2", "L1", "Rome"), ("3", "L9", None), ("4", "L1", "Rome"),
+    ]
