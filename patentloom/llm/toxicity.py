@@ -88,7 +88,7 @@ def _features(texts: Texts, settings: Settings):
     return words, word_at, (heads >> U64(64 - settings.head_bits)).astype(np.int64)
 
 
-def _slices(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about ``most`` bytes of text: memory follows the longest text."""
     column = batch.column(batch.schema.get_field_index(text)).cast(pa.binary())
     lengths = np.array([len(x) for x in column.fill_null(b"").to_pylist()], np.int64)
