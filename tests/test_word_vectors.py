@@ -5,6 +5,8 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from patentloom.operators import word_vectors as wv
 
 SCHEMA = "patent_id string, summary_text string, vector int, term string"
@@ -85,3 +87,45 @@ def test_frequent_words_are_combined_and_looked_up(spark, plan_of):
     plan = plan_of(wv.vector_keywords(docs))
     assert "BroadcastHashJoin" in plan
     assert "Python" not in plan and "NestedLoop" not in plan
+
+
+def largest_method(df):
+    """Bytes of the largest generated method; the JVM compiles none above 8,000."""
+    df.collect()
+    stages = df._jdf.queryExecution().debug().codegenToSeq()
+    return max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark):
+    docs = spark.createDataFrame([(str(i), t, 1, "x") for i, t in enumerate(sample())], SCHEMA)
+    assert largest_method(wv.word_vectors(docs)) < 8000
+    assert largest_method(wv.vector_keywords(docs)) < 8000
+
+
+def test_batches_and_widths_change_nothing(spark):
+    rng = random.Random(5)
+    # A sum above 127 and one above 32,767, so that stored sums differ in width.
+    texts = [*sample(), "far near " * 20_000, "mid few " * 100, " ".join(rng.choices("abcdefgh", k=500))]
+    docs = spark.createDataFrame(
+        [(str(i % 40), t, 1, "x") for i, t in enumerate(texts)] + [(None, texts[0], 1, "x")], SCHEMA
+    ).coalesce(2)
+    want = brute_vectors([*texts, texts[0]], 2)
+    keywords = sorted(map(tuple, wv.vector_keywords(docs).collect()), key=repr)
+    # A document with the null id is one too, and equal ids are one document.
+    assert {i for i, *_ in keywords} >= {None, "0"} and max(r for _, r, *_ in keywords) == 5
+    assert {r.term: r.vector for r in wv.word_vectors(docs).collect()} == want
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        assert {r.term: r.vector for r in wv.word_vectors(docs).collect()} == want
+        assert sorted(map(tuple, wv.vector_keywords(docs).collect()), key=repr) == keywords
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_slices_are_whole_texts():
+    lengths = np.array([0, 5, wv.WORDS_AT_ONCE - 5, 1, 3 * wv.WORDS_AT_ONCE, 0, 7])
+    found = list(wv._slices(lengths))
+    assert found == [(0, 3), (3, 4), (4, 5), (5, 7)]
+    assert list(wv._slices(np.array([], int))) == []
