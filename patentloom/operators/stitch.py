@@ -18,8 +18,34 @@ def parts_of(lines: DataFrame, bytes_per_part: int) -> int:
 
 def split_in_order(lines: DataFrame, parts: int) -> DataFrame:
     """The same lines in ``parts`` partitions that, read one after another, keep the
-    input order. Written as text, partition ``i`` becomes part file ``i``."""
-    return lines.repartitionByRange(parts, *LINE_ORDER).sortWithinPartitions(*LINE_ORDER)
+    input order. Written as text, partition ``i`` becomes part file ``i``.
+
+    A line's part follows from the lines in the splits before its own and its place in the
+    split, so no sample of the lines goes to the driver: the table of splits, one row each,
+    is all that is broadcast. Places are held within their split's count, which keeps the
+    order even if the two scans deal splits to tasks differently; a split that only one of
+    them knows is an error.
+    """
+    split = ["file", "block"]
+    per_split = lines.groupBy(*split).agg(F.min("line").alias("_first"), F.count("line").alias("_n"))
+    every = Window.orderBy(*split)
+    before = every.rowsBetween(Window.unboundedPreceding, -1)
+    whole = every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    splits = per_split.select(
+        *split,
+        "_first",
+        "_n",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(whole).alias("_total"),
+    )
+    inside = F.least(F.greatest(F.col("line") - F.col("_first"), F.lit(0)), F.col("_n") - 1)
+    part = F.call_function("div", (F.col("_before") + inside) * parts, F.col("_total"))
+    unknown = F.raise_error(F.lit("lines were split differently in two scans")).cast("long")
+    placed = lines.join(F.broadcast(splits), split, "left").select(
+        *lines.columns, F.coalesce(part, unknown).cast("int").alias("_part")
+    )
+    dealt = placed.repartitionById(parts, F.col("_part"))
+    return dealt.sortWithinPartitions(*LINE_ORDER).select(*lines.columns)
 
 
 def stitch_lines(

@@ -190,3 +190,24 @@ def test_a_given_lemma_table_counts_first_and_multiplies_nothing(spark):
     )
     got = sorted((r.keyword, r.normalized_keyword) for r in keywords.lemmatized(df, lemmas=table).collect())
     assert got == [("cat", "cat"), ("cats", "feline"), ("mice", "rodent")]
+
+
+def test_parts_are_dealt_without_a_sample_of_the_lines(spark, tmp_path, plan_of):
+    source, parts = tmp_path / "in.txt", tmp_path / "parts"
+    lines, _ = long_text(source, 400)
+    conf = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        split = stitch.split_in_order(sources.read_lines(spark, str(source)), 7)
+        # A range exchange collects up to 300 keys per part, file paths included.
+        assert "rangepartitioning" not in plan_of(split)
+        write_text_parts(split, str(parts))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    contents = [f.read_text().splitlines() for f in sorted(parts.glob("part-*"))]
+    assert [line for part in contents for line in part] == lines
+    assert {len(part) for part in contents} <= {len(lines) // 7, len(lines) // 7 + 1}
+    assert len(contents) == 7
