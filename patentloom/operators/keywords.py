@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,12 @@ WORD = r"(?U)\w\w+"
 # Documents encoded together; bounds the vectors held at a time.
 ENCODED_AT_ONCE = 64
 
+# Documents whose terms are looked up together; bounds the rows of one group.
+DOCUMENTS_PER_GROUP = 1_000
+
+# Rows of a batch of counts.
+COUNTS_AT_ONCE = 100_000
+
 
 def term_frequencies(
     docs: DataFrame, id_column: str = "patent_id", text_column: str = "summary_text",
@@ -49,23 +57,88 @@ def tfidf_keywords(
 ) -> DataFrame:
     """The ``top_n`` terms per document by tf * ln((N + 1) / (df + 1)), ties by term.
 
-    Common terms occur in most documents, so joining every occurrence with its
-    document frequency by term would send a large share of all rows to few tasks;
-    frequent terms are looked up by broadcast instead.
+    Documents are dealt to groups once, their words counted before that. A group asks for the
+    document frequency of each of its terms once, however many of its documents hold the
+    term, and a term is asked for once per group, so that common terms fill no task. Only
+    candidates leave a group.
     """
-    tf = term_frequencies(docs, id_column, text_column)
-    total = docs.agg(F.count(F.lit(1))).scalar()
-    # Counting over ``tf`` rather than rows keeps both uses of the term table on the
-    # same columns, so its shuffle is computed once.
-    df = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("doc_freq"))
-    weighted = frequency_lookup(tf, df, "term", "doc_freq", ["doc_freq"])
-    score = F.col("tf") * F.log((total + 1) / (F.col("doc_freq") + 1))
-    scored = weighted.withColumn("score", F.round(score, 9))
+    ship_package(docs.sparkSession)
+    total = docs.count()
+    words = without_stop_words(tokens(F.coalesce(F.col(text_column), F.lit(""))))
+    kind = docs.schema[id_column].dataType.simpleString()
+    groups = max(1, -(-total // DOCUMENTS_PER_GROUP))
+    counted = (
+        docs.select(id_column, words.alias("words"))
+        .mapInArrow(_counted, f"{id_column} {kind}, term string, count bigint")
+        .where(F.col("term").isNotNull())
+        .withColumn("part", F.pmod(F.hash(id_column), F.lit(groups)))
+        .repartition("part")
+    )
+    # Rows of one id are one document. All uses of the terms take the same columns and filters
+    # (no term is null, every ``n`` is above 0), so that their shuffle is computed once.
+    tf = counted.groupBy("part", id_column, "term").agg(F.sum("count").alias("tf"))
+    asked = tf.groupBy("part", "term").agg(F.count_if(F.col("tf") > 0).alias("n"))
+    asked = asked.where(F.col("n") > 0)
+    df = asked.groupBy("term").agg(F.sum("n").alias("doc_freq"))
+    replies = asked.join(df, "term").select(
+        F.col("part").alias("to_part"), F.col("term").alias("asked_term"), "doc_freq"
+    )
+    candidates = (
+        tf.groupBy("part")
+        .cogroup(replies.groupBy("to_part"))
+        .applyInArrow(
+            _candidates(top_n, total, id_column),
+            f"{id_column} {kind}, term string, tf bigint, doc_freq bigint",
+        )
+    )
+    score = F.col("tf") * F.log((F.lit(total) + 1) / (F.col("doc_freq") + 1))
+    scored = candidates.withColumn("score", F.round(score, 9))
     return top_k_per_group(scored, id_column, [F.desc("score"), F.asc("term")], top_n).select(
         id_column, "rank", F.col("term").alias("keyword"), "tf", "doc_freq", "score"
     )
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, term, count) per row from ids and arrays of words."""
+    for batch in batches:
+        ids, words = batch.columns
+        lengths = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+        coded = words.flatten().dictionary_encode()
+        size = max(1, len(coded.dictionary))
+        row = np.repeat(np.arange(len(lengths)), lengths)
+        found, n = np.unique(row * size + coded.indices.to_numpy(), return_counts=True)
+        for at in range(0, len(found), COUNTS_AT_ONCE):
+            row, term = np.divmod(found[at : at + COUNTS_AT_ONCE], size)
+            taken = [ids.take(pa.array(row)), coded.dictionary.take(pa.array(term))]
+            counts = pa.array(n[at : at + COUNTS_AT_ONCE].astype(np.int64))
+            yield pa.RecordBatch.from_arrays([*taken, counts], [batch.schema.names[0], "term", "count"])
+
+
+def _candidates(
+    top_n: int, total: int, id_column: str
+) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Rows that may be among the ``top_n`` of their document once scores are rounded."""
+
+    def candidates(tf: pa.Table, replies: pa.Table) -> pa.Table:
+        place = pc.index_in(tf["term"].combine_chunks(), replies["asked_term"].combine_chunks())
+        doc_freq = replies["doc_freq"].combine_chunks().take(place)
+        table = tf.select([id_column, "term", "tf"]).append_column("doc_freq", doc_freq)
+        if not table.num_rows:
+            return table
+        ids = table[id_column].combine_chunks().dictionary_encode(null_encoding="encode")
+        doc = ids.indices.to_numpy()
+        score = table["tf"].to_numpy() * np.log((total + 1) / (doc_freq.to_numpy() + 1))
+        order = np.lexsort((-score, doc))
+        starts = np.flatnonzero(np.diff(doc[order], prepend=-1))
+        ends = np.append(starts[1:], len(doc))
+        least = score[order[np.minimum(starts + top_n, ends) - 1]]
+        least = least - 1e-8 - 1e-12 * np.abs(least)
+        # Documents stand in the order of their numbers, and every number occurs.
+        return table.take(pa.array(np.flatnonzero(score >= least[doc])))
+
+    return candidates
+
+
 def keyword_lists(ranked: DataFrame, id_column: str = "patent_id") -> DataFrame:
     """(id, keywords array<struct<_1, _2>>) from ranked (keyword, score) rows."""
     entry = F.struct("rank", F.struct(F.col("keyword").alias("_1"), F.col("score").alias("_2")))

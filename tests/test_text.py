@@ -211,3 +211,29 @@ def test_parts_are_dealt_without_a_sample_of_the_lines(spark, tmp_path, plan_of)
     assert [line for part in contents for line in part] == lines
     assert {len(part) for part in contents} <= {len(lines) // 7, len(lines) // 7 + 1}
     assert len(contents) == 7
+
+
+def test_tfidf_asks_once_per_group_of_documents(spark, plan_of, monkeypatch):
+    monkeypatch.setattr(keywords, "DOCUMENTS_PER_GROUP", 3)
+    bodies = random_docs(11, 40)
+    rows = [*bodies.items(), ("d1", "w3 w3 extra"), ("none", None), (None, "w1 lone"), (None, "lone")]
+    df = spark.createDataFrame(rows, "patent_id string, summary_text string")
+    counts = {}
+    for key, body in rows:
+        counts.setdefault(key, Counter()).update(
+            w for w in (body or "").lower().split() if w not in ("the", "of")
+        )
+    frequency = Counter(term for bag in counts.values() for term in bag)
+    expected = {}
+    for key, bag in counts.items():
+        scored = [
+            (-round(n * math.log((len(rows) + 1) / (frequency[term] + 1)), 9), term)
+            for term, n in bag.items()
+        ]
+        for rank, (score, term) in enumerate(sorted(scored)[:4], 1):
+            expected[key, rank] = (term, bag[term], frequency[term], -score)
+    got = keywords.tfidf_keywords(df.repartition(5), top_n=4)
+    found = {(r.patent_id, r["rank"]): (r.keyword, r.tf, r.doc_freq, r.score) for r in got.collect()}
+    assert found == expected
+    # Rows per document and term are shuffled by group only, never by term.
+    assert "FlatMapCoGroupsInArrow [part" in plan_of(got) and "Union" not in plan_of(got)
