@@ -62,23 +62,10 @@ def tfidf_keywords(
     term, and a term is asked for once per group, so that common terms fill no task. Only
     candidates leave a group.
     """
-    ship_package(docs.sparkSession)
     total = docs.count()
     words = without_stop_words(tokens(F.coalesce(F.col(text_column), F.lit(""))))
     kind = docs.schema[id_column].dataType.simpleString()
-    groups = max(1, -(-total // DOCUMENTS_PER_GROUP))
-    counted = (
-        docs.select(id_column, words.alias("words"))
-        .mapInArrow(_counted, f"{id_column} {kind}, term string, count bigint")
-        .where(F.col("term").isNotNull())
-        .withColumn("part", F.pmod(F.hash(id_column), F.lit(groups)))
-        .repartition("part")
-    )
-    # Rows of one id are one document. All uses of the terms take the same columns and filters
-    # (no term is null, every ``n`` is above 0), so that their shuffle is computed once.
-    tf = counted.groupBy("part", id_column, "term").agg(F.sum("count").alias("tf"))
-    asked = tf.groupBy("part", "term").agg(F.count_if(F.col("tf") > 0).alias("n"))
-    asked = asked.where(F.col("n") > 0)
+    tf, asked = grouped_terms(docs.select(id_column, words.alias("words")), id_column, total)
     df = asked.groupBy("term").agg(F.sum("n").alias("doc_freq"))
     replies = asked.join(df, "term").select(
         F.col("part").alias("to_part"), F.col("term").alias("asked_term"), "doc_freq"
@@ -98,6 +85,27 @@ def tfidf_keywords(
     )
 
 
+def grouped_terms(docs: DataFrame, id_column: str, total: int) -> tuple[DataFrame, DataFrame]:
+    """(part, id, term, tf) of documents and arrays ``words``, dealt to groups by their ids,
+    and (part, term, n): each group's terms with the number of its documents that hold them.
+
+    Rows of one id are one document. All uses of the terms take the same columns and filters
+    (no term is null, every ``n`` is above 0), so that their shuffle is computed once.
+    """
+    ship_package(docs.sparkSession)
+    kind = docs.schema[id_column].dataType.simpleString()
+    groups = max(1, -(-total // DOCUMENTS_PER_GROUP))
+    counted = (
+        docs.mapInArrow(_counted, f"{id_column} {kind}, term string, count bigint")
+        .where(F.col("term").isNotNull())
+        .withColumn("part", F.pmod(F.hash(id_column), F.lit(groups)))
+        .repartition("part")
+    )
+    tf = counted.groupBy("part", id_column, "term").agg(F.sum("count").alias("tf"))
+    asked = tf.groupBy("part", "term").agg(F.count_if(F.col("tf") > 0).alias("n"))
+    return tf, asked.where(F.col("n") > 0)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, term, count) per row from ids and arrays of words."""
     for batch in batches:
@@ -111,7 +119,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row, term = np.divmod(found[at : at + COUNTS_AT_ONCE], size)
             taken = [ids.take(pa.array(row)), coded.dictionary.take(pa.array(term))]
             counts = pa.array(n[at : at + COUNTS_AT_ONCE].astype(np.int64))
-            yield pa.RecordBatch.from_arrays([*taken, counts], [batch.schema.names[0], "term", "count"])
+            names = [batch.schema.names[0], "term", "count"]
+            yield pa.RecordBatch.from_arrays([*taken, counts], names)
 
 
 def _candidates(

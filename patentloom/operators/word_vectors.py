@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from patentloom.functions.text import STOP_WORDS, tokens, without_stop_words
 from patentloom.operators.joins import frequency_lookup
+from patentloom.operators.keywords import grouped_terms
 from patentloom.operators.ranking import top_k_per_group
 from patentloom.session import ship_package
 
@@ -105,7 +106,8 @@ def _context_sums(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
                     np.add.at(sums, term * DIMENSIONS + dims[other, i], signs[other, i])
         at = np.flatnonzero(met)
         rows = sums.reshape(-1, DIMENSIONS)[at]
-        return pa.RecordBatch.from_arrays([terms.take(pa.array(at)), _narrowed(rows)], ["term", "sums"]) if len(at) else None
+        columns = [terms.take(pa.array(at)), _narrowed(rows)]
+        return pa.RecordBatch.from_arrays(columns, ["term", "sums"]) if len(at) else None
 
     def context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,53 +200,53 @@ def doc_numbers(ids: pa.Array) -> np.ndarray:
     return ids.dictionary_encode(null_encoding="encode").indices.to_numpy()
 
 
-def _nearest(top_n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(id, keyword, cosine) from (id, term, tf, vector, bits) rows in the order of their ids.
+def _nearest(top_n: int, id_column: str) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """(id, keyword, cosine) from a group's terms and the vectors that it asked for.
 
-    A document's rows come together. Of each, those are kept that may be among the ``top_n``
-    when cosines are rounded to six places.
+    Of each document those rows are kept that may be among the ``top_n`` when cosines are
+    rounded to six places.
     """
 
-    def scored(table: pa.RecordBatch, doc: np.ndarray) -> pa.RecordBatch:
-        vectors = _widened(table.column(3))
-        weight = table.column(2).to_numpy() * table.column(4).to_numpy().astype(np.int64)
+    def nearest(tf: pa.Table, replies: pa.Table) -> pa.Table:
+        place = pc.index_in(tf["term"].combine_chunks(), replies["asked_term"].combine_chunks())
+        tf, place = tf.filter(place.is_valid()), place.drop_null().to_numpy()
+        ids, terms = tf[id_column].combine_chunks(), tf["term"].combine_chunks()
+        order = np.argsort(doc_numbers(ids), kind="stable")
+        doc = doc_numbers(ids.take(pa.array(order)))
+        known = _widened(replies["vector"].combine_chunks())
+        bits = replies["bits"].to_numpy().astype(np.int64)
+        place, count = place[order], tf["tf"].to_numpy()[order]
+        out: list[pa.Table] = []
+        # Whole documents, some thousand rows at a time.
         starts = np.flatnonzero(np.diff(doc, prepend=-1))
+        near = np.searchsorted(starts, np.arange(0, len(doc), ROWS_AT_ONCE), "right") - 1
+        cuts = np.unique(np.append(starts[near], len(doc)))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            kept, cosine = scored(known[place[a:b]], count[a:b] * bits[place[a:b]], doc[a:b])
+            at = pa.array(order[a:b][kept])
+            columns = [ids.take(at), terms.take(at), pa.array(cosine)]
+            out.append(pa.Table.from_arrays(columns, ["id", "keyword", "cosine"]))
+        empty = [ids.slice(0, 0), terms.slice(0, 0), pa.array([], pa.float64())]
+        return pa.concat_tables([pa.Table.from_arrays(empty, ["id", "keyword", "cosine"]), *out])
+
+    def scored(
+        vectors: np.ndarray, weight: np.ndarray, doc: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        opens = np.diff(doc, prepend=-1) != 0
+        starts, rank = np.flatnonzero(opens), np.cumsum(opens) - 1
         sums = np.add.reduceat(vectors * weight[:, None], starts, axis=0)
-        rank = np.cumsum(np.diff(doc, prepend=-1) != 0) - 1
         squares = np.zeros(len(starts))
         for i in range(DIMENSIONS):
             squares += sums[:, i].astype(float) ** 2
         lengths = np.sqrt((vectors * vectors).sum(axis=1).astype(float)) * np.sqrt(squares)[rank]
         dots = (vectors * sums[rank]).sum(axis=1).astype(float)
         cosine = np.divide(dots, lengths, out=np.zeros(len(dots)), where=lengths != 0)
-        order = np.lexsort((-cosine, rank))
+        by_cosine = np.lexsort((-cosine, rank))
         # The cosine of a document's last place; that of its last row where it has fewer.
         ends = np.append(starts[1:], len(rank))
-        least = cosine[order[np.minimum(starts + top_n, ends) - 1]] - 2e-6
-        at = pa.array(np.flatnonzero(cosine >= least[rank]))
-        return pa.RecordBatch.from_arrays(
-            [table.column(0).take(at), table.column(1).take(at), pa.array(cosine).take(at)],
-            ["id", "keyword", "cosine"],
-        )
-
-    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            doc = doc_numbers(batch.column(0))
-            opens = int(np.argmax(doc == doc[-1]))
-            first = batch.column(0).slice(0, 1)
-            if waiting and (opens or not first.equals(waiting[-1].column(0).slice(0, 1))):
-                whole = pa.concat_batches([*waiting, batch.slice(0, opens)])
-                yield scored(whole, doc_numbers(whole.column(0)))
-                waiting = []
-            elif opens:
-                yield scored(batch.slice(0, opens), doc[:opens])
-            waiting.append(batch.slice(opens))
-        if waiting:
-            whole = pa.concat_batches(waiting)
-            yield scored(whole, doc_numbers(whole.column(0)))
+        least = cosine[by_cosine[np.minimum(starts + top_n, ends) - 1]] - 2e-6
+        kept = np.flatnonzero(cosine >= least[rank])
+        return kept, cosine[kept]
 
     return nearest
 
@@ -263,23 +265,30 @@ def vector_keywords(
     A document is the sum of its words' vectors, each weighed by its count and by the bits of
     ``documents div documents with the word``. Words of fewer than ``min_docs`` documents are
     no keywords and have no weight: their contexts are those of the document itself. Vectors
-    are learnt from ``docs``; a null text has no words, and ids are unique. The vectors of
-    frequent words are broadcast and others joined, so that no word fills a task; what is
-    gathered per document is bounded by its own words.
+    are learnt from ``docs``; a null text has no words, and rows of one id are one document.
+    Documents are dealt to groups, and a group asks for the vector of a word once. The vectors
+    of frequent words are broadcast and others joined, so that no word fills a task.
     """
-    words = docs.select(id_column, F.explode(kept_words(F.col(text_column), stop_words)).alias("term"))
-    tf = words.groupBy(id_column, "term").agg(F.count(F.lit(1)).alias("tf"))
-    frequency = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("doc_freq"))
-    total = docs.agg(F.count(F.lit(1))).scalar()
+    total = docs.count()
+    words = docs.select(id_column, kept_words(F.col(text_column), stop_words).alias("words"))
+    tf, asked = grouped_terms(words, id_column, total)
+    frequency = asked.groupBy("term").agg(F.sum("n").alias("doc_freq"))
     vectors = (
         packed_vectors(docs, text_column, window, stop_words)
         .join(frequency.where(F.col("doc_freq") >= min_docs), "term")
-        .withColumn("bits", F.length(F.bin(F.call_function("div", total, F.col("doc_freq")))))
+        .withColumn("bits", F.length(F.bin(F.call_function("div", F.lit(total), F.col("doc_freq")))))
+    )
+    replies = frequency_lookup(asked, vectors, "term", "doc_freq", ["vector", "bits"]).select(
+        F.col("part").alias("to_part"), F.col("term").alias("asked_term"), "vector", "bits"
     )
-    found = frequency_lookup(tf, vectors, "term", "doc_freq", ["vector", "bits"])
-    by_document = found.repartition(id_column).sortWithinPartitions(id_column)
     kind = docs.schema[id_column].dataType.simpleString()
-    terms = by_document.mapInArrow(_nearest(top_n), f"id {kind}, keyword string, cosine double")
+    terms = (
+        tf.groupBy("part")
+        .cogroup(replies.groupBy("to_part"))
+        .applyInArrow(
+            _nearest(top_n, id_column), f"id {kind}, keyword string, cosine double"
+        )
+    )
     scored = terms.select(
         F.col("id").alias(id_column), "keyword", F.round("cosine", 6).alias("score")
     )

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 
+from patentloom.operators import keywords
 from patentloom.operators import word_vectors as wv
 
 SCHEMA = "patent_id string, summary_text string, vector int, term string"
@@ -129,3 +130,14 @@ def test_slices_are_whole_texts():
     found = list(wv._slices(lengths))
     assert found == [(0, 3), (3, 4), (4, 5), (5, 7)]
     assert list(wv._slices(np.array([], int))) == []
+
+
+def test_groups_of_documents_change_nothing(spark, monkeypatch, plan_of):
+    docs = spark.createDataFrame([(str(i), t, 1, "x") for i, t in enumerate(sample())], SCHEMA)
+    whole = wv.vector_keywords(docs)
+    # A document's rows go to its group, never to a word.
+    assert "FlatMapCoGroupsInArrow [part" in plan_of(whole)
+    want = sorted(map(tuple, whole.collect()))
+    monkeypatch.setattr(keywords, "DOCUMENTS_PER_GROUP", 7)
+    assert sorted(map(tuple, wv.vector_keywords(docs.repartition(3)).collect())) == want
+    assert wv.vector_keywords(docs.limit(0)).collect() == []
