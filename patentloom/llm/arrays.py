@@ -60,7 +60,11 @@ def prefix_hashes(tokens: np.ndarray) -> np.ndarray:
 
 def range_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Polynomial hash of ``tokens[start:end]``, the same wherever the tokens stand."""
-    return (prefix[end] - prefix[start]) * powers(INVERSE, len(prefix))[start]
+    if 4 * len(start) > len(prefix):
+        return (prefix[end] - prefix[start]) * powers(INVERSE, len(prefix))[start]
+    low = powers(INVERSE, 1 << 16)[start & 0xFFFF]
+    high = powers(pow(INVERSE, 1 << 16, 1 << 64), (len(prefix) >> 16) + 1)[start >> 16]
+    return (prefix[end] - prefix[start]) * (low * high)
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:

@@ -50,9 +50,10 @@ class Deal:
 
     def __init__(self, keys: np.ndarray, parts: int):
         self.mixed = mix(keys)
-        part = (self.mixed % U64(parts)).astype(np.int32)
+        # Numbers of 16 bits are sorted by radix.
+        part = (self.mixed % U64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int32)
         self.order = np.argsort(part, kind="stable")
-        dealt = part[self.order]
+        dealt = part[self.order].astype(np.int32)
         self.cuts = np.flatnonzero(np.diff(dealt, prepend=-1))
         self.parts = dealt[self.cuts]
         self.ends = np.append(self.cuts[1:], len(dealt))[: len(self.cuts)]
@@ -98,7 +99,7 @@ def bucket_of(table: pa.Table) -> int:
 def _seen_twice(table: pa.Table) -> pa.Table:
     blobs = table["blob"].to_pylist()
     values = np.frombuffer(b"".join(blobs), np.uint32)
-    order = np.argsort(values, kind="stable")
+    order = np.argsort(values)
     again = values[order][1:] == values[order][:-1]
     twice = np.zeros(len(values), bool)
     twice[order[1:][again]] = True

@@ -20,37 +20,65 @@ from patentloom.llm.windows import Contexts, Windows, mark_repeats
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
-def suffix_ranks(data: np.ndarray, depth: int) -> list[np.ndarray]:
-    """Ranks of all suffixes by their first 1, 2, 4, ... bytes, up to ``depth`` or more.
+#: Bytes of the first ranks: as many digits, the end of the data among them, as 64 bits hold.
+FIRST = 7
+
+
+def _dense(key: np.ndarray) -> np.ndarray:
+    """Ranks from 1 of numbers below 2**63; equal ones share a rank."""
+    n = len(key)
+    bits = n.bit_length()
+    if not n or int(key.max()).bit_length() + bits > 63:
+        order = np.argsort(key)
+        ordered = key[order]
+    else:  # numbers and places in one are sorted faster than places by number
+        both = np.sort((key << bits) | np.arange(n))
+        order, ordered = both & ((1 << bits) - 1), both >> bits
+    new = np.ones(n, np.int64)
+    new[1:] = ordered[1:] != ordered[:-1]
+    out = np.empty(n, np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
+def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
+    """Ranks of all suffixes by their first ``depth`` bytes or more, by rank doubling.
 
     Beyond the end stands a rank below all others.
     """
-    ranks = [data.astype(np.int64) + 1]
-    have = 1
+    n = len(data)
+    digits = np.zeros(n + FIRST, np.int64)
+    digits[:n] = data
+    digits[:n] += 1
+    key = digits[:n].copy()
+    for at in range(1, FIRST):
+        key *= 257
+        key += digits[at : at + n]
+    rank, have = _dense(key), FIRST
     while have < depth:
-        rank = ranks[-1]
-        second = np.zeros(len(rank), np.int64)
-        second[:-have] = rank[have:]
-        key = (rank << 32) | second
-        order = np.argsort(key, kind="stable")
-        new = np.append(1, key[order][1:] != key[order][:-1])
-        dense = np.empty(len(rank), np.int64)
-        dense[order] = np.cumsum(new)
-        ranks.append(dense)
+        key = rank << n.bit_length()
+        key[:-have] |= rank[have:]
+        rank = _dense(key)
         have *= 2
-    return ranks
-
-
-def common_prefix(ranks: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Longest common prefixes of suffixes i and j, as far as the ranks reach."""
-    n = len(ranks[0])
-    out = np.zeros(len(i), np.int64)
-    for level in range(len(ranks) - 1, -1, -1):
-        a, b = i + out, j + out
-        ok = (a < n) & (b < n)
-        ok[ok] = ranks[level][a[ok]] == ranks[level][b[ok]]
-        out[ok] += 1 << level
-    return out
+    return rank
+
+
+def common_prefix(data: np.ndarray, i: np.ndarray, j: np.ndarray, depth: int) -> np.ndarray:
+    """Longest common prefixes of suffixes i and j up to ``depth``, eight bytes at a time."""
+    padded = np.append(data, np.zeros(depth + 8, np.uint8))
+    blocks = np.ndarray(len(data) + depth + 1, "<u8", padded, strides=(1,))
+    out = np.full(len(i), depth, np.int64)
+    open_ = np.arange(len(i))
+    for at in range(0, depth, 8):
+        differ = blocks[i[open_] + at] ^ blocks[j[open_] + at]
+        ended = differ != 0
+        differ = differ[ended]
+        low = differ & (~differ + np.uint64(1))  # the lowest bit that differs
+        out[open_[ended]] = at + np.bitwise_count(low - np.uint64(1)).astype(np.int64) // 8
+        open_ = open_[~ended]
+        if not len(open_):
+            break
+    return np.minimum(np.minimum(out, depth), len(data) - np.maximum(i, j))
 
 
 def previous_smaller(values: np.ndarray) -> np.ndarray:
@@ -67,9 +95,9 @@ def previous_smaller(values: np.ndarray) -> np.ndarray:
 def longest_previous_factors(
     data: np.ndarray, owner: np.ndarray, at: np.ndarray, depth: int
 ) -> np.ndarray:
-    """For suffixes ``at``: longest prefix shared with one of a smaller owner."""
-    ranks = suffix_ranks(data, depth)
-    order = at[np.argsort(ranks[-1][at], kind="stable")]
+    """For suffixes ``at``: longest prefix, of up to ``depth`` bytes, shared with one of a
+    smaller owner."""
+    order = at[np.argsort(suffix_ranks(data, depth)[at])]
     owners = owner[order]
     n = len(order)
     before = previous_smaller(owners)
@@ -77,7 +105,7 @@ def longest_previous_factors(
     best = np.zeros(n, np.int64)
     for near, ok in ((before, before >= 0), (after, after < n)):
         k = np.flatnonzero(ok)
-        best[k] = np.maximum(best[k], common_prefix(ranks, order[k], order[near[k]]))
+        best[k] = np.maximum(best[k], common_prefix(data, order[k], order[near[k]], depth))
     out = np.zeros(len(data), np.int64)
     out[order] = best
     return out[at]
@@ -92,12 +120,8 @@ def _solver(width: int):
         nth = np.arange(len(record)) - np.repeat(np.cumsum(windows) - windows, windows)
         owner = np.repeat(records["doc"], lengths)
         factors = longest_previous_factors(data, owner, start[record] + nth, width)
-        masks = np.zeros(len(records), np.uint64)
-        hit = factors >= width
-        np.bitwise_or.at(
-            masks, record[hit], np.uint64(1) << nth[hit].astype(np.uint64)
-        )
-        return masks
+        bits = (factors >= width).astype(np.uint64) << nth.astype(np.uint64)
+        return np.add.reduceat(bits, np.cumsum(windows) - windows)
 
     return solve
 

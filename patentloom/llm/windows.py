@@ -8,7 +8,8 @@ anchor and travel as one *context*. Four passes over the shuffled documents:
 1. anchors: which of them stand in more than one place at all?
 2. contexts around those, by hash: which are the first with their content?
 3. the tokens of contexts whose anchor has several different contents; the part finds the
-   windows that occur earlier, by the operator's own index (``solve``)
+   windows that occur earlier, by the operator's own index (``solve``). What pass 2 was told
+   goes along and comes back, so contexts are ranked once
 4. marks on the windows of every document, handed to ``finish``.
 
 An anchor with very many different contents (the edge of a passage that very many documents
@@ -31,11 +32,11 @@ from pyspark.sql import DataFrame
 
 from patentloom.llm import exchange as X
 from patentloom.llm.arrays import (
+    BASE,
     U64,
     Texts,
     mix,
     powers,
-    prefix_hashes,
     range_hashes,
     sliding_min,
     texts_of,
@@ -43,7 +44,6 @@ from patentloom.llm.arrays import (
 )
 from patentloom.session import ship_package
 
-HIGH, LOW = U64(0xFFFFFFFF00000000), U64(0xFFFFFFFF)
 RECORD = np.dtype(
     [("a", "<u8"), ("c", "<u8"), ("doc", "<i8"), ("pos", "<i4"), ("at", "<i4")]
 )
@@ -53,7 +53,7 @@ MASK = np.dtype([("at", "<i4"), ("mask", "<u8")])
 PLACE = np.dtype([("h", "<u8"), ("doc", "<i8"), ("pos", "<i4")])
 
 ALONE, LATER, ASKED, SPREAD = 0, 1, 2, 3
-CODES, MASKS, BITS = 1, 2, 3
+BODIES, CODES, MASKS, BITS, PLACES = 0, 1, 2, 3, 4
 #: Tokens that a part compares at once, but for an anchor's own: those are below ``HOT`` contents.
 SLICE = 1 << 19
 #: Different contents of an anchor from which its windows are dealt by their own hash.
@@ -93,6 +93,45 @@ class Contexts:
         return len(self.a)
 
 
+#: Window starts of one step; the hashes of a step stay in the processor's cache.
+BLOCK = 1 << 15
+
+
+def _hashed(tokens: np.ndarray, spec: Windows) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix hashes, and for every window start the first token of the anchor.
+
+    Grams are compared by 16 bits of their hashes, the first of equals counts: a block's
+    windows need nothing from outside, and equal windows have their anchor at the same place.
+    """
+    n, width, gram = len(tokens), spec.width, spec.gram
+    prefix = np.empty(n + 1, U64)
+    prefix[0] = 0
+    anchor = np.empty(n - width + 1, np.int32)
+    most = min(BLOCK, n) + width
+    base, inverse, places = powers(BASE, most), powers(INVERSE, most), np.arange(most, dtype=np.uint32)
+    for at in range(0, len(anchor), BLOCK):
+        end = min(at + BLOCK, len(anchor)) + width - 1
+        own = tokens[at:end].astype(U64)
+        own += U64(1)
+        own *= base[: len(own)]
+        sums = np.zeros(len(own) + 1, U64)
+        np.cumsum(own, out=sums[1:])
+        np.multiply(sums[1:], U64(pow(BASE, at, 1 << 64)), out=own)
+        own += prefix[at]
+        prefix[at + 1 : end + 1] = own
+        grams = sums[gram:] - sums[:-gram]
+        grams *= inverse[: len(grams)]
+        grams >>= U64(48)
+        keys = grams.astype(np.uint32)
+        keys <<= np.uint32(16)
+        keys |= places[: len(keys)]
+        least = sliding_min(keys, width - gram + 1)
+        least &= np.uint32(0xFFFF)
+        anchor[at : at + len(least)] = least
+        anchor[at : at + len(least)] += at
+    return prefix, anchor
+
+
 def contexts_of(texts: Texts, spec: Windows) -> Contexts:
     """Runs of windows with the same anchor position, in text order."""
     tokens, starts = spec.tokenise(texts)
@@ -100,27 +139,22 @@ def contexts_of(texts: Texts, spec: Windows) -> Contexts:
     if n < width:
         none = np.zeros(0, np.int64)
         return Contexts(none.astype(U64), none.astype(U64), none, none, none, tokens, starts, none)
-    prefix = prefix_hashes(tokens.astype(U64) + U64(1))
-    grams = prefix[spec.gram :] - prefix[: -spec.gram]
-    grams *= powers(INVERSE, len(grams))
-    grams = mix(grams)
-    keys = (grams & HIGH) | np.arange(len(grams), dtype=U64)
-    anchor = (sliding_min(keys, width - spec.gram + 1) & LOW).astype(np.int64)
-    inside = np.zeros(n + 1, np.int8)  # 1 where a window of the document can start
+    prefix, anchor = _hashed(tokens, spec)
     long = np.flatnonzero(np.diff(starts) >= width)
-    inside[starts[long]] += 1
-    inside[starts[long + 1] - width + 1] -= 1
-    window = np.flatnonzero(np.cumsum(inside[: len(anchor)], dtype=np.int8))
-    if not len(window):
-        none = np.zeros(0, np.int64)
-        return Contexts(none.astype(U64), none.astype(U64), none, none, none, tokens, starts, none)
-    at = anchor[window]
-    cut = np.flatnonzero((np.diff(at) != 0) | (np.diff(window) != 1)) + 1
-    first, last = window[np.append(0, cut)], window[np.append(cut, len(window)) - 1]
+    edges = np.zeros(len(anchor) + 1, bool)  # where an anchor or a document's windows begin or end
+    np.not_equal(anchor[1:], anchor[:-1], out=edges[1:-1])
+    edges[starts[long]] = True
+    edges[starts[long + 1] - width + 1] = True
+    first = np.flatnonzero(edges)
+    last = np.append(first[1:], len(anchor)) - 1
+    doc = np.searchsorted(starts, first, "right") - 1
+    inside = first + width <= starts[doc + 1] if len(long) else np.zeros(len(first), bool)
+    first, last, doc = first[inside], last[inside], doc[inside]
     content = range_hashes(prefix, first, last + width)
     content = mix(content + (last - first).astype(U64) * U64(0xD6E8FEB86659FD93))
-    doc = np.searchsorted(starts, first, "right") - 1
-    return Contexts(grams[anchor[first]], content, first, last, doc, tokens, starts, prefix)
+    at = anchor[first].astype(np.int64)
+    grams = mix(range_hashes(prefix, at, at + spec.gram))
+    return Contexts(grams, content, first, last, doc, tokens, starts, prefix)
 
 
 @dataclass
@@ -214,25 +248,38 @@ def _codes(replies: pa.Table) -> np.ndarray:
 
 
 def _bodies(spec: Windows, parts: int):
+    """Tokens of contexts to compare, places of spread windows, and all codes handed on."""
+
     def run(table: pa.Table, replies: pa.Table) -> pa.Table:
         codes = _codes(replies)
-        at = np.sort(codes["at"][codes["code"] == ASKED]).astype(np.int64)
-        if not len(at):
+        if not len(codes):
             return X.empty()
-        texts = texts_of(table)
-        found = contexts_of(texts, spec)
-        records = _records(found, texts, at, BODY)
-        ends = found.last[at] + spec.width
-        records["len"] = ends - found.first[at]
-        deal = X.Deal(found.a[at], parts)
-        bucket, rows = X.bucket_of(table), []
-        for part, a, b in zip(deal.parts, deal.cuts, deal.ends, strict=True):
-            own = deal.order[a:b]
-            body = np.concatenate([found.tokens[found.first[at[i]] : ends[i]] for i in own])
-            head = np.array([len(own)], "<i4").tobytes()
-            blob = head + records[own].tobytes() + body.astype(spec.dtype).tobytes()
-            rows.append((int(part), bucket, 0, blob))
-        return pa.table([list(c) for c in zip(*rows, strict=True)], schema=X.SCHEMA)
+        bucket = X.bucket_of(table)
+        rows = [(bucket % parts, bucket, CODES, codes.tobytes())]
+        at = np.sort(codes["at"][codes["code"] == ASKED]).astype(np.int64)
+        spread = (codes["code"] == SPREAD).any()
+        places = X.empty()
+        if len(at) or spread:
+            texts = texts_of(table)
+            found = contexts_of(texts, spec)
+        if len(at):
+            records = _records(found, texts, at, BODY)
+            ends = found.last[at] + spec.width
+            records["len"] = ends - found.first[at]
+            deal = X.Deal(found.a[at], parts)
+            firsts, ends, kind = found.first[at].tolist(), ends.tolist(), np.dtype(spec.dtype)
+            tokens = memoryview(np.ascontiguousarray(found.tokens.astype(kind, copy=False))).cast("B")
+            size = kind.itemsize
+            for part, a, b in zip(deal.parts, deal.cuts, deal.ends, strict=True):
+                own = deal.order[a:b]
+                body = b"".join([tokens[firsts[i] * size : ends[i] * size] for i in own.tolist()])
+                head = np.array([len(own)], "<i4").tobytes()
+                rows.append((int(part), bucket, BODIES, head + records[own].tobytes() + body))
+        if spread:
+            windows = Spread(texts, found, codes, spec)
+            places = X.Deal(windows.hash, parts).pack(windows.places(), bucket, PLACES)
+        asked = pa.table([list(c) for c in zip(*rows, strict=True)], schema=X.SCHEMA)
+        return pa.concat_tables([asked, places])
 
     return run
 
@@ -264,18 +311,6 @@ def _place(texts: Texts, found: Contexts, window: np.ndarray) -> tuple[np.ndarra
     return texts.ids[doc], window - found.starts[doc]
 
 
-def _spread(spec: Windows, parts: int):
-    def run(table: pa.Table, replies: pa.Table) -> pa.Table:
-        codes = _codes(replies)
-        if not (codes["code"] == SPREAD).any():
-            return X.empty()
-        texts = texts_of(table)
-        spread = Spread(texts, contexts_of(texts, spec), codes, spec)
-        return X.Deal(spread.hash, parts).pack(spread.places(), X.bucket_of(table))
-
-    return run
-
-
 def _earlier(spec: Windows):
     """One bit per window of a bucket: whether another bucket has an earlier one."""
 
@@ -359,6 +394,21 @@ def _compare(spec: Windows):
     return run
 
 
+def _solved(spec: Windows):
+    """Replies of a part to bodies and places; codes go back to their bucket as they are."""
+    answer = {CODES: lambda own: own, BODIES: _compare(spec), PLACES: _earlier(spec)}
+
+    def run(table: pa.Table) -> pa.Table:
+        out = [X.empty()]
+        for kind, reply in answer.items():
+            own = table.filter(pc.equal(table["kind"], kind))
+            if own.num_rows:
+                out.append(reply(own).cast(X.SCHEMA))
+        return pa.concat_tables(out)
+
+    return run
+
+
 def _marks(
     texts: Texts, found: Contexts, replies: pa.Table, spec: Windows, parts: int
 ) -> np.ndarray:
@@ -397,9 +447,10 @@ def _marks(
 
 def covered(starts: np.ndarray, width: int) -> np.ndarray:
     """Tokens inside any window that starts at a marked token."""
-    total = np.append(0, np.cumsum(starts))
-    low = np.maximum(np.arange(len(starts)) + 1 - width, 0)
-    return total[1:] > total[low]
+    total = np.cumsum(starts, dtype=np.int32)
+    out = total > 0
+    out[width:] = total[width:] > total[:-width]
+    return out
 
 
 def _finish(spec: Windows, parts: int, finish):
@@ -430,9 +481,6 @@ def mark_repeats(
     flags = X.seen_elsewhere(X.per_bucket(docs, _ask(spec, parts)))
     offered = X.with_replies(docs, flags, _offer(spec, parts))
     codes = offered.groupBy("part").applyInArrow(_rank(spec), X.PACKED)
-    bodies = X.with_replies(docs, codes, _bodies(spec, parts))
-    masks = bodies.groupBy("part").applyInArrow(_compare(spec), X.PACKED)
-    spread = X.with_replies(docs, codes, _spread(spec, parts))
-    bits = spread.groupBy("part").applyInArrow(_earlier(spec), X.PACKED)
-    said = codes.unionByName(masks).unionByName(bits)
+    asked = X.with_replies(docs, codes, _bodies(spec, parts))
+    said = asked.groupBy("part").applyInArrow(_solved(spec), X.PACKED)
     return X.with_replies(docs, said, _finish(spec, parts, finish), schema)

@@ -7,7 +7,8 @@ from functools import partial
 import numpy as np
 import pytest
 
-from patentloom.llm import automaton_dedup, suffix_dedup
+from patentloom.llm import automaton_dedup, suffix_dedup, windows
+from patentloom.llm.arrays import Texts
 from patentloom.llm.automaton_dedup import SuffixAutomaton, remove_repeated_words
 from patentloom.llm.suffix_dedup import (
     longest_previous_factors,
@@ -190,3 +191,37 @@ def test_previous_factors():
             for i in at
         ]
         assert got.tolist() == want
+
+
+@pytest.mark.parametrize("remove", [remove_repeated_words, remove_repeated_bytes])
+def test_contexts_are_ranked_once(spark, plan_of, remove):
+    """Documents are read by four passes, and no pass of the parts is repeated for another."""
+    plan = plan_of(remove(spark.createDataFrame(corpus(1), SCHEMA)))
+    passes = re.findall(r"FlatMap(\w*)GroupsInArrow", plan)
+    assert (passes.count("Co"), passes.count("")) == (3, 4)
+
+
+def test_contexts_do_not_depend_on_blocks(monkeypatch):
+    spec = Windows(50, 19, False, np.dtype("u1"), suffix_dedup._tokenise, None)
+    texts = [(t or "").encode() for _, t, *_ in corpus(2)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.append(0, np.cumsum([len(t) for t in texts]))
+    bucket = Texts(np.arange(len(texts)), data, ends)
+    whole = windows.contexts_of(bucket, spec)
+    monkeypatch.setattr(windows, "BLOCK", 37)
+    cut = windows.contexts_of(bucket, spec)
+    for name in ("a", "c", "first", "last", "doc", "prefix"):
+        assert (getattr(whole, name) == getattr(cut, name)).all()
+    got = [w for a, b in zip(whole.first, whole.last, strict=True) for w in range(a, b + 1)]
+    assert got == [w for a, b in zip(ends, ends[1:], strict=False) for w in range(a, b - 49)]
+    equal = {}  # equal windows have one anchor
+    for a, first, last in zip(whole.a, whole.first, whole.last, strict=True):
+        for w in range(first, last + 1):
+            assert equal.setdefault(data[w : w + 50].tobytes(), a) == a
+
+
+def test_common_prefixes_up_to_a_depth():
+    data = np.frombuffer(b"ab" * 300 + b"x" + b"ab" * 300 + b"\0", np.uint8)
+    i, j = np.array([0, 1, 598, 0, 601, 1199]), np.array([2, 602, 1199, 601, 1, 1201])
+    assert suffix_dedup.common_prefix(data, i, j, 500).tolist() == [500, 500, 2, 500, 0, 0]
+    assert suffix_dedup.common_prefix(data, i, j, 700).tolist() == [598, 599, 2, 600, 0, 0]
