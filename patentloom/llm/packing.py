@@ -39,15 +39,18 @@ from patentloom.sinks.files import written
 WIDTH = 4096
 #: Sequences of one document only are numbered from here on, the packed ones from 0.
 OWN = 1 << 62
-PROBE = "It's  soé\ńx   A1.\t#don't WORD, word,\x0b\x1c ok?! 12. ab..\n»., x<|y"
+PROBE = "It's  soé\ńx   A1.\t#don't WORD, word,\x0b\x1c ok?! 12. ab..\n»., x<|y " + " ".join(
+    f"a{c} é{c}x É{c}{c}'s 7{c}8 {c}'d" for c in map(chr, range(33, 127)) if not c.isalnum()
+)
 #: Own sequences of one task.
 OWN_PER_TASK = 36
 RANKS = 1 << 40
 #: Chunks of text whose ids a worker remembers, twice this number, and the longest of them.
 REMEMBERED, LONGEST = 250_000, 40
 
-#: Punctuation that is a token of its own behind an ASCII letter or digit.
-CLOSING = ".,;:!?"
+#: ASCII punctuation but the apostrophe, behind a digit, an ASCII letter or one of Latin-1, is
+#: never joined to it.
+CLOSING = r"([a-z0-9À-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~])"
 
 TOKENS = "doc_id long, task int, rest int, nth long, own long, n long, ids binary"
 PIECES = (
@@ -63,10 +66,11 @@ class Encoder:
     """Ids of texts, by chunks between ASCII white space.
 
     The tokenizer must drop white space, never join what it separates, ignore the case of
-    ASCII letters and split punctuation off them, so that a chunk has the same ids wherever it
-    stands, and so has a word before its punctuation; ``check`` holds that against the
-    tokenizer. Texts that hold a special token are given to it whole. Chunks met again stay
-    remembered, those of two generations ago do not.
+    ASCII letters and split punctuation off words (``CLOSING``), so that a word has the same
+    ids wherever it stands; ``check`` holds that against the tokenizer. The different chunks of
+    some texts are cut before their punctuation, and the different words and marks that gives
+    are looked up once. Texts that hold a special token are given to the tokenizer whole. Words
+    met again stay remembered, those of two generations ago do not.
     """
 
     def __init__(self, model: str, end_id: int):
@@ -85,7 +89,8 @@ class Encoder:
         self.old: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.model.encode_batch(texts, add_special_tokens=False)
+        # The fast one leaves out where in the text a token stands.
+        found = self.model.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", f.ids).tobytes() for f in found]
 
     def _word_ids(self, words: list[str]) -> list[bytes]:
@@ -101,63 +106,77 @@ class Encoder:
                 out += self._ids(some)
         return out
 
-    def _learn(self, chunks: set[str]) -> None:
-        closed = []
-        for chunk in chunks:
-            word = chunk.rstrip(CLOSING)
-            if word != chunk and word[-1:].isalnum() and word[-1:].isascii():
-                closed.append((chunk, word, chunk[len(word) :]))
-        parts = chunks.difference(c for c, _, _ in closed)
-        parts.update(w for _, w, _ in closed)
-        parts.update(p for _, _, p in closed)
-        self.young.update({p: self.old[p] for p in parts & self.old.keys()})
-        parts.difference_update(self.young)
-        words = [p for p in parts if p.isalpha()]
-        self.young.update(zip(words, self._word_ids(words), strict=True))
-        others = list(parts.difference(words))
-        self.young.update(zip(others, self._ids(others), strict=True))
-        self.young.update({c: self.young[w] + self.young[p] for c, w, p in closed})
-
-    def _known(self, chunks: list[str]) -> list[bytes]:
-        new = set(chunks).difference(self.young)
-        self.young.update({c: self.old[c] for c in new & self.old.keys()})
-        new.difference_update(self.young)
-        if new:
-            self._learn(new)
-        out = list(map(self.young.__getitem__, chunks))
-        for chunk in new:
-            if len(chunk) > LONGEST:
-                del self.young[chunk]
+    def _known(self, parts: list[str]) -> list[bytes]:
+        """Ids of different words and marks."""
+        out = list(map(self.young.get, parts))
+        at = [i for i, ids in enumerate(out) if ids is None]
+        new = [parts[i] for i in at]
+        ids_of = {p: self.old[p] for p in new if p in self.old}
+        words = [p for p in new if p not in ids_of and p.isalpha()]
+        ids_of.update(zip(words, self._word_ids(words), strict=True))
+        others = [p for p in new if p not in ids_of]
+        ids_of.update(zip(others, self._ids(others), strict=True))
+        for i, part in zip(at, new, strict=True):
+            out[i] = ids_of[part]
+        self.young.update(ids_of)
+        for part in new:
+            if len(part) > LONGEST:
+                del self.young[part]
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {"": b""}
         return out
 
-    def encode(self, texts: pa.Array) -> list[bytes]:
-        """Packed ids (unsigned 32 bit, little-endian) of each text, with the end id."""
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with the end id, and where those of a text begin."""
         texts = texts.fill_null("")
         marked = np.zeros(len(texts), bool)
         for token in self.special:
             marked |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(marked), "", texts)
         lists = pc.ascii_split_whitespace(pc.ascii_lower(plain))
-        words = lists.flatten().dictionary_encode()
+        chunks = lists.flatten().dictionary_encode()
+        cut = pc.replace_substring_regex(chunks.dictionary, CLOSING, r"\1 \2")
+        parts = pc.ascii_split_whitespace(cut)
+        words = parts.flatten().dictionary_encode()
         own = self._known(words.dictionary.to_pylist())
-        sizes = np.array([len(i) // 4 for i in own], np.int64)
-        flat = pa.array(np.frombuffer(b"".join(own), "<u4"))
-        table = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes))), flat)
-        raw = memoryview(table.take(words.indices).flatten().to_numpy()).cast("B")
-        ends = np.cumsum(np.append(0, sizes[words.indices.to_numpy()])) * 4
-        ends = ends[np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))].tolist()
-        out = [b"".join((raw[a:b], self.end)) for a, b in zip(ends, ends[1:], strict=False)]
-        for i in np.flatnonzero(marked).tolist():
-            out[i] = self._ids([texts[i].as_py()])[0] + self.end
-        return out
+        ids = np.frombuffer(b"".join(own), "<u4")
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        # Behind the chunks: the end, and the texts that are given whole.
+        whole = self._ids([texts[i].as_py() for i in np.flatnonzero(marked).tolist()])
+        more = [self.end, *whole]
+        found = _rows(ids, sizes).take(words.indices).flatten().to_numpy()
+        table = np.concatenate([found, np.frombuffer(b"".join(more), "<u4")])
+        before = np.append(0, np.cumsum(sizes[words.indices.to_numpy()]))
+        bounds = before[np.append(0, np.cumsum(pc.list_value_length(parts).to_numpy()))]
+        sizes = np.append(np.diff(bounds), [len(m) // 4 for m in more])
+        end = len(chunks.dictionary)
+        stops = np.cumsum(pc.list_value_length(lists).to_numpy())
+        which = np.insert(
+            chunks.indices.to_numpy(),
+            np.append(stops[marked], stops),
+            np.append(end + 1 + np.arange(len(whole)), np.full(len(stops), end)),
+        )
+        if not len(table) or table.max() < 1 << 16:
+            table = table.astype("<u2")
+        flat = _rows(table, sizes).take(pa.array(which)).flatten().to_numpy()
+        last = stops + np.arange(1, len(stops) + 1) + np.cumsum(marked)
+        return flat, np.append(0, np.cumsum(sizes[which]))[np.append(0, last)]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Packed ids (unsigned 32 bit, little-endian) of each text, with the end id."""
+        flat, ends = self.flat(texts)
+        raw, ends = flat.astype("<u4").tobytes(), (ends * 4).tolist()
+        return [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
     def check(self, probe: str) -> None:
         if self.encode(pa.array([probe]))[0][:-4] != self._ids([probe])[0]:
             raise ValueError("the ids of a chunk of text depend on what is around it")
 
 
+def _rows(values: np.ndarray, sizes: np.ndarray) -> pa.LargeListArray:
+    return pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes))), pa.array(values))
+
+
 @lru_cache(maxsize=1)
 def _encoder(model: str, end_id: int) -> Encoder:
     return Encoder(model, end_id)
@@ -177,8 +196,8 @@ def _tokenizer(sent, end_id: int, width: int, schema: pa.Schema):
         seen, own = np.zeros(width, np.int64), 0
         for batch in _slices(batches, 2048):
             docs, texts = batch.columns
-            ids = encoder.encode(texts)
-            n = np.array([len(i) // 4 for i in ids], np.int64)
+            flat, ends = encoder.flat(texts)
+            n = np.diff(ends)
             rest = n % width
             nth = np.empty(len(n), np.int64)
             for k, r in enumerate(rest.tolist()):
@@ -194,7 +213,10 @@ def _tokenizer(sent, end_id: int, width: int, schema: pa.Schema):
                     pa.array(nth),
                     pa.array(before),
                     pa.array(n),
-                    pa.array([_narrow(i) for i in ids], pa.binary()),
+                    pa.array(
+                        [_narrow(flat[a:b]) for a, b in zip(ends, ends[1:], strict=False)],
+                        pa.binary(),
+                    ),
                 ],
                 schema=schema,
             )
@@ -202,10 +224,10 @@ def _tokenizer(sent, end_id: int, width: int, schema: pa.Schema):
     return run
 
 
-def _narrow(ids: bytes) -> bytes:
+def _narrow(ids: np.ndarray) -> bytes:
     """Half the bytes, where all ids are below 65536; a leading byte tells."""
-    wide = np.frombuffer(ids, "<u4")
-    return b"2" + wide.astype("<u2").tobytes() if wide.max() < 1 << 16 else b"4" + ids
+    small = ids.itemsize == 2 or ids.max() < 1 << 16
+    return (b"2" + ids.astype("<u2", copy=False).tobytes()) if small else b"4" + ids.tobytes()
 
 
 def _widened(stored: bytes) -> np.ndarray:

@@ -147,3 +147,28 @@ def test_a_tokenizer_that_joins_over_blanks_is_refused(tmp_path):
     model = T(models.WordLevel({"[UNK]": 0, "a": 1}, unk_token="[UNK]"))
     with pytest.raises(ValueError):
         packing.Encoder(model.to_str(), 2).check("a b")
+
+
+def test_words_are_looked_up_without_their_marks():
+    with open(PACKED_TOKENIZER, encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read(), 2)
+    given = []
+    ids_of = encoder._ids
+    encoder._ids = lambda texts: given.extend(" ".join(texts).split()) or ids_of(texts)
+    words = [f"{a}{b}" for a in ("un", "día", "É", "x9") for b in ("a", "é", "7", "tion")]
+    marks = ["###", "&&&", ".", "'s", ",%", "]'d", "=b", "", "̸"]
+    text = " ".join(w + m for w in words for m in marks)
+    got = encoder.encode(pa.array([text, "<|endoftext|> a", "", None, text[:70]]))
+    assert len(given) < len(words) * 4 + 20
+    for ids, whole in zip(got, [text, "<|endoftext|> a", "", "", text[:70]], strict=True):
+        assert ids == ids_of([whole])[0] + encoder.end
+
+
+def test_every_mark_behind_a_letter():
+    with open(PACKED_TOKENIZER, encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read(), 2)
+    letters = ["a", "Z", "0", *map(chr, range(0xAA, 0x180)), "ſ", "ŉ", "ß", "日", "á", "Σ"]
+    marks = [chr(c) for c in range(33, 127)]
+    texts = [f"{a}{m} {a}{m}{m}b {a}{m}̸ {a}{m}'s {a}'{m}" for a in letters for m in marks]
+    for got, text in zip(encoder.encode(pa.array(texts)), texts, strict=True):
+        assert got == encoder._ids([text])[0] + encoder.end, text
