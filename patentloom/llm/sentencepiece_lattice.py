@@ -22,12 +22,10 @@ from __future__ import annotations
 
 import heapq
 import re
-import zlib
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from patentloom.llm.arrays import byte_hashes
 from patentloom.llm.exchange import total_bytes
 from patentloom.session import ship_package
 
@@ -103,13 +102,18 @@ def marks(names: Iterable[str]) -> set[str]:
     return set() if any(c.isalpha() for c in found) else found
 
 
-def unit_pattern(pieces: Pieces) -> str:
-    """A pattern of units; every normalised text is a sequence of its matches."""
+def _classes(pieces: Pieces) -> tuple[str, str]:
+    """Characters that are units of their own, and those that are cut from letters."""
     own = [n for n, ok in zip(pieces.names, pieces.plain, strict=True) if ok]
     for name in own:
         if BLANK in name.lstrip(BLANK):
             raise ValueError(f"piece {name!r} has a blank behind other characters")
-    cut, mark = _class(pieces.cuts), _class(marks(n.lstrip(BLANK) for n in own) - set(pieces.cuts))
+    return _class(pieces.cuts), _class(marks(n.lstrip(BLANK) for n in own) - set(pieces.cuts))
+
+
+def unit_pattern(pieces: Pieces) -> str:
+    """A pattern of units; every normalised text is a sequence of its matches."""
+    cut, mark = _classes(pieces)
     return "|".join(
         [
             *([f"[{cut}]"] if cut else []),
@@ -204,24 +208,21 @@ def _folded_merges(unit: Column, keys: Column) -> Column:
     def edge(key: Column) -> Column:
         start, end = F.call_function("div", key, F.lit(64)) % 64, key % 64
         return F.struct(
-            key.alias("key"),
-            _bit(start).bitwiseOR(_bit(end)).alias("ends"),
-            _inside(start, end).alias("inside"),
+            _bit(start).bitwiseOR(_bit(end)).alias("ends"), _inside(start, end).alias("inside")
         )
 
     def merged(edges: Column) -> Column:
         def step(places: Column, _: Column) -> Column:
             def ready(e: Column) -> Column:
                 joined = places.bitwiseAND(e["ends"]) == e["ends"]
-                return F.when(joined & (F.bit_count(places.bitwiseAND(e["inside"])) == 1), e["key"])
+                return joined & (F.bit_count(places.bitwiseAND(e["inside"])) == 1)
 
-            def without(key: Column) -> Column:
-                gone = _inside(F.call_function("div", key, F.lit(64)) % 64, key % 64)
-                return F.when(key.isNull(), F.lit(-1).cast("long") - places).otherwise(
-                    places.bitwiseAND(F.bitwise_not(gone))
+            def without(gone: Column) -> Column:
+                return F.coalesce(
+                    places.bitwiseAND(F.bitwise_not(gone)), F.lit(-1).cast("long") - places
                 )
 
-            least = F.array_min(F.transform(edges, ready))
+            least = F.get(F.filter(edges, ready), 0)["inside"]
             return F.when(places < 0, places).otherwise(_bind(least, without))
 
         # No more merges than characters or edges; one more step may find that none is left.
@@ -233,7 +234,7 @@ def _folded_merges(unit: Column, keys: Column) -> Column:
         every = F.sequence(F.lit(0), F.length(unit))
         return _bind(own, lambda m: F.filter(every, lambda i: m.bitwiseAND(_bit(i)) != 0))
 
-    return _cut(unit, _bind(_bind(F.transform(keys, edge), merged), bounds))
+    return _cut(unit, _bind(_bind(F.transform(F.sort_array(keys), edge), merged), bounds))
 
 
 def _folded_path(unit: Column, edges: Column, longest: int, unknown: float) -> Column:
@@ -344,7 +345,18 @@ class Encoder:
         names = {n: i for i, n in enumerate(pieces.names)}
         self.byte = [names.get(f"<0x{b:02X}>", pieces.unknown) for b in range(256)]
         self.unknown = unknown_score(pieces)
-        self.find = re.compile(unit_pattern(pieces)).findall
+        pattern = unit_pattern(pieces)
+        self.find = re.compile(pattern).findall
+        # Arrow's library of patterns writes characters in its own way.
+        pattern, cut, mark = (
+            re.sub(r"\\U([0-9a-f]{8})", r"\\x{\1}", p) for p in (pattern, *_classes(pieces))
+        )
+        self.cut, letter = f"({pattern})", f"[^{BLANK}{cut}{mark}]"
+        #: Letters and then marks behind one blank, as most words are, and where that is cut.
+        self.easy = f"^{BLANK}{letter}+" + (f"[{mark}]*$" if mark else "$")
+        self.edge = f"({letter})([{mark}])" if mark else None
+        self.names = pa.array(list(self.id_of), pa.string())
+        self.numbers = np.array(list(self.id_of.values()), np.int32)
 
     def ids(self, path: Iterable[str]) -> bytes:
         out = array("i")
@@ -361,9 +373,6 @@ class Encoder:
             return merged_by_rank(unit, self.score_of)
         return best_path(unit, self.score_of, self.pieces.longest, self.unknown)
 
-    def asks(self, unit: str) -> bool:
-        return 1 < len(unit) <= self.longest_unit
-
     def joined(self, units: list[str], known: dict[str, bytes]) -> bytes:
         """Ids of units in order; those that nobody asks for are found here."""
         parts = []
@@ -379,50 +388,63 @@ class Encoder:
         return np.frombuffer(self.joined(units, known), "<i4")
 
 
+def _rows(values: np.ndarray, sizes: np.ndarray) -> pa.LargeListArray:
+    return pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes))), pa.array(values))
+
+
+def _ends(lists: pa.Array) -> np.ndarray:
+    return np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
+
+
 @dataclass
 class Words:
-    """Texts as lists of words: the different ones, and which of them stand where."""
+    """Texts as lists of words, and the different words as lists of units."""
 
-    rows: np.ndarray  # places of the texts in their bucket
-    units: list[list[str]]  # of each different word
-    which: pa.Array  # of the different ones, for all words in order
+    units: pa.Array  # the different ones
+    unit_of: pa.Array  # for all words in order
+    unit_ends: np.ndarray  # of each word's units
+    word_of: pa.Array  # for all texts in order
     ends: np.ndarray  # of each text's words
 
     @classmethod
-    def of(cls, encoder: Encoder, rows: np.ndarray, lists: pa.ListArray, before: str) -> Words:
-        words = lists.flatten().dictionary_encode()
-        lengths = pc.list_value_length(lists).to_numpy()
-        units = [encoder.find(before + w) for w in words.dictionary.to_pylist()]
-        return cls(rows, units, words.indices, np.cumsum(lengths))
-
-    @classmethod
-    def split(cls, encoder: Encoder, texts: pa.Array) -> list[Words]:
-        """Texts cut at single blanks, and the units of texts with other blanks."""
+    def split(cls, encoder: Encoder, texts: pa.Array) -> Words:
+        """Texts cut at single blanks; a text with other blanks is one word, an empty text
+        the empty word, which no other text holds."""
         full = texts.fill_null("")
-        blanks = pc.or_(
-            pc.match_substring(full, "  "), pc.or_(pc.starts_with(full, " "), pc.ends_with(full, " "))
+        odd = pc.or_(
+            pc.or_(pc.match_substring(full, "  "), pc.match_substring(full, BLANK)),
+            pc.or_(pc.starts_with(full, " "), pc.ends_with(full, " ")),
         )
-        odd = pc.or_(blanks, pc.equal(full, "")).to_numpy(zero_copy_only=False)
-        plain, rest = np.flatnonzero(~odd), np.flatnonzero(odd)
-        # A word stands for its units behind a blank.
-        found = [cls.of(encoder, plain, pc.split_pattern(full.take(pa.array(plain)), " "), BLANK)]
-        if len(rest):
-            units = [
-                encoder.find(BLANK + t.replace(" ", BLANK)) if t else []
-                for t in full.take(pa.array(rest)).to_pylist()
-            ]
-            found.append(cls.of(encoder, rest, pa.array(units, pa.list_(pa.string())), ""))
-        return found
-
-    def ids(self, encoder: Encoder, known: dict[str, bytes]) -> pa.ListArray:
-        """The ids of each text."""
-        own = [encoder.joined(units, known) for units in self.units]
-        sizes = np.array([len(i) // 4 for i in own], np.int64)
-        flat = pa.array(np.frombuffer(b"".join(own), "<i4"))
-        table = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes))), flat)
-        before = np.append(0, np.cumsum(sizes[self.which.to_numpy()]))
-        offsets = before[np.append(0, self.ends)].astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), table.take(self.which).flatten())
+        lists = pc.split_pattern(pc.if_else(odd, "", full), " ")
+        words, ends = lists.flatten().dictionary_encode(), _ends(lists)
+        rest = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        word_of = words.indices.to_numpy().copy()
+        word_of[ends[rest]] = len(words.dictionary) + np.arange(len(rest))
+        spelt = pa.concat_arrays(
+            [words.dictionary, pc.replace_substring(full.take(pa.array(rest)), " ", BLANK)]
+        )
+        # A word stands for its units behind a blank. Blanks have been replaced, so one may
+        # stand between units.
+        behind = pc.binary_join_element_wise(BLANK, spelt, "")
+        behind = pc.if_else(pc.equal(spelt, ""), "", behind)
+        easy = pc.match_substring_regex(behind, encoder.easy)
+        plain, other = behind.filter(easy), behind.filter(pc.invert(easy))
+        if encoder.edge:
+            plain = pc.replace_substring_regex(plain, encoder.edge, r"\1 \2")
+        other = pc.ascii_rtrim(pc.replace_substring_regex(other, encoder.cut, r"\1 "), " ")
+        easy = easy.to_numpy(zero_copy_only=False)
+        place = np.where(easy, np.cumsum(easy) - 1, len(plain) + np.cumsum(~easy) - 1)
+        cut = pc.split_pattern(pa.concat_arrays([plain, other]).take(pa.array(place)), " ")
+        units = cut.flatten().dictionary_encode()
+        return cls(units.dictionary, units.indices, _ends(cut), pa.array(word_of), ends)
+
+    def ids(self, values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+        """The ids of each text from those of the different units."""
+        found = _rows(values, sizes).take(self.unit_of).flatten().to_numpy()
+        before = np.append(0, np.cumsum(sizes[self.unit_of.to_numpy()]))[self.unit_ends]
+        of_texts = _rows(found, np.diff(before)).take(self.word_of).flatten()
+        after = np.append(0, np.cumsum(np.diff(before)[self.word_of.to_numpy()]))[self.ends]
+        return pa.ListArray.from_arrays(pa.array(after.astype(np.int32)), of_texts)
 
 
 @lru_cache(maxsize=2)
@@ -486,13 +508,36 @@ def _bucket(blob: bytes) -> tuple[pa.Array, pa.Array]:
     return tuple(pa.concat_arrays(c.chunks) for c in table.columns)
 
 
-def _units_by_part(encoder: Encoder, words: Iterable[Words], parts: int) -> dict[int, list[str]]:
-    """The different units of a bucket that ask for a path, in the order of the text."""
-    dealt: dict[int, list[str]] = {}
-    different = dict.fromkeys(chain.from_iterable(u for some in words for u in some.units))
-    for unit in filter(encoder.asks, different):
-        dealt.setdefault(zlib.crc32(unit.encode()) % parts, []).append(unit)
-    return dealt
+def _letters(units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of strings, and where each begins and the last ends."""
+    _, ends, data = units.cast(pa.large_string()).buffers()
+    ends = np.frombuffer(ends, np.int64, len(units) + 1, units.offset * 8) if len(units) else np.zeros(1, np.int64)
+    return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), ends
+
+
+class Dealt:
+    """The different units of a bucket that ask for a path, in the order of parts."""
+
+    def __init__(self, encoder: Encoder, units: pa.Array, parts: int):
+        units = pa.concat_arrays([units])
+        lengths = pc.utf8_length(units).to_numpy()
+        asks = (lengths > 1) & (lengths <= encoder.longest_unit)
+        data, ends = _letters(units)
+        part = byte_hashes(data, ends[:-1], ends[1:]) % np.uint64(parts)
+        own = np.flatnonzero(asks)
+        self.order = own[np.argsort(part[own], kind="stable")]
+        self.rest = np.flatnonzero(~asks)
+        dealt = part[self.order].astype(np.int64)
+        first = np.flatnonzero(np.diff(dealt, prepend=-1))
+        self.parts = dealt[first].tolist()
+        self.cuts = [*first.tolist(), len(dealt)]
+
+    def blobs(self, units: pa.Array) -> list[bytes]:
+        """Units of each part, a blank between."""
+        data, ends = _letters(pc.binary_join_element_wise(units.take(pa.array(self.order)), "", BETWEEN))
+        at = ends[self.cuts].tolist()
+        raw = data.tobytes()
+        return [raw[a : b - 1] for a, b in zip(at, at[1:], strict=False)]
 
 
 def _asker(sent, longest_unit: int, parts: int):
@@ -500,28 +545,43 @@ def _asker(sent, longest_unit: int, parts: int):
         encoder = _encoder(sent.value, longest_unit)
         for batch in batches:
             for bucket, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = Words.split(encoder, _bucket(blob)[1])
-                dealt = _units_by_part(encoder, words, parts)
-                blobs = [_squeezed(BETWEEN.join(units).encode()) for units in dealt.values()]
-                columns = [list(dealt), [bucket] * len(dealt), blobs]
+                units = Words.split(encoder, _bucket(blob)[1]).units
+                dealt = Dealt(encoder, units, parts)
+                blobs = [_squeezed(b) for b in dealt.blobs(units)]
+                columns = [dealt.parts, [bucket] * len(blobs), blobs]
                 arrays = [pa.array(c, f.type) for c, f in zip(columns, ASKED, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, schema=ASKED)
 
     return run
 
 
-def _asked_units(blob: bytes) -> list[str]:
-    return _restored(blob).decode().split(BETWEEN)
+def _asked_units(asked: pa.Table) -> tuple[pa.Array, np.ndarray]:
+    """The units of all rows, and where those of a row begin."""
+    raw = [_restored(blob) for blob in asked["blob"].to_pylist()]
+    lists = pc.split_pattern(pa.array(raw, pa.binary()).cast(pa.string()), BETWEEN)
+    return lists.flatten(), _ends(lists)
 
 
 def _different(asked: pa.Table) -> pa.Table:
     """The different units that a part is asked for."""
-    units: set[str] = set()
-    for blob in asked["blob"].to_pylist():
-        units.update(_asked_units(blob))
+    units = pc.unique(_asked_units(asked)[0])
     part = pa.array(np.full(len(units), asked["part"][0].as_py(), np.int32))
     number = pa.array(np.arange(len(units), dtype=np.int32))
-    return pa.table({"of": part, "number": number, "unit": pa.array(sorted(units), pa.string())})
+    return pa.table({"of": part, "number": number, "unit": units})
+
+
+def _piece_ids(encoder: Encoder, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of pieces, and how many each has: one, or as many as bytes if it is unknown."""
+    at = pc.index_in(pieces, value_set=encoder.names)
+    if not at.null_count:
+        return encoder.numbers[at.to_numpy()], np.ones(len(at), np.int64)
+    unknown = pc.unique(pieces.filter(at.is_null()))
+    more = [encoder.ids([piece]) for piece in unknown.to_pylist()]
+    sizes = np.append(np.ones(len(encoder.names), np.int64), [len(m) // 4 for m in more])
+    values = np.append(encoder.numbers, np.frombuffer(b"".join(more), "<i4"))
+    place = pc.add(pc.index_in(pieces, value_set=unknown), len(encoder.names))
+    at = pc.coalesce(at, place)
+    return _rows(values, sizes).take(at).flatten().to_numpy(), sizes[at.to_numpy()]
 
 
 def _answers(sent, longest_unit: int):
@@ -529,29 +589,51 @@ def _answers(sent, longest_unit: int):
 
     def run(asked: pa.Table, paths: pa.Table) -> pa.Table:
         encoder = _encoder(sent.value, longest_unit)
-        narrow = len(encoder.pieces.names) <= 1 << 16
-        units, pieces = paths["unit"].to_pylist(), paths["pieces"].to_pylist()
-        known = {u: encoder.ids(p) for u, p in zip(units, pieces, strict=True)}
-        blobs = []
-        for blob in asked["blob"].to_pylist():
-            got = [known.get(u) or encoder.ids(u) for u in _asked_units(blob)]
-            sizes = np.array([len(g) // 4 for g in got], np.uint8)
-            ids = np.frombuffer(b"".join(got), "<i4")
-            blobs.append(_squeezed(sizes.tobytes() + (ids.astype("<u2") if narrow else ids).tobytes()))
+        kind = "<u2" if len(encoder.pieces.names) <= 1 << 16 else "<i4"
+        wanted, cuts = _asked_units(asked)
+        paths = paths.select(["unit", "pieces"]).combine_chunks()
+        units = pa.concat_arrays([pa.array([], pa.string()), *paths["unit"].chunks])
+        pieces = pa.concat_arrays([pa.array([], pa.list_(pa.string())), *paths["pieces"].chunks])
+        # A unit without edges is its characters.
+        alone = pc.unique(wanted.filter(pc.invert(pc.is_in(wanted, value_set=units))))
+        single = pa.array([list(unit) for unit in alone.to_pylist()], pa.list_(pa.string()))
+        pieces = pa.concat_arrays([pieces, single])
+        values, sizes = _piece_ids(encoder, pieces.flatten())
+        sizes = np.diff(np.append(0, np.cumsum(sizes))[_ends(pieces)])
+        at = pc.index_in(wanted, value_set=pa.concat_arrays([units, alone]))
+        ids = _rows(values, sizes).take(at).flatten().to_numpy().astype(kind)
+        sizes = sizes[at.to_numpy()]
+        ends = np.append(0, np.cumsum(sizes))[cuts].tolist()
+        small, cuts = sizes.astype(np.uint8), cuts.tolist()
+        blobs = [
+            _squeezed(small[cuts[k] : cuts[k + 1]].tobytes() + ids[ends[k] : ends[k + 1]].tobytes())
+            for k in range(len(cuts) - 1)
+        ]
         return asked.set_column(2, "blob", pa.array(blobs, pa.binary())).cast(ASKED)
 
     return run
 
 
-def _replied(encoder: Encoder, dealt: dict[int, list[str]], replies: pa.Table) -> dict[str, bytes]:
+def _replied(
+    encoder: Encoder, units: pa.Array, dealt: Dealt, replies: dict[int, bytes]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all units, and how many each has."""
     kind = "<u2" if len(encoder.pieces.names) <= 1 << 16 else "<i4"
-    known: dict[str, bytes] = {}
-    for part, blob in zip(replies["part"].to_pylist(), replies["blob"].to_pylist(), strict=True):
-        units, raw = dealt[part], _restored(blob)
-        ids = np.frombuffer(raw, kind, offset=len(units)).astype("<i4").tobytes()
-        ends = (np.cumsum(np.frombuffer(raw, np.uint8, len(units)), dtype=np.int64) * 4).tolist()
-        known.update((u, ids[a:b]) for u, a, b in zip(units, [0, *ends], ends, strict=False))
-    return known
+    values, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.uint8)]
+    for part, a, b in zip(dealt.parts, dealt.cuts, dealt.cuts[1:], strict=False):
+        raw = _restored(replies[part])
+        sizes.append(np.frombuffer(raw, np.uint8, b - a))
+        values.append(np.frombuffer(raw, kind, offset=b - a).astype("<i4"))
+    # What nobody asks for is found here: single characters, and long units.
+    rest = units.take(pa.array(dealt.rest)).to_pylist()
+    own = [encoder.ids(encoder.path(unit)) for unit in rest]
+    values.append(np.frombuffer(b"".join(own), "<i4"))
+    all_sizes = np.concatenate([*sizes, [len(i) // 4 for i in own]]).astype(np.int64)
+    place = np.empty(len(units), np.int64)
+    place[dealt.order] = np.arange(len(dealt.order))
+    place[dealt.rest] = len(dealt.order) + np.arange(len(rest))
+    found = _rows(np.concatenate(values), all_sizes).take(pa.array(place))
+    return found.flatten().to_numpy(), all_sizes[place]
 
 
 def _looked_up(sent, longest_unit: int, parts: int):
@@ -561,17 +643,16 @@ def _looked_up(sent, longest_unit: int, parts: int):
 
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
         encoder = _encoder(sent.value, longest_unit)
+        said = dict(zip(replies["part"].to_pylist(), replies["blob"].to_pylist(), strict=True))
         tables = [schema.empty_table()]
         for blob in docs["blob"].to_pylist():
             ids, texts = _bucket(blob)
             words = Words.split(encoder, texts)
-            known = _replied(encoder, _units_by_part(encoder, words, parts), replies)
-            for some in words:
-                rows = pa.array(some.rows)
-                own, lists = texts.take(rows), some.ids(encoder, known)
-                if own.null_count:
-                    lists = pc.if_else(own.is_valid(), lists, None)
-                tables.append(pa.table([ids.take(rows), own, lists], schema=schema))
+            dealt = Dealt(encoder, words.units, parts)
+            lists = words.ids(*_replied(encoder, words.units, dealt, said))
+            if texts.null_count:
+                lists = pc.if_else(texts.is_valid(), lists, None)
+            tables.append(pa.table([ids, texts, lists], schema=schema))
         return pa.concat_tables(tables)
 
     return run
@@ -610,8 +691,9 @@ def encode(
     )
     asked = dealt.mapInArrow(_asker(sent, longest_unit, parts), ASKS).repartition(parts, "part")
     units = asked.groupBy("part").applyInArrow(_different, "of int, number int, unit string")
-    # Grouped by number first: numbers are cheaper to sort by than units.
-    paths = lattice_paths(units.repartition(parts, "of"), pieces, ("of", "number", "unit"))
+    # Grouped by number first: numbers are cheaper to sort by than units, or than parts, of
+    # which a task has few.
+    paths = lattice_paths(units.repartition(parts, "of"), pieces, ("number", "of", "unit"))
     replies = (
         asked.groupBy("part")
         .cogroup(paths.groupBy("of"))

@@ -4,6 +4,7 @@ import itertools
 import os
 import random
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -106,3 +107,39 @@ def test_viterbi_fold_finds_the_best_path(spark):
             assert "".join(got[unit]) == unit
             assert total(got[unit]) == pytest.approx(best(unit))
     assert got
+
+
+def test_units_are_cut_and_looked_up_in_columns(pieces, library):
+    """Texts with odd blanks, U+2581 and characters outside the table, as the library has them."""
+    rng = random.Random(9)
+    words = ["a", "It's", "12", "9a", "é.", "\n", "\tb", "▁", "c▁", "▁d", "日本語", "𐍈", "x" * 60, "(!)", "\r"]
+    cases = [None, "", " ", "  ", "\n", "▁", "a▁ b", " a", "a ", "1", " 1", "a  b"]
+    cases += ["".join(rng.choice(words) + rng.choice([" ", "", "  "]) for _ in range(9)) for _ in range(200)]
+    encoder = lattice.Encoder(pieces, 48)
+    words = lattice.Words.split(encoder, pa.array(cases))
+    dealt = lattice.Dealt(encoder, words.units, 7)
+    blobs = dealt.blobs(words.units)
+    assert sum(len(b.split(b" ")) for b in blobs) == len(dealt.order)
+    schema = lattice.ASKED
+    asked = pa.table(
+        [pa.array(dealt.parts, pa.int32()), pa.array([3] * len(blobs)), pa.array(map(lattice._squeezed, blobs), pa.binary())],
+        schema=schema,
+    )
+    own = lattice._different(asked)["unit"].to_pylist()
+    paths = [(u, encoder.path(u)) for u in own]
+    paths = [(u, p) for u, p in paths if len(p) < len(u)]  # those without an edge are not there
+    sent = type("Sent", (), {"value": pieces})
+    answers = lattice._answers(sent, 48)(
+        asked,
+        pa.table({"unit": [u for u, _ in paths], "pieces": pa.array([p for _, p in paths], pa.list_(pa.string()))}),
+    )
+    said = dict(zip(answers["part"].to_pylist(), answers["blob"].to_pylist(), strict=True))
+    ids = words.ids(*lattice._replied(encoder, words.units, dealt, said))
+    assert ids.to_pylist() == [library.encode(c or "") for c in cases]
+
+
+def test_texts_that_hold_the_blanks_own_mark(spark, pieces, library):
+    rows = [(1, "a▁ b", 1), (2, "▁ ▁", 1), (3, "c▁", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    got = {r["doc_id"]: r["ids"] for r in lattice.encode(docs, pieces).collect()}
+    assert got == {i: library.encode(t) for i, t, _ in rows}
