@@ -19,10 +19,17 @@ NULL_ID = np.iinfo(np.int64).max
 # Python workers outlive their tasks: memory of a finished group goes back to the system. The
 # C library would otherwise keep freed arrays of up to 32 MB for later (M_MMAP_THRESHOLD).
 pa.set_memory_pool(pa.system_memory_pool())
-try:
-    ctypes.CDLL(None).mallopt(-3, 1 << 20)
-except (AttributeError, OSError):
-    pass
+
+
+def map_from(size: int) -> None:
+    """Arrays from ``size`` bytes on are mapped and unmapped one by one."""
+    try:
+        ctypes.CDLL(None).mallopt(-3, size)
+    except (AttributeError, OSError):
+        pass
+
+
+map_from(1 << 20)
 
 _powers: dict[int, np.ndarray] = {}
 #: Powers that a worker keeps; the others are made when they are needed.
