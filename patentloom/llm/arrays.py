@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +30,34 @@ def map_from(size: int) -> None:
         pass
 
 
-map_from(1 << 20)
+MAPPED = 1 << 20
+map_from(MAPPED)
+
+
+def release(size: int = MAPPED) -> None:
+    """What freed arrays and objects have left in the heap goes back to the system.
+
+    Arrays are mapped from ``size`` bytes on afterwards."""
+    map_from(size)
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+def releasing(run: Callable, size: int = MAPPED) -> Callable:
+    """``run`` of batches, for a worker that then waits for its next task.
+
+    Idle workers stay beside those at work, so an executor holds what all of them have kept.
+    Not for steps of single groups: pages given back are costly to get again.
+    """
+
+    def of_batches(batches):
+        yield from run(batches)
+        release(size)
+
+    return of_batches
+
 
 _powers: dict[int, np.ndarray] = {}
 #: Powers that a worker keeps; the others are made when they are needed.

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from patentloom.llm.arrays import releasing
 from patentloom.session import ship_package
 
 #: Bytes of a word: digits, letters, everything beyond ASCII. Others become blanks.
@@ -175,7 +176,7 @@ def scan(
         rows = ((r["i"], None if r["t"] is None else bytes(r["t"])) for r in part.toLocalIterator())
         sent = docs.sparkSession.sparkContext.broadcast(patterns_of(rows, window))
         schema = to_arrow_schema(out.schema)
-        out = out.mapInArrow(_scanner(text, sent, schema, kept), out.schema)
+        out = out.mapInArrow(releasing(_scanner(text, sent, schema, kept)), out.schema)
     hit = F.aggregate("_cover", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
     return out.select(
         *kept,

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patentloom.llm.arrays import byte_hashes, map_from
+from patentloom.llm.arrays import byte_hashes, map_from, releasing
 from patentloom.llm.exchange import total_bytes
 from patentloom.session import ship_package
 
@@ -447,13 +447,21 @@ class Words:
         return pa.ListArray.from_arrays(pa.array(after.astype(np.int32)), of_texts)
 
 
+#: The columns of a bucket are a few MB each: to map each anew took a fifth of the time. They
+#: stay in the heap until a step ends that is ``releasing``.
+HELD = 8 << 20
+
+
 @lru_cache(maxsize=2)
-def _encoder(pieces: Pieces, longest_unit: int) -> Encoder:
-    # The columns of a bucket are a few MB each: to map each anew took a fifth of the time.
-    map_from(8 << 20)
+def _kept_encoder(pieces: Pieces, longest_unit: int) -> Encoder:
     return Encoder(pieces, longest_unit)
 
 
+def _encoder(pieces: Pieces, longest_unit: int) -> Encoder:
+    map_from(HELD)
+    return _kept_encoder(pieces, longest_unit)
+
+
 PACKED = "bucket long, blob binary"
 ASKS = "part int, bucket long, blob binary"
 ASKED = pa.schema([("part", pa.int32()), ("bucket", pa.int64()), ("blob", pa.binary())])
@@ -688,7 +696,7 @@ def encode(
     # A task per bucket and part: adaptive execution would join them by their few bytes.
     dealt = (
         docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-        .mapInArrow(_packer(bucket_bytes), PACKED)
+        .mapInArrow(releasing(_packer(bucket_bytes), HELD), PACKED)
         .repartition(max(size // bucket_bytes + 1, width), "bucket")
     )
     asked = dealt.mapInArrow(_asker(sent, longest_unit, parts), ASKS).repartition(parts, "part")
@@ -754,4 +762,4 @@ def decode(encoded: DataFrame, pieces: Pieces, ids: str = "ids", to: str = "deco
     out = plain.withColumn(to, F.lit(None).cast("string"))
     sent = encoded.sparkSession.sparkContext.broadcast(pieces)
     schema = to_arrow_schema(out.schema)
-    return plain.mapInArrow(_decoder(sent, ids, to, schema), out.schema)
+    return plain.mapInArrow(releasing(_decoder(sent, ids, to, schema), HELD), out.schema)

@@ -21,11 +21,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patentloom.llm.arrays import (
-    U64, Texts, mix, prefix_hashes, range_hashes, words_of,
+    U64, Texts, mix, prefix_hashes, range_hashes, releasing, words_of,
 )
 from patentloom.session import ship_package
 
@@ -88,11 +89,11 @@ def _features(texts: Texts, settings: Settings):
     return words, word_at, (heads >> U64(64 - settings.head_bits)).astype(np.int64)
 
 
-def _slices(batch: pa.RecordBatch, text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, text: str, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about ``most`` bytes of text: memory follows the longest text."""
     column = batch.column(batch.schema.get_field_index(text)).cast(pa.binary())
-    lengths = np.array([len(x) for x in column.fill_null(b"").to_pylist()], np.int64)
-    group = np.cumsum(lengths) // most
+    lengths = pc.binary_length(column).fill_null(0).to_numpy()
+    group = np.cumsum(lengths, dtype=np.int64) // most
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:], strict=False):
         if b > a:
@@ -107,10 +108,9 @@ def _counter(settings: Settings):
             for part in _slices(batch, "text"):
                 words, *at = _features(_columns(part.column(0)), settings)
                 toxic = part.column(1).to_numpy(zero_copy_only=False) > 0
-                of = np.repeat(toxic, np.diff(words.first))
+                of = np.repeat(toxic, np.diff(words.first)).astype(np.int64)
                 for total, where in zip(totals, at, strict=True):
-                    for c in (0, 1):
-                        total[c] += np.bincount(where[of == bool(c)], minlength=total.shape[1])
+                    np.add.at(total.reshape(-1), of * total.shape[1] + where, 1)
         for kind, total in enumerate(totals):
             seen = np.flatnonzero(total.sum(0))
             for a in range(0, len(seen), 100_000):
@@ -284,7 +284,8 @@ def train(
     )
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).dropna()
     rows = rows.join(F.broadcast(sample), "id").select("text", "toxic")
-    counted = rows.mapInArrow(_counter(settings), "kind int, at long, toxic long, other long")
+    count = releasing(_counter(settings))
+    counted = rows.mapInArrow(count, "kind int, at long, toxic long, other long")
     table = counted.groupBy("kind", "at").agg(F.sum("toxic").alias("t"), F.sum("other").alias("o"))
     got = table.toArrow()
     kinds, at, t, o = (got[c].to_numpy() for c in ("kind", "at", "t", "o"))
@@ -304,7 +305,7 @@ def train(
     model = Model(*tables)
     sent = spark.sparkContext.broadcast(model)
     fit = rows.mapInArrow(
-        _fitter(sent, settings), "bin int, toxic int, n long, best double"
+        releasing(_fitter(sent, settings)), "bin int, toxic int, n long, best double"
     ).toArrow()
     place, toxic, n = (fit[c].to_numpy() for c in ("bin", "toxic", "n"))
     middle = LOW + (place[place >= 0] + 0.5) * (HIGH - LOW) / BINS
@@ -315,7 +316,8 @@ def train(
     model.k = float(1 / max(np.mean(n[toxic == 0] * np.exp(-model.scale * tops)), 1e-300))
     # Once more, now that it is known which segments count.
     sent = spark.sparkContext.broadcast(model)
-    found = rows.mapInArrow(_evidence(sent, settings), "toxic int, evidence double").toArrow()
+    gather = releasing(_evidence(sent, settings))
+    found = rows.mapInArrow(gather, "toxic int, evidence double").toArrow()
     toxic, gathered = (found[c].to_numpy() for c in ("toxic", "evidence"))
     model.intercept, model.slope = _logistic(_damped(gathered), toxic.astype(float))
     return model
@@ -387,5 +389,5 @@ def score(
     schema = StructType([*plain.schema.fields, *new.fields])
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return plain.mapInArrow(
-        _scorer(sent, text, to_arrow_schema(schema), kept, settings), schema
+        releasing(_scorer(sent, text, to_arrow_schema(schema), kept, settings)), schema
     )

@@ -37,3 +37,35 @@ def test_kept_powers_are_bounded():
     assert len(arrays.powers(3, arrays.KEPT_POWERS + 5)) == arrays.KEPT_POWERS + 5
     assert len(arrays._powers[3]) == arrays.KEPT_POWERS
     assert arrays.powers(3, 4).tolist() == [1, 3, 9, 27]
+
+
+def held_mb():
+    import re
+
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"\nPss_Anon:\s+(\d+)", f.read())[1]) / 1024
+
+
+def scattered(n):
+    """Objects of 20 KB, of which every hundredth stays."""
+    return [x for i, x in enumerate([bytes([i % 256]) * 20_000 for i in range(n)]) if i % 100 == 0]
+
+
+def test_workers_keep_no_freed_memory():
+    kept = []
+
+    def batches(source):
+        for n in source:
+            kept.extend(scattered(n))
+            yield len(kept)
+
+    before = held_mb()
+    assert list(arrays.releasing(batches)([5000])) == [50]
+    assert held_mb() - before < 30  # some 100 MB where the heap keeps what was freed
+
+
+def test_released_workers_map_large_arrays_again(monkeypatch):
+    sizes = []
+    monkeypatch.setattr(arrays, "map_from", sizes.append)
+    arrays.release()
+    assert sizes == [arrays.MAPPED]

@@ -112,3 +112,31 @@ def test_training_sums_all_passages_of_a_long_document(spark):
     import math
 
     assert row["score"] == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-6)
+
+
+def test_memory_of_a_large_batch():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    words = [f"w{i}" for i in range(5000)]
+    texts = [" ".join(words[i] for i in rng.integers(0, 5000, 400)) for _ in range(8000)]
+    texts[5:7] = [None, ""]
+    batch = pa.record_batch([pa.array(texts), pa.array([int(i % 4 == 0) for i in range(8000)], pa.int32())],
+                            names=["text", "toxic"])
+    settings = toxicity.Settings()
+    sizes = [part.num_rows for part in toxicity._slices(batch, "text")]
+    assert sum(sizes) == 8000
+    assert len(list(toxicity._counter(settings)([batch.slice(0, 500)]))) == 2  # fills the powers
+    tracemalloc.start()
+    parts = list(toxicity._counter(settings)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # 18 MB of texts: the tables take 20 MB and their sum 8 MB.
+    assert peak < 48 << 20, peak >> 20
+    # Words are counted on the side of their document's label.
+    toxic, other = (sum(p.column(c).to_numpy().sum() for p in parts if p.column(0)[0].as_py() == 0)
+                    for c in (2, 3))
+    assert (toxic, other) == (2000 * 400, 5998 * 400)
